@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postloom.functions import lexicon as lx
-from postloom.functions.text import _text, emoji_runs
+from postloom.functions.text import _text, emoji_runs, is_ascii
 
 
 def _col(value: Column | str) -> Column:
@@ -26,22 +26,26 @@ def _by_sign(score: Column) -> Column:
     return F.element_at(labels, (F.signum(score) + 2).cast("int"))
 
 
-def _members(items: Column, members: list[str]) -> Column:
-    return F.size(F.filter(items, lambda item: item.isin(members)))
+def _items(values: list[str]) -> str:
+    """Pattern for the items of a ``|``-joined list that equal one of the values."""
+    return f"(?<![^|])(?:{'|'.join(values)})(?![^|])"
 
 
 def sentiment_words(text: Column | str) -> Column:
-    """Distinct lexicon words plus every emoji run that is exactly one listed emoji."""
+    """Distinct lexicon words plus every emoji run that is exactly one listed emoji.
+
+    No word is in both lists, so of the distinct hits those that are not positive
+    are negative. Hits and emoji runs are used twice but extracted once.
+    """
     text = _text(text)
-    words = F.array_distinct(
-        F.regexp_extract_all(F.lower(text), F.lit(lx.WORD + "+"), F.lit(0))
-    )
-    score = F.size(F.array_intersect(words, _strings(lx.POSITIVE_WORDS))) - F.size(
-        F.array_intersect(words, _strings(lx.NEGATIVE_WORDS))
-    )
-    runs = emoji_runs(text)
+    words = F.regexp_extract_all(F.lower(text), F.lit(lx.WORD + "+"), F.lit(0))
+    hits = F.array_intersect(words, _strings(lx.POSITIVE_WORDS + lx.NEGATIVE_WORDS))
+    runs = F.when(is_ascii(text), "").otherwise(F.array_join(emoji_runs(text), "|"))
     return _by_sign(
-        score + _members(runs, lx.POSITIVE_EMOJI) - _members(runs, lx.NEGATIVE_EMOJI)
+        F.size(F.array_intersect(hits, _strings(lx.POSITIVE_WORDS))) * 2
+        - F.size(hits)
+        + F.regexp_count(runs, F.lit(_items(lx.POSITIVE_EMOJI)))
+        - F.regexp_count(runs, F.lit(_items(lx.NEGATIVE_EMOJI)))
     )
 
 

@@ -80,13 +80,14 @@ NO_BREAK_SPACE = [("\u00a0", " ")]
 # Character classes. Word characters and whitespace are the
 # Unicode sets, spelled out because the regex engine's own \w and \s are ASCII.
 WORD = r"[\p{L}\p{N}_]"
-_SPACES = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-SPACE = f"[{_SPACES}]"
-NON_SPACE = f"[^{_SPACES}]"
-EMOJI_RUN = (
-    r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}"
-    r"\x{1F1E0}-\x{1F1FF}\x{2702}-\x{27B0}\x{24C2}-\x{1F251}]+"
-)
+# Whitespace other than the plain space, the space, and everything else.
+_RARE = r"\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+RARE_SPACE = f"[{_RARE}]"
+SPACE = f"[ {_RARE}]"
+NON_SPACE = f"[^ {_RARE}]"
+# Emoticons, symbols, transport, flags and everything from U+24C2 to U+1F251.
+EMOJI = r"[\x{24C2}-\x{1F251}\x{1F300}-\x{1F64F}\x{1F680}-\x{1F6FF}]"
+EMOJI_RUN = f"{EMOJI}+"
 
 HASHTAG = f"#({WORD}+)"
 HASHTAG_TAIL = f"#{WORD}+{SPACE}*"

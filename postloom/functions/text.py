@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postloom.functions import lexicon as lx
 
+URL_MARKERS = ["http", "www."]
+
 
 def _text(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
@@ -21,9 +25,21 @@ def replace_all(text: Column, pairs: Iterable[tuple[str, str]]) -> Column:
     return text
 
 
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
+def has_any(text: Column, *markers: str) -> Column:
+    """Whether a literal occurs; a cheap test before a regular expression."""
+    return reduce(or_, [F.contains(text, F.lit(m)) for m in markers])
+
+
 def collapse_spaces(text: Column) -> Column:
     """Turn every whitespace run into one space and trim both ends."""
-    return F.trim(F.regexp_replace(text, lx.SPACE + "+", " "))
+    # Single plain spaces are left alone, and one range rules out the printable
+    # ASCII characters before the whitespace classes are tried.
+    run = f"(?![!-~])(?: ?{lx.RARE_SPACE}|  ){lx.SPACE}*"
+    return F.trim(F.regexp_replace(text, run, " "))
 
 
 def strip_spaces(text: Column) -> Column:
@@ -31,20 +47,36 @@ def strip_spaces(text: Column) -> Column:
     return F.regexp_replace(text, f"^{lx.SPACE}+|{lx.SPACE}+$", "")
 
 
+def _decoded(text: Column, entities: list[tuple[str, str]]) -> Column:
+    if not entities:
+        return text
+    return F.when(has_any(text, "&"), replace_all(text, entities)).otherwise(text)
+
+
+def _cleaned(
+    text: Column, entities: list[tuple[str, str]], characters: list[tuple[str, str]]
+) -> Column:
+    """Decode entities, then replace typographic characters, then collapse spaces."""
+    decoded = _decoded(text, entities)
+    # Decoding adds no typographic characters, so ASCII text needs no second pass.
+    plain = F.when(is_ascii(text), decoded).otherwise(replace_all(decoded, characters))
+    return collapse_spaces(plain)
+
+
 def clean_post(text: Column | str) -> Column:
     """Cleaning used when posts are loaded: entities, typography, whitespace."""
-    pairs = [*lx.ENTITIES, *lx.QUOTES_AND_DASHES, *lx.ZERO_WIDTH, *lx.NO_BREAK_SPACE]
-    return collapse_spaces(replace_all(_text(text), pairs))
+    characters = [*lx.QUOTES_AND_DASHES, *lx.ZERO_WIDTH, *lx.NO_BREAK_SPACE]
+    return _cleaned(_text(text), lx.ENTITIES, characters)
 
 
 def clean_plain(text: Column | str) -> Column:
     """Typography and whitespace only. Used for captured video, photo and tweet text."""
-    return collapse_spaces(replace_all(_text(text), [*lx.QUOTES_AND_DASHES, *lx.ZERO_WIDTH]))
+    return _cleaned(_text(text), [], [*lx.QUOTES_AND_DASHES, *lx.ZERO_WIDTH])
 
 
 def clean_reddit(text: Column | str) -> Column:
     """Four entities, typography and whitespace; zero-width characters stay."""
-    return collapse_spaces(replace_all(_text(text), [*lx.REDDIT_ENTITIES, *lx.QUOTES_AND_DASHES]))
+    return _cleaned(_text(text), lx.REDDIT_ENTITIES, lx.QUOTES_AND_DASHES)
 
 
 def hashtags(text: Column | str) -> Column:
@@ -62,7 +94,8 @@ def mentions(text: Column | str) -> Column:
 
 
 def mention_count(text: Column | str) -> Column:
-    return F.regexp_count(_text(text), F.lit(lx.MENTION))
+    text = _text(text)
+    return F.when(has_any(text, "@"), F.regexp_count(text, F.lit(lx.MENTION))).otherwise(0)
 
 
 def remove_urls(text: Column | str) -> Column:
@@ -70,11 +103,13 @@ def remove_urls(text: Column | str) -> Column:
 
 
 def has_urls(text: Column | str) -> Column:
-    return F.rlike(_text(text), F.lit(lx.URL))
+    text = _text(text)
+    return has_any(text, *URL_MARKERS) & F.rlike(text, F.lit(lx.URL))
 
 
 def url_count(text: Column | str) -> Column:
-    return F.regexp_count(_text(text), F.lit(lx.URL))
+    text = _text(text)
+    return F.when(has_any(text, *URL_MARKERS), F.regexp_count(text, F.lit(lx.URL))).otherwise(0)
 
 
 def emoji_runs(text: Column | str) -> Column:
@@ -93,14 +128,16 @@ def remove_emoji(text: Column | str) -> Column:
 def word_count(cleaned: Column | str) -> Column:
     """Number of whitespace-separated words of an already cleaned text."""
     text = _text(cleaned)
-    spaces = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    return F.when(text == "", 0).otherwise(spaces + 1)
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, " ")))
 
 
 def normalize_hashtags(tags: Column | str) -> Column:
     """Comma-joined tags: stripped, lower-cased, at least two characters."""
-    parts = F.transform(F.split(_text(tags), ","), lambda tag: F.lower(strip_spaces(tag)))
-    return F.array_join(F.filter(parts, lambda tag: F.length(tag) > 1), ",")
+    edges = f"^{lx.SPACE}+|{lx.SPACE}*(,){lx.SPACE}*|{lx.SPACE}+$"
+    stripped = F.regexp_replace(F.lower(_text(tags)), edges, "$1")
+    # With a comma before every tag, a tag of at most one character goes with its comma.
+    kept = F.regexp_replace(F.concat(F.lit(","), stripped), ",[^,]?(?=,|$)", "")
+    return F.regexp_replace(kept, "^,", "")
 
 
 def prepare_for_sentiment(text: Column | str, include_emojis: bool = True) -> Column:

@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for an input that is one small file; large inputs stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _pick(number: Column, *choices: Column) -> Column:
     """Choice by the last case of a number; the final choice takes the rest."""
     result = F.when(number == 0, choices[0])
@@ -38,7 +44,7 @@ def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = lambda c: c.cast("string")
     return (
         events.withColumn("doc_id", n % total)
-        .join(documents, "doc_id")
+        .join(spread(documents), "doc_id")
         .select(
             n.alias("seq"),
             F.when(n % 97 == 0, null)
@@ -131,10 +137,10 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("post").alias("src"), F.col("seq").alias("key"), F.lit(0).cast("bigint").alias("part"),
         F.col("post_text").alias("text"),
     )
-    turns = table(spark, sf_dir, "conversations").select(
+    turns = spread(table(spark, sf_dir, "conversations")).select(
         F.lit("turn").alias("src"), F.col("conv_id").alias("key"), F.col("turn").alias("part"), "text"
     )
-    pages = table(spark, sf_dir, "pages").select(
+    pages = spread(table(spark, sf_dir, "pages")).select(
         F.lit("page").alias("src"), F.col("page_id").alias("key"),
         F.lit(0).cast("bigint").alias("part"), F.col("html").alias("text"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postloom import schema
-from postloom.plans.inputs import posts_raw, table
+from postloom.plans.inputs import posts_raw, spread, table
 
 s = F.lit
 
@@ -98,7 +98,7 @@ def youtube_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def youtube_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detail response per document; German ones have no items."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents"))
     d = F.col("doc_id")
     url = lambda name: F.struct(F.concat(s(f"https://{name}.example/"), _str(d)).alias("url"))
     item = F.struct(
