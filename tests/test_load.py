@@ -1,0 +1,226 @@
+"""Validation, upsert and the stored table."""
+
+import itertools
+import random
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from postloom.operators import load
+from postloom.operators.collapse import keep_first
+from postloom.operators.indexing import assign_ids, with_row_index
+from postloom.operators.transform import (
+    label_posts,
+    rejected_posts,
+    transform_posts,
+    transform_stats,
+)
+
+SCHEMA = "seq long, post_id string, platform string, post_text string, likes string, scraped_at string"
+POST = ["post_id", "platform", "post_text", "likes", "scraped_at"]
+
+
+def rows(*given):
+    return [(i, *row) for i, row in enumerate(given)]
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def as_of():
+    return F.lit("2024-02-01").cast("timestamp_ntz")
+
+
+def batch(spark, data, number=0, **options):
+    return load.to_batch(transform_posts(frame(spark, data)), number, as_of(), **options)
+
+
+def content(df, names=("id", *POST)):
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)
+
+
+def sequential(batches):
+    """The load rule one row at a time: the first row fixes all but the counters."""
+    table = {}
+    for number, data in enumerate(batches):
+        for seq, post_id, platform, text, likes, scraped_at in data:
+            if not post_id or not platform:
+                continue
+            at = datetime.fromisoformat(scraped_at) if scraped_at else None
+            arrival = (number << load.SEQ_BITS) + seq
+            row = table.setdefault((post_id, platform), [arrival, post_id, platform, text or "", 0, None])
+            row[4], row[5] = int(likes or 0), at
+    return sorted((tuple(r) for r in table.values()), key=repr)
+
+
+def random_batches(seed, count=3, size=60):
+    rng = random.Random(seed)
+    ids = ["hot"] * 8 + [f"p{i}" for i in range(12)] + ["", None]
+    return [
+        rows(*[
+            (rng.choice(ids), rng.choice(["reddit", "twitter", "", None]), rng.choice(["a", "b", None]),
+             rng.choice(["1", "2", None]), rng.choice(["2024-01-01T00:00:00", "2024-01-02T00:00:00", None]))
+            for _ in range(size)
+        ])
+        for _ in range(count)
+    ]
+
+
+def test_first_fixes_and_last_updates(spark):
+    data = rows(
+        ("p", "reddit", None, "1", "2024-01-03T00:00:00"),
+        ("p", "reddit", "later text", "2", None),
+        ("p", "twitter", "other platform", "9", None),
+    )
+    assert content(batch(spark, data)) == [
+        (0, "p", "reddit", "", 2, None),
+        (2, "p", "twitter", "other platform", 9, None),
+    ]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_upsert_equals_row_by_row(spark, small):
+    batches = random_batches(1)
+    table = batch(spark, batches[0])
+    for number, data in enumerate(batches[1:], start=1):
+        table = load.upsert(table, batch(spark, data, number), small_batch=small)
+    assert content(table) == sequential(batches)
+
+
+def test_null_static_value_is_kept(spark):
+    target = batch(spark, rows(("p", "reddit", "x", "1", "2024-01-01T00:00:00"))).withColumn(
+        "author", F.lit(None).cast("string")
+    )
+    later = batch(spark, rows(("p", "reddit", "y", "2", None)), 1).withColumn("author", F.lit("new"))
+    for small in (False, True):
+        (row,) = load.upsert(target, later, small_batch=small).collect()
+        assert (row["author"], row["post_text"], row["likes"], row["scraped_at"]) == (None, "x", 2, None)
+
+
+def test_latest_by_scraped_at(spark):
+    newer_first = rows(
+        ("p", "reddit", "x", "5", "2024-01-03T00:00:00"),
+        ("p", "reddit", "y", "4", "2024-01-02T00:00:00"),
+        ("p", "reddit", "z", "3", None),
+    )
+    assert content(batch(spark, newer_first, latest_by="scraped_at"), ["post_text", "likes"]) == [("x", 5)]
+    target = batch(spark, newer_first[:1])
+    later = batch(spark, newer_first[1:2], 1)
+    for small in (False, True):
+        merged = load.upsert(target, later, "scraped_at", small)
+        assert content(merged, ["post_text", "likes"]) == [("x", 5)]
+
+
+def test_merge_does_not_depend_on_order(spark):
+    batches = [batch(spark, d, i) for i, d in enumerate(random_batches(2))]
+    expected = sequential(random_batches(2))
+    for order in itertools.permutations(batches):
+        merged = order[0]
+        for other in order[1:]:
+            merged = load.upsert(merged, other)
+        assert content(merged) == expected
+
+
+def test_table(spark, tmp_path):
+    batches = random_batches(3, count=4)
+    table = load.PostsTable(spark, str(tmp_path / "posts"))
+    assert table.posts().count() == 0
+    with pytest.raises(ValueError):
+        table.compact()
+    for number, data in enumerate(batches):
+        table.append(transform_posts(frame(spark, data)), as_of=as_of())
+        assert content(table.posts()) == sequential(batches[: number + 1])
+        if number in (1, 2):
+            table.compact()
+            assert content(table.posts()) == sequential(batches[: number + 1])
+    # Writing a batch again, as after a failure, changes nothing.
+    table.append(transform_posts(frame(spark, batches[3])), batch_no=3, as_of=as_of())
+    expected = sequential(batches)
+    assert content(table.posts()) == expected
+    assert content(table.posts("reddit")) == [r for r in expected if r[2] == "reddit"]
+    keys = table.posts().select("post_id", "platform")
+    assert keys.count() == keys.distinct().count()
+    # With broadcasting off, the same table is merged by one full outer join.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert content(table.posts()) == expected
+        assert "FullOuter" in table.posts()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unfinished_batch_is_not_read(spark, tmp_path):
+    table = load.PostsTable(spark, str(tmp_path / "posts"))
+    table.append(transform_posts(frame(spark, rows(("p", "reddit", "x", "1", None)))))
+    lost = tmp_path / "posts" / "log" / "batch=1"
+    lost.mkdir()
+    assert table.next_batch_no() == 1
+    assert table.posts().count() == 1
+
+
+def test_relabel_engagement(spark):
+    target = batch(spark, rows(("p", "reddit", "x", "1", None)))
+    merged = load.upsert(target, batch(spark, rows(("p", "reddit", "x", "20000", None)), 1))
+    assert content(merged, ["engagement_level"]) == [("low",)]
+    assert content(load.relabel_engagement(merged), ["engagement_level"]) == [("viral",)]
+
+
+def test_validation(spark):
+    target = batch(spark, rows(("old", "reddit", "x", "1", None)))
+    data = rows(
+        ("new", "reddit", "a", "1", None), ("new", "reddit", "b", "1", None),
+        ("old", "reddit", "c", "1", None), ("old", "twitter", "d", "1", None),
+        (None, "reddit", "e", "1", None), ("x", "", "f", "1", None),
+    )
+    checked = load.validate_load(frame(spark, data), target)
+    status = {r["post_text"]: (r["status"], r["error"] is not None) for r in checked.collect()}
+    assert status == {
+        "a": ("success", False), "b": ("duplicate", False), "c": ("duplicate", False),
+        "d": ("success", False), "e": ("error", True), "f": ("error", True),
+    }
+    assert load.load_stats(checked).collect()[0].asDict() == {"loaded": 2, "duplicates": 2, "errors": 2}
+
+
+def test_transform_rejects(spark):
+    data = rows(
+        ("a", "reddit", "love", "1", None), ("b", "reddit", "bad", "inf", None),
+        ("", "reddit", "bad", "1", None), (None, "reddit", "bad", "1", None), ("c", "x", None, "nan", None),
+    )
+    raw = frame(spark, data).withColumn("extra", F.lit("kept"))
+    assert content(transform_posts(raw), ["post_id", "sentiment_label", "extra"]) == [
+        ("a", "positive", "kept"), ("c", "neutral", "kept"),
+    ]
+    assert content(rejected_posts(raw), ["post_id", "reject_reason"]) == [("b", "counter out of range")]
+    assert transform_stats(raw).collect()[0].asDict() == {
+        "processed": 2, "errors": 1, "positive": 1, "negative": 0, "neutral": 1,
+    }
+
+
+def test_label_schemes(spark):
+    raw = frame(spark, rows(("a", "reddit", "lovely", "1,000", None))).withColumn("comments", F.lit("0"))
+    got = label_posts(raw).select("sentiment_label", "engagement_level").collect()[0]
+    assert tuple(got) == ("positive", "high")
+    got = label_posts(raw, "words").select("sentiment_label", "engagement_level").collect()[0]
+    assert tuple(got) == ("neutral", "high")
+    with pytest.raises(KeyError):
+        label_posts(raw, "other")
+
+
+def test_row_index_and_ids(spark):
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("seq"))
+    # A third of the rows share the leading sort value.
+    skewed = df.withColumn("lead", F.when(F.col("seq") % 3 == 0, 1).otherwise(F.col("seq")))
+    numbered = with_row_index(skewed, [F.asc("lead"), F.asc("seq")])
+    got = [tuple(r) for r in numbered.orderBy("row_index").collect()]
+    expected = sorted((r["lead"], r["seq"]) for r in skewed.collect())
+    assert [(r[1], r[0]) for r in got] == expected
+    assert [r[2] for r in got] == list(range(5000))
+    ids = assign_ids(df, start=10).orderBy("seq").collect()
+    assert [r["id"] for r in ids] == list(range(11, 5011))
+
+
+def test_keep_first_keeps_null_values(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", "x"), (3, "b", "y")], "seq long, k string, v string")
+    assert content(keep_first(df, ["k"]), ["seq", "k", "v"]) == [(1, "a", None), (3, "b", "y")]
