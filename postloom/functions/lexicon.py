@@ -85,6 +85,7 @@ _RARE = r"\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{
 RARE_SPACE = f"[{_RARE}]"
 SPACE = f"[ {_RARE}]"
 NON_SPACE = f"[^ {_RARE}]"
+SPACE_CHARACTERS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 # Emoticons, symbols, transport, flags and everything from U+24C2 to U+1F251.
 EMOJI = r"[\x{24C2}-\x{1F251}\x{1F300}-\x{1F64F}\x{1F680}-\x{1F6FF}]"
 EMOJI_RUN = f"{EMOJI}+"

@@ -36,20 +36,25 @@ def _blank_to_null(text: Column) -> Column:
 
 def _digits(text: Column) -> Column:
     """Numeric text without surrounding whitespace and digit separators."""
-    return F.regexp_replace(strip_spaces(text), "(?<=[0-9])_(?=[0-9])", "")
+    edges_and_separators = f"^{lx.SPACE}+|{lx.SPACE}+$|(?<=[0-9])_(?=[0-9])"
+    return F.regexp_replace(text, edges_and_separators, "")
+
+
+def _number(text: Column, pattern: str) -> Column:
+    """Double of a text that has the given form, else NULL."""
+    return F.regexp_extract(text, pattern, 0).try_cast("double")
 
 
 def safe_int(value: Column | str) -> Column:
     """Whole part of a count given as text; bad or missing text counts as 0.
 
     A count too large for a bigint, infinity included, gives NULL so that the
-    caller can reject the row.
+    caller can reject the row. The text is used once: queries that filter on the
+    result repeat the whole expression.
     """
     text = _digits(F.replace(_col(value).cast("string"), F.lit(","), F.lit("")))
-    number = F.when(text.rlike(NUMBER), text).try_cast("double")
-    return F.when(
-        number.isNotNull() | text.rlike(INFINITE), number.try_cast("bigint")
-    ).otherwise(F.lit(0).cast("bigint"))
+    number = _number(text, f"{NUMBER}|{INFINITE}")
+    return F.coalesce(number, F.lit(0.0)).try_cast("bigint")
 
 
 def metric_text(value: Column | str) -> Column:
@@ -57,15 +62,14 @@ def metric_text(value: Column | str) -> Column:
     text = F.upper(strip_spaces(F.coalesce(_col(value), F.lit(""))))
 
     def scaled(suffix: str, factor: int) -> Column:
-        number = _digits(F.replace(text, F.lit(suffix), F.lit("")))
-        number = F.when(number.rlike(NUMBER), number).try_cast("double")
+        number = _number(_digits(F.replace(text, F.lit(suffix), F.lit(""))), NUMBER)
         return (number * factor).try_cast("bigint")
 
     whole = _digits(F.replace(text, F.lit(","), F.lit("")))
     parsed = (
         F.when(F.contains(text, F.lit("K")), scaled("K", 1000))
         .when(F.contains(text, F.lit("M")), scaled("M", 1000000))
-        .otherwise(F.when(whole.rlike(INTEGER), whole).try_cast("bigint"))
+        .otherwise(F.regexp_extract(whole, INTEGER, 0).try_cast("bigint"))
     )
     return F.coalesce(parsed, F.lit(0).cast("bigint"))
 

@@ -44,7 +44,7 @@ def collapse_spaces(text: Column) -> Column:
 
 def strip_spaces(text: Column) -> Column:
     """Remove whitespace from both ends only."""
-    return F.regexp_replace(text, f"^{lx.SPACE}+|{lx.SPACE}+$", "")
+    return F.btrim(text, F.lit(lx.SPACE_CHARACTERS))
 
 
 def _decoded(text: Column, entities: list[tuple[str, str]]) -> Column:
@@ -53,14 +53,19 @@ def _decoded(text: Column, entities: list[tuple[str, str]]) -> Column:
     return F.when(has_any(text, "&"), replace_all(text, entities)).otherwise(text)
 
 
-def _cleaned(
+def _plain_characters(
     text: Column, entities: list[tuple[str, str]], characters: list[tuple[str, str]]
 ) -> Column:
-    """Decode entities, then replace typographic characters, then collapse spaces."""
+    """Decode entities, then replace typographic characters."""
     decoded = _decoded(text, entities)
     # Decoding adds no typographic characters, so ASCII text needs no second pass.
-    plain = F.when(is_ascii(text), decoded).otherwise(replace_all(decoded, characters))
-    return collapse_spaces(plain)
+    return F.when(is_ascii(text), decoded).otherwise(replace_all(decoded, characters))
+
+
+def _cleaned(
+    text: Column, entities: list[tuple[str, str]], characters: list[tuple[str, str]]
+) -> Column:
+    return collapse_spaces(_plain_characters(text, entities, characters))
 
 
 def clean_post(text: Column | str) -> Column:
@@ -143,12 +148,14 @@ def normalize_hashtags(tags: Column | str) -> Column:
 def prepare_for_sentiment(text: Column | str, include_emojis: bool = True) -> Column:
     """Struct of the text ready for modelling and what was found in it."""
     raw = _text(text)
-    cleaned = remove_hashtags(remove_urls(clean_plain(raw)))
-    if not include_emojis:
-        cleaned = remove_emoji(cleaned)
-    cleaned = collapse_spaces(F.regexp_replace(cleaned, lx.MENTION, ""))
+    removed = [lx.URL, lx.HASHTAG_TAIL, *([] if include_emojis else [lx.EMOJI_RUN]), lx.MENTION]
+    # None of the patterns depends on how much whitespace there is, so collapsing it
+    # once at the end gives what collapsing after every step would.
+    cleaned = _plain_characters(raw, [], [*lx.QUOTES_AND_DASHES, *lx.ZERO_WIDTH])
+    for pattern in removed:
+        cleaned = F.regexp_replace(cleaned, pattern, "")
     return F.struct(
-        cleaned.alias("cleaned_text"),
+        collapse_spaces(cleaned).alias("cleaned_text"),
         hashtags(raw).alias("hashtags"),
         mentions(raw).alias("mentions"),
         has_urls(raw).alias("has_urls"),
