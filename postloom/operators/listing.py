@@ -38,8 +38,11 @@ def get_posts(
     order = [*parse_order(posts, order_by), *[F.asc(k) for k in reversed(KEY)]]
     if offset + limit <= TOP_K_ROWS:
         return rows.orderBy(*order).offset(offset).limit(limit)
-    page = F.col("_index").between(offset, offset + limit - 1)
-    return with_row_index(rows, order, "_index").filter(page).drop("_index")
+    # Number the keys only and fetch the rows of the page afterwards.
+    names = dict.fromkeys([*[item.split()[0] for item in order_by.split(",")], *KEY])
+    numbered = with_row_index(rows.select(*names), order, "_index")
+    page = numbered.filter(F.col("_index").between(offset, offset + limit - 1))
+    return rows.join(page.select(*KEY), KEY, "left_semi").select(*rows.columns).orderBy(*order)
 
 
 def top_posts_by_likes(posts: DataFrame, limit: int = 20) -> DataFrame:

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postloom.functions.labels import engagement_etl
 from postloom.operators.collapse import collapse
 from postloom.schema import KEY, MUTABLE, POSTS, STATIC, STORED
 
@@ -53,6 +54,8 @@ def to_batch(
     """
     if arrival is None:
         arrival = F.lit(batch_no << SEQ_BITS) + F.col("seq")
+    unordered = F.raise_error(F.lit("a captured row has no seq")).cast("bigint")
+    arrival = F.coalesce(arrival, unordered)
     counters = ["likes", "comments", "upvote_ratio", "retweet_count", "view_count"]
     rows = transformed.filter(valid_key(transformed)).withColumn("last_seq", arrival)
     rows = rows.withColumn("id", F.col("last_seq"))
@@ -177,8 +180,6 @@ def load_stats(validated: DataFrame) -> DataFrame:
 
 def relabel_engagement(stored: DataFrame) -> DataFrame:
     """Recompute the engagement level from the latest counters."""
-    from postloom.functions.labels import engagement_etl
-
     return stored.withColumn("engagement_level", engagement_etl())
 
 

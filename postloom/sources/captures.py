@@ -113,8 +113,8 @@ def youtube_details(responses: DataFrame) -> DataFrame:
 def join_details(hits: DataFrame, details: DataFrame) -> DataFrame:
     """Search hits with their details; a hit without details is dropped.
 
-    ``details`` has one row per id, so a hit repeated very often only makes a
-    large left partition, which adaptive execution splits.
+    ``details`` has one row per id, so an id hit very often only makes a large
+    left partition, which adaptive execution splits.
     """
     return hits.join(details, "video_id")
 
@@ -143,7 +143,9 @@ def youtube_posts(
         parts,
         "youtube",
         as_of,
-        post_id=F.col("video_id"),
+        # Not the join column itself: a later grouping by post id then shuffles after
+        # combining, which leaves the join free to split the partition of a hot video.
+        post_id=F.concat("video_id", F.lit("")),
         post_text=F.concat_ws("\n\n", "_title", text.remove_hashtags("_description")),
         hashtags=F.array_join(text.hashtags("_description"), ","),
         timestamp=field("snippet", "publishedAt"),

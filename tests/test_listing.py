@@ -37,13 +37,17 @@ def test_get_posts(posts):
 
 
 def test_deep_page_equals_top_k(posts, monkeypatch):
-    shallow = [ids(listing.get_posts(posts, limit=2, offset=o, order_by="likes DESC")) for o in range(6)]
+    def pages():
+        return [
+            ids(listing.get_posts(posts, platform, limit=2, offset=offset, order_by=order_by))
+            for platform in (None, "reddit")
+            for order_by in ("likes DESC", "platform, likes", "post_id DESC")
+            for offset in range(6)
+        ]
+
+    shallow = pages()
     monkeypatch.setattr(listing, "TOP_K_ROWS", 0)
-    deep = [
-        ids(listing.get_posts(posts, limit=2, offset=o, order_by="likes DESC").orderBy("likes", "post_id"))
-        for o in range(6)
-    ]
-    assert [sorted(p) for p in deep] == [sorted(p) for p in shallow]
+    assert pages() == shallow
 
 
 def test_search(posts):

@@ -224,3 +224,9 @@ def test_row_index_and_ids(spark):
 def test_keep_first_keeps_null_values(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "a", "x"), (3, "b", "y")], "seq long, k string, v string")
     assert content(keep_first(df, ["k"]), ["seq", "k", "v"]) == [(1, "a", None), (3, "b", "y")]
+
+
+def test_row_without_order_is_an_error(spark):
+    raw = spark.createDataFrame([(None, "p", "reddit", "x", "1", None)], SCHEMA)
+    with pytest.raises(Exception, match="no seq"):
+        load.to_batch(transform_posts(raw), 0).collect()

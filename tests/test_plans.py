@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from postloom.operators import analytics, listing, load
 from postloom.operators.transform import transform_posts
-from postloom.plans import inputs
+from postloom.plans import inputs, payloads
+from postloom.sources import captures
 
 EAGER = {
     "table_load", "export_csv_roundtrip", "export_parquet_roundtrip", "csv_log_append",
@@ -89,3 +90,16 @@ def test_first_occurrence_join_spreads_a_hot_key(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Window" not in text
     assert "SortMergeJoin [post_id" in text and "seq" in text.split("SortMergeJoin")[1][:60]
+
+
+def test_hot_video_can_be_split(spark, sf_dir):
+    """The collapse after the detail join has its own shuffle, so the join may be split."""
+    pages, responses = payloads.youtube_pages(spark, sf_dir), payloads.youtube_responses(spark, sf_dir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = load.to_batch(transform_posts(captures.youtube_posts(pages, responses)), 0)
+        text = plan(batch)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above_join = text.split("SortMergeJoin")[0]
+    assert "partial_min_by" in above_join and "Exchange hashpartitioning(post_id" in above_join
