@@ -32,11 +32,12 @@ def get_posts(
     limit: int = 100,
     offset: int = 0,
     order_by: str = "scraped_at DESC",
+    top_k_rows: int = TOP_K_ROWS,
 ) -> DataFrame:
     """One page of posts. Ties are broken by platform and post id."""
     rows = on_platform(posts, platform)
     order = [*parse_order(posts, order_by), *[F.asc(k) for k in reversed(KEY)]]
-    if offset + limit <= TOP_K_ROWS:
+    if offset + limit <= top_k_rows:
         return rows.orderBy(*order).offset(offset).limit(limit)
     # Number the keys only and fetch the rows of the page afterwards.
     names = dict.fromkeys([*[item.split()[0] for item in order_by.split(",")], *KEY])

@@ -450,6 +450,15 @@ ORACLES: dict[str, str] = {
             count(*) FILTER (sentiment_label = 'positive') AS positive,
             count(*) FILTER (sentiment_label = 'negative') AS negative,
             count(*) FILTER (sentiment_label = 'neutral') AS neutral FROM transformed""",
+    "rejected_posts": f"""WITH {POSTS_RAW}
+        SELECT seq, post_id, 'counter out of range' AS reject_reason FROM posts_raw
+        WHERE event_type = 'error' AND coalesce(post_id, '') <> ''""",
+    "load_run": f"""WITH {TRANSFORMED}
+        SELECT (SELECT count(*) FROM posts_raw) AS input_count, count(*) AS transformed_count,
+            count(*) AS loaded_count, 0::BIGINT AS errors,
+            count(*) FILTER (sentiment_label = 'positive') AS positive,
+            count(*) FILTER (sentiment_label = 'negative') AS negative,
+            count(*) FILTER (sentiment_label = 'neutral') AS neutral FROM transformed""",
     "label_posts": f"""WITH {POSTS_RAW}
         SELECT seq, {substring_sentiment('post_text')} AS sentiment_label,
             {engagement(f"({safe_int('likes')})", f"({safe_int('comments')})", lx.LABELER_THRESHOLDS, 2)}
@@ -484,6 +493,9 @@ ORACLES: dict[str, str] = {
         f"""SELECT {COLUMNS} FROM posts WHERE platform = 'twitter'
         {LIST_ORDER.format('scraped_at')} LIMIT 100 OFFSET 50"""
     ),
+    "get_posts_deep_page": over_posts(
+        f"SELECT {COLUMNS} FROM posts {LIST_ORDER.format('likes')} LIMIT 100 OFFSET 500"
+    ),
     "top_posts_by_likes": over_posts(
         f"SELECT {COLUMNS} FROM posts {LIST_ORDER.format('likes')} LIMIT 50"
     ),
@@ -580,12 +592,13 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT seq * {PAGE} + 1, 'c' || seq, 'reddit', event_type, '', '', '', '0', '0', '[deleted]',
             'https://reddit.com', {lit(AS_OF.replace(' ', 'T'))}, '', 0
-        FROM posts_raw WHERE seq % 2 = 1""",
+        FROM posts_raw WHERE event_type <> 'error'""",
     "capture_limit": f"""WITH {POSTS_RAW}
         SELECT * FROM (
             SELECT seq * {PAGE} AS seq, 'r' || seq AS post_id, coalesce(author, '[deleted]') AS author
             FROM posts_raw
-            UNION ALL SELECT seq * {PAGE} + 1, 'c' || seq, '[deleted]' FROM posts_raw WHERE seq % 2 = 1
+            UNION ALL SELECT seq * {PAGE} + 1, 'c' || seq, '[deleted]' FROM posts_raw
+            WHERE event_type <> 'error'
         ) ORDER BY seq LIMIT 50""",
     "youtube_search": f"""WITH described AS (
             SELECT *, {clean_plain("text || ' #Video #' || lang || ' end'")} AS description
@@ -633,5 +646,8 @@ ORACLES: dict[str, str] = {
         SELECT post_id, platform, post_text, hashtags, likes, author, NULL::VARCHAR AS url,
             CASE WHEN platform = 'twitter' THEN '7' END AS retweet_count
         FROM posts_raw WHERE platform IN ('instagram', 'twitter')""",
+    "streaming_first_seen": f"""WITH {POSTS_RAW}
+        SELECT platform, count(DISTINCT post_id) AS posts FROM posts_raw
+        WHERE coalesce(post_id, '') <> '' GROUP BY platform""",
     "streaming_load": over_posts(f"SELECT {COLUMNS} FROM posts"),
 }

@@ -27,7 +27,7 @@ def _str(column: Column) -> Column:
 
 
 def reddit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two children per page: a post with everything, and a bare one without id on even pages."""
+    """Two children per page: a post with everything, and a bare one that errors left without id."""
     n = F.col("seq")
     seconds = F.unix_seconds(F.col("scraped_at").cast("timestamp")).cast("double")
     full = F.struct(
@@ -59,7 +59,7 @@ def reddit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("preview"),
     )
     bare = F.struct(
-        F.when(n % 2 == 0, "").otherwise(F.concat(s("c"), _str(n))).alias("id"),
+        F.when(F.col("event_type") == "error", "").otherwise(F.concat(s("c"), _str(n))).alias("id"),
         F.col("event_type").alias("title"),
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in _child_fields()[2:]],
     )

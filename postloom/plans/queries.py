@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postloom.functions import labels, parse, text
 from postloom.operators import analytics, export, indexing, listing, load, transform
 from postloom.operators.collapse import keep_first
+from postloom.operators.run import run_load
 from postloom.plans import inputs, payloads
 from postloom.schema import POSTS, RAW_POSTS
 from postloom.session import scratch_path
@@ -253,9 +254,9 @@ def _csv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All raw posts as files through the streaming load, in several micro-batches."""
-    arriving = scratch_path(spark, "arriving")
+def _arriving(spark: SparkSession, sf_dir: str) -> str:
+    """All raw posts as a folder of JSON files."""
+    path = scratch_path(spark, "arriving")
     raw = inputs.captured(spark, sf_dir)
     full = raw.select(
         *[
@@ -263,7 +264,13 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             for f in RAW_POSTS
         ]
     )
-    full.write.json(arriving)
+    full.write.json(path)
+    return path
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming load in several micro-batches."""
+    arriving = _arriving(spark, sf_dir)
     table = load.PostsTable(spark, scratch_path(spark, "streamed"))
     source = stream.read_stream(spark, arriving, max_files=2)
     run = stream.stream_load(
@@ -273,6 +280,39 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.posts().select(*POST_COLUMNS)
 
 
+def _first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts left per platform when repeats are dropped from the stream."""
+    source = stream.read_stream(spark, _arriving(spark, sf_dir), max_files=2)
+    path = scratch_path(spark, "first_seen")
+    run = (
+        stream.first_seen(source.filter(F.coalesce("post_id", F.lit("")) != ""), "60 days")
+        .writeStream.option("checkpointLocation", scratch_path(spark, "offsets"))
+        .option("path", path)
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.parquet(path).groupBy("platform").agg(F.count(F.lit(1)).alias("posts"))
+
+
+def _load_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts a batch load reports."""
+    table = load.PostsTable(spark, scratch_path(spark, "run"))
+    metrics = run_load(inputs.captured(spark, sf_dir), table, as_of())
+    counts = {k: metrics[k] for k in ("input_count", "transformed_count", "loaded_count", "errors")}
+    row = {**counts, **metrics["sentiment"]}
+    return spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} long" for k in row))
+
+
+def _rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of failed events get an unusable counter."""
+    raw = inputs.posts_raw(spark, sf_dir)
+    broken = raw.withColumn(
+        "likes", F.when(F.col("event_type") == "error", "inf").otherwise(F.col("likes"))
+    )
+    return transform.rejected_posts(broken).select("seq", "post_id", "reject_reason")
+
+
 def _sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql = """
         SELECT author, COUNT(*) AS post_count, AVG(likes) AS avg_likes
@@ -351,11 +391,13 @@ QUERIES: dict[str, Query] = {
     "transform_stats": lambda spark, sf_dir: transform.transform_stats(
         inputs.captured(spark, sf_dir)
     ),
+    "rejected_posts": _rejected,
     "label_posts": _labelled,
     # loading
     "upsert_posts": _upsert,
     "upsert_latest_capture": _upsert_latest,
     "table_load": _table_load,
+    "load_run": _load_run,
     "load_validation": _validated,
     "load_stats": lambda spark, sf_dir: load.load_stats(_validated(spark, sf_dir)),
     "duplicate_check": _duplicate_check,
@@ -365,6 +407,11 @@ QUERIES: dict[str, Query] = {
     "get_posts_page": _over_posts(
         lambda p: listing.get_posts(p, "twitter", limit=100, offset=50).select(*POST_COLUMNS)
     ),
+    "get_posts_deep_page": _over_posts(
+        lambda p: listing.get_posts(
+            p, limit=100, offset=500, order_by="likes DESC", top_k_rows=100
+        ).select(*POST_COLUMNS)
+    ),
     "top_posts_by_likes": _over_posts(
         lambda p: listing.top_posts_by_likes(p, 50).select(*POST_COLUMNS)
     ),
@@ -404,4 +451,5 @@ QUERIES: dict[str, Query] = {
     "export_parquet_roundtrip": _parquet_roundtrip,
     "csv_log_append": _csv_log,
     "streaming_load": _stream,
+    "streaming_first_seen": _first_seen,
 }

@@ -36,5 +36,3 @@ def values(spark):
     return run
 
 
-def plan_of(df, mode="formatted"):
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -36,18 +36,16 @@ def test_get_posts(posts):
             listing.get_posts(posts, order_by=bad)
 
 
-def test_deep_page_equals_top_k(posts, monkeypatch):
-    def pages():
+def test_deep_page_equals_top_k(posts):
+    def pages(top_k_rows):
         return [
-            ids(listing.get_posts(posts, platform, limit=2, offset=offset, order_by=order_by))
+            ids(listing.get_posts(posts, platform, 2, offset, order_by, top_k_rows))
             for platform in (None, "reddit")
             for order_by in ("likes DESC", "platform, likes", "post_id DESC")
             for offset in range(6)
         ]
 
-    shallow = pages()
-    monkeypatch.setattr(listing, "TOP_K_ROWS", 0)
-    assert pages() == shallow
+    assert pages(0) == pages(1000)
 
 
 def test_search(posts):
