@@ -174,6 +174,21 @@ def parse_timestamp(value: Column | str) -> Column:
     return F.when(signed, naive - F.make_dt_interval(F.lit(0), hours, minutes)).otherwise(naive)
 
 
+def utc(moment: Column) -> Column:
+    """Zone-less UTC time of a TIMESTAMP, whatever the session time zone is."""
+    local = moment.cast("timestamp").cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+
+
+def now() -> Column:
+    return utc(F.current_timestamp())
+
+
+def iso_text(moment: Column) -> Column:
+    """ISO text of a zone-less timestamp."""
+    return F.replace(moment.cast("string"), F.lit(" "), F.lit("T"))
+
+
 def epoch_text(seconds: Column | str) -> Column:
     """ISO text (UTC) of epoch seconds; absent or 0 gives ''."""
     seconds = _col(seconds)
@@ -181,7 +196,7 @@ def epoch_text(seconds: Column | str) -> Column:
     whole = F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
     )
-    text = F.replace((epoch + whole).cast("string"), F.lit(" "), F.lit("T"))
+    text = iso_text(epoch + whole)
     return F.when(F.coalesce(seconds, F.lit(0.0)) != 0, text).otherwise("")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions.labels import engagement_etl
+from postloom.functions.parse import now
 from postloom.operators.collapse import collapse
 from postloom.schema import KEY, MUTABLE, POSTS, STATIC, STORED
 
@@ -60,8 +61,7 @@ def to_batch(
     rows = transformed.filter(valid_key(transformed)).withColumn("last_seq", arrival)
     rows = rows.withColumn("id", F.col("last_seq"))
     if "processed_at" not in rows.columns:
-        now = F.current_timestamp() if as_of is None else as_of
-        rows = rows.withColumn("processed_at", now)
+        rows = rows.withColumn("processed_at", now() if as_of is None else as_of)
     rows = _aligned(rows, STORED.fieldNames()).fillna(0, subset=counters)
     return merge_all(rows, latest_by)
 

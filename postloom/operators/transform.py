@@ -14,11 +14,23 @@ REASON = "reject_reason"
 
 
 def _as_timestamp(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, T.StringType):
+    data_type = df.schema[name].dataType
+    if isinstance(data_type, T.StringType):
         return parse.parse_timestamp(name)
+    if isinstance(data_type, T.TimestampType):
+        return parse.utc(F.col(name))
     return F.col(name).cast("timestamp_ntz")
 
 
+def _capture_time(df: DataFrame, as_of: Column | None) -> Column:
+    """Capture time; a text that is no time becomes the present, a missing one stays NULL."""
+    time = _as_timestamp(df, "scraped_at")
+    if not isinstance(df.schema["scraped_at"].dataType, T.StringType):
+        return time
+    present = parse.now() if as_of is None else as_of
+    return F.coalesce(time, F.when(F.col("scraped_at") != "", present))
+
+
 def _complete(df: DataFrame) -> DataFrame:
     """Add the raw columns this capture does not have; keep every other column."""
     missing = {
@@ -29,11 +41,11 @@ def _complete(df: DataFrame) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def _transformed(raw: DataFrame) -> DataFrame:
+def with_reasons(raw: DataFrame, as_of: Column | None = None) -> DataFrame:
     """All rows with a post id, transformed; failed rows carry a reject reason."""
     raw = _complete(raw).filter(F.coalesce(F.col("post_id"), F.lit("")) != "")
     timestamp = _as_timestamp(raw, "timestamp")
-    scraped_at = _as_timestamp(raw, "scraped_at")
+    scraped_at = _capture_time(raw, as_of)
     cleaned = raw.withColumns(
         {
             # The two counts look at the text as captured, the word count at the cleaned text.
@@ -58,25 +70,25 @@ def _transformed(raw: DataFrame) -> DataFrame:
     )
 
 
-def transform_posts(raw: DataFrame) -> DataFrame:
+def transform_posts(raw: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Clean, normalise and label raw posts. Columns not known here pass through.
 
     Rows without a post id are dropped; rows with a counter that does not fit are
     left out here and returned by :func:`rejected_posts`.
     """
-    return _transformed(raw).filter(F.col(REASON).isNull()).drop(REASON)
+    return with_reasons(raw, as_of).filter(F.col(REASON).isNull()).drop(REASON)
 
 
 def rejected_posts(raw: DataFrame) -> DataFrame:
     """Rows that have a post id but could not be transformed, with the reason."""
-    return _transformed(raw).filter(F.col(REASON).isNotNull())
+    return with_reasons(raw).filter(F.col(REASON).isNotNull())
 
 
 def transform_stats(raw: DataFrame) -> DataFrame:
     """One row of counters for a batch: processed, errors and the sentiment counts."""
     ok = F.col(REASON).isNull()
     sentiment = F.col("sentiment_label")
-    return _transformed(raw).agg(
+    return with_reasons(raw).agg(
         F.count_if(ok).alias("processed"),
         F.count_if(~ok).alias("errors"),
         *[F.count_if(ok & (sentiment == s)).alias(s) for s in ("positive", "negative", "neutral")],

@@ -29,7 +29,8 @@ def _str(column: Column) -> Column:
 def reddit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two children per page: a post with everything, and a bare one that errors left without id."""
     n = F.col("seq")
-    seconds = F.unix_seconds(F.col("scraped_at").cast("timestamp")).cast("double")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = F.timestamp_diff("SECOND", epoch, F.col("scraped_at")).cast("double")
     full = F.struct(
         F.concat(s("r"), _str(n)).alias("id"),
         F.concat(F.col("event_type"), s(" &amp;  “seen”")).alias("title"),

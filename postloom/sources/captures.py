@@ -29,14 +29,15 @@ def capture_order(page_no: str = "page_no", pos: str = "pos") -> Column:
     return F.shiftleft(F.col(page_no).cast("bigint"), _POS_BITS) + F.col(pos)
 
 
+def _iso(as_of: Column | None) -> Column:
+    return parse.iso_text(parse.now() if as_of is None else as_of)
+
+
 def _raw(df: DataFrame, platform: str, as_of: Column | None, **columns: Column) -> DataFrame:
     """Select the raw-post columns in schema order; absent ones are NULL."""
-    scraped_at = F.current_timestamp() if as_of is None else as_of
     known = {
         "platform": F.lit(platform),
-        "scraped_at": F.replace(
-            scraped_at.cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T")
-        ),
+        "scraped_at": _iso(as_of),
         "seq": capture_order(),
         **columns,
     }
@@ -160,11 +161,6 @@ def youtube_posts(
     )
 
 
-def _iso(as_of: Column | None) -> Column:
-    moment = (F.current_timestamp() if as_of is None else as_of).cast("timestamp_ntz")
-    return F.replace(moment.cast("string"), F.lit(" "), F.lit("T"))
-
-
 def instagram_posts(captures: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Captured photo posts; a post captured twice keeps its first capture."""
     usable = captures.filter(F.col("image_src").isNotNull())

@@ -230,3 +230,26 @@ def test_row_without_order_is_an_error(spark):
     raw = spark.createDataFrame([(None, "p", "reddit", "x", "1", None)], SCHEMA)
     with pytest.raises(Exception, match="no seq"):
         load.to_batch(transform_posts(raw), 0).collect()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+def test_capture_times(spark, zone):
+    data = rows(
+        ("a", "x", "", "1", "2024-01-02T03:04:05"), ("b", "x", "", "1", "2024-01-02T03:04:05+01:00"),
+        ("c", "x", "", "1", "just now"), ("d", "x", "", "1", ""), ("e", "x", "", "1", None),
+    )
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        done = transform_posts(frame(spark, data), as_of())
+        times = {r["post_id"]: r["scraped_at"] for r in done.collect()}
+        moment = frame(spark, data[:1]).withColumn("scraped_at", F.timestamp_seconds(F.lit(1700000000)))
+        (zoned,) = transform_posts(moment).collect()
+        (made,) = batch(spark, data[:1]).select("processed_at").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert times == {
+        "a": datetime(2024, 1, 2, 3, 4, 5), "b": datetime(2024, 1, 2, 2, 4, 5),
+        "c": datetime(2024, 2, 1), "d": None, "e": None,
+    }
+    assert zoned["scraped_at"] == datetime(2023, 11, 14, 22, 13, 20)
+    assert made["processed_at"] == datetime(2024, 2, 1)
