@@ -17,7 +17,8 @@ def _col(value: Column | str) -> Column:
 
 
 def _strings(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    """Constant array; folded into one literal when the query is optimized."""
+    return F.split(F.lit("|".join(values)), r"\|")
 
 
 def _by_sign(score: Column) -> Column:

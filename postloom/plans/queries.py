@@ -112,16 +112,13 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("seq", "sentiment_label", "engagement_level")
 
 
-def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    earlier, later = inputs.earlier_and_later(spark, sf_dir)
-    return (
-        load.to_batch(transform.transform_posts(earlier), 0, as_of()),
-        load.to_batch(transform.transform_posts(later), 1, as_of()),
-    )
+def _batch(raw: DataFrame, number: int) -> DataFrame:
+    return load.to_batch(transform.transform_posts(raw), number, as_of())
 
 
 def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, batch = _batches(spark, sf_dir)
+    earlier, later = inputs.earlier_and_later(spark, sf_dir)
+    target, batch = _batch(earlier, 0), _batch(later, 1)
     return load.as_posts(load.upsert(target, batch)).select(*POST_COLUMNS)
 
 
@@ -145,14 +142,15 @@ def _table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, _ = _batches(spark, sf_dir)
+    earlier, _ = inputs.earlier_and_later(spark, sf_dir)
     raw = inputs.captured(spark, sf_dir).select("seq", "post_id", "platform")
-    return load.validate_load(raw, target)
+    return load.validate_load(raw, _batch(earlier, 0))
 
 
 def _duplicate_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct loaded and new posts of the later load, by platform."""
-    target, batch = _batches(spark, sf_dir)
+    earlier, later = inputs.earlier_and_later(spark, sf_dir)
+    target, batch = _batch(earlier, 0), _batch(later, 1)
     known = load.known_posts(batch, target).select("platform", F.lit("known").alias("kind"))
     new = load.unknown_posts(batch, target).select("platform", F.lit("new").alias("kind"))
     both = known.unionByName(new).groupBy("platform", "kind")
