@@ -26,6 +26,7 @@ SEQ_BITS = 44  # room for 2^44 captures per batch and 2^19 batches
 
 def _aligned(df: DataFrame, names: list[str]) -> DataFrame:
     """Select stored columns, casting them and filling absent ones."""
+
     def column(name: str) -> Column:
         data_type = STORED[name].dataType
         if name not in df.columns:
@@ -137,12 +138,12 @@ def upsert(
 
 
 def known_posts(batch: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows of the batch whose key is already loaded."""
+    """Rows of a collapsed batch whose key is already loaded."""
     return batch.join(target.select(*KEY), KEY, "left_semi")
 
 
 def unknown_posts(batch: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows of the batch whose key is not loaded yet."""
+    """Rows of a collapsed batch whose key is not loaded yet."""
     return batch.join(target.select(*KEY), KEY, "left_anti")
 
 

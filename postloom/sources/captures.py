@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from postloom.functions import parse, text
 from postloom.operators.collapse import keep_first
+from postloom.operators.skew import join_spread
 from postloom.schema import (
     INSTAGRAM_CAPTURE,
     RAW_POSTS,
@@ -114,10 +115,10 @@ def youtube_details(responses: DataFrame) -> DataFrame:
 def join_details(hits: DataFrame, details: DataFrame) -> DataFrame:
     """Search hits with their details; a hit without details is dropped.
 
-    ``details`` has one row per id, so an id hit very often only makes a large
-    left partition, which adaptive execution splits.
+    ``details`` has one row per id. A video may be hit very often, so hot ids are
+    spread over the tasks.
     """
-    return hits.join(details, "video_id")
+    return join_spread(hits, details, "video_id", ["page_no", "pos"])
 
 
 def youtube_posts(
@@ -144,9 +145,7 @@ def youtube_posts(
         parts,
         "youtube",
         as_of,
-        # Not the join column itself: a later grouping by post id then shuffles after
-        # combining, which leaves the join free to split the partition of a hot video.
-        post_id=F.concat("video_id", F.lit("")),
+        post_id=F.col("video_id"),
         post_text=F.concat_ws("\n\n", "_title", text.remove_hashtags("_description")),
         hashtags=F.array_join(text.hashtags("_description"), ","),
         timestamp=field("snippet", "publishedAt"),

@@ -34,5 +34,3 @@ def values(spark):
         return [r["out"] for r in sorted(out, key=lambda r: r["i"])]
 
     return run
-
-

@@ -7,6 +7,7 @@ import __spark_entry__ as entry
 from postloom.operators import analytics, listing, load
 from postloom.operators.transform import transform_posts
 from postloom.plans import inputs, payloads
+from postloom.operators.skew import join_spread
 from postloom.sources import captures
 
 def plan(df):
@@ -79,14 +80,27 @@ def test_first_occurrence_join_spreads_a_hot_key(spark, sf_dir):
     assert "SortMergeJoin [post_id" in text and "seq" in text.split("SortMergeJoin")[1][:60]
 
 
-def test_hot_video_can_be_split(spark, sf_dir):
-    """The collapse after the detail join has its own shuffle, so the join may be split."""
-    pages, responses = payloads.youtube_pages(spark, sf_dir), payloads.youtube_responses(spark, sf_dir)
+def test_hot_video_is_spread(spark):
+    """Rows of a hot key reach the join under many salts and are all kept."""
+    hits = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), (F.col("id") % 3000).cast("string")))
+        .alias("video_id"),
+        F.col("id").alias("page_no"), F.lit(0).alias("pos"),
+    )
+    details = hits.select("video_id").distinct().withColumn("title", F.concat(F.lit("t-"), "video_id"))
+    details = details.filter("video_id <> 'v1'")
+    joined = join_spread(hits, details, "video_id", ["page_no", "pos"], hot_rows=100)
+    plain = hits.join(details, "video_id")
+    assert sorted(joined.collect()) == sorted(plain.select(*joined.columns).collect())
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        batch = load.to_batch(transform_posts(captures.youtube_posts(pages, responses)), 0)
-        text = plan(batch)
+        text = plan(join_spread(hits, details, "video_id", ["page_no", "pos"], hot_rows=100))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    above_join = text.split("SortMergeJoin")[0]
-    assert "partial_min_by" in above_join and "Exchange hashpartitioning(post_id" in above_join
+    assert "SortMergeJoin [video_id" in text and "_salt" in text.split("SortMergeJoin")[1][:40]
+
+
+def test_collapse_after_the_detail_join_combines_first(spark, sf_dir):
+    pages, responses = payloads.youtube_pages(spark, sf_dir), payloads.youtube_responses(spark, sf_dir)
+    batch = load.to_batch(transform_posts(captures.youtube_posts(pages, responses)), 0)
+    assert "partial_min_by" in plan(batch)
