@@ -4,6 +4,7 @@ import pytest
 from check_oracles import compare, connect
 
 import __spark_entry__ as entry
+from postloom.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,10 +13,11 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert QUERIES.keys() <= entry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, con, sf_dir, name):
     problem, _, _ = compare(spark, con, sf_dir, name)
     assert problem == ""
