@@ -11,7 +11,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postloom.llm import bpe, quality, toxicity
+from postloom.llm import bpe, decontam, minhash, quality, toxicity
 from postloom.llm.queries import RANKS
 from postloom.llm.store import keep, table
 
@@ -27,6 +27,16 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return quality.drop_low(docs, model)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: five-word shingles, similarity 0.8 or more."""
+    return minhash.drop_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the documents that are left."""
     return bpe.encode_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
@@ -35,6 +45,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("quality", drop_low_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
     ("bpe", encode),
 ]
 

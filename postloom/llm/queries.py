@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from postloom.llm import bpe, quality, toxicity
+from postloom.llm import bpe, decontam, minhash, quality, toxicity
 from postloom.llm.labelled import held_out
 from postloom.llm.store import table
 
@@ -20,6 +21,16 @@ def _scored(found: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = minhash.near_duplicates(docs, minhash.Settings(shingle=3, percent=85))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
 def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = quality.stored_statistics(table(spark, sf_dir, "documents"))
     model = quality.fit(stats, table(spark, sf_dir, "labels"))
@@ -38,6 +49,8 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
+    "op6_minhash": op6_minhash,
     "op7_quality_qda": op7_quality_qda,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_toxicity_ftrl": op10_toxicity_ftrl,
