@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, decontam, minhash, quality, toxicity
+from postloom.llm import bpe, decontam, kd_shards, minhash, quality, toxicity
 from postloom.llm.labelled import held_out
 from postloom.llm.store import table
 
@@ -37,6 +37,10 @@ def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(stats, model).withColumnRenamed("id", "doc_id"))
 
 
+def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard(table(spark, sf_dir, "documents"), shards=8)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     return bpe.encode_digests(table(spark, sf_dir, "documents"), path, pattern)
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op6_minhash": op6_minhash,
     "op7_quality_qda": op7_quality_qda,
+    "op8_kd_shards": op8_kd_shards,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_toxicity_ftrl": op10_toxicity_ftrl,
 }
