@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, decontam, kd_shards, minhash, quality, toxicity
+from postloom.llm import bpe, decontam, kd_shards, minhash, quality, topk, toxicity
 from postloom.llm.labelled import held_out
 from postloom.llm.store import table
 
@@ -25,6 +25,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = minhash.near_duplicates(docs, minhash.Settings(shingle=3, percent=85))
@@ -54,6 +58,7 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
+    "op4_threshold_top_k": op4_threshold_top_k,
     "op6_minhash": op6_minhash,
     "op7_quality_qda": op7_quality_qda,
     "op8_kd_shards": op8_kd_shards,
@@ -61,4 +66,23 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity_ftrl": op10_toxicity_ftrl,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_threshold_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE len(embedding) > 0 AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM (SELECT DISTINCT ON (vec_id) vec_id, e FROM v WHERE vec_id % 100 = 0) AS q
+            JOIN v AS c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}
