@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, decontam, kd_shards, minhash, quality, topk, toxicity
+from postloom.llm import bpe, decontam, kd_shards, minhash, quality, topk, toxicity, warc
 from postloom.llm.labelled import held_out
 from postloom.llm.store import table
 
@@ -21,6 +21,11 @@ def _scored(found: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_and_read(spark, table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -57,6 +62,7 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
     "op4_threshold_top_k": op4_threshold_top_k,
     "op6_minhash": op6_minhash,
@@ -67,6 +73,19 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ),
+        f AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM f
+    """,
     "op4_threshold_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
