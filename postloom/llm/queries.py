@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, decontam, kd_shards, minhash, quality, topk, toxicity, warc
+from postloom.llm import bpe, decontam, kd_shards, licences, minhash, quality, topk, toxicity, warc
 from postloom.llm.labelled import held_out
 from postloom.llm.store import table
 
@@ -30,6 +30,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(*licences.scan(table(spark, sf_dir, "documents")))
+
+
 def op4_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -64,6 +68,7 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
+    "op3_licences": op3_licences,
     "op4_threshold_top_k": op4_threshold_top_k,
     "op6_minhash": op6_minhash,
     "op7_quality_qda": op7_quality_qda,
@@ -86,6 +91,57 @@ ORACLES: dict[str, str] = {
                CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
         FROM f
     """,
+    "op3_licences": """
+        WITH t(template, label, base, notice) AS (VALUES
+            (1, 'gpl', true, '+gnu +general +public +license'),
+            (2, 'apache', true, '+apache +license'),
+            (3, 'cc-by', true, '+cc +by'),
+            (4, 'mit', true, '+mit +license'),
+            (5, 'gpl-3.0', false, '+gnu +general +public +license +version +3'),
+            (6, 'gpl-2.0', false, '+gnu +general +public +license +version +2'),
+            (7, 'gpl-notice', false, 'this program is +free +software you can redistribute it and or modify it under the terms of the +gnu +general +public +license'),
+            (8, 'apache-2.0', false, 'licensed under the +apache +license +version +2 +0'),
+            (9, 'mit', false, '+permission +is +hereby +granted +free +of +charge to any person obtaining a copy of this software and associated documentation files'),
+            (10, 'mit-release', false, 'released under the +mit +license'),
+            (11, 'bsd', false, '+redistribution +and +use +in +source +and +binary +forms with or without modification are permitted provided that the following conditions are met'),
+            (12, 'isc', false, '+permission +to +use +copy +modify +and +or +distribute this software for any purpose with or without fee is hereby granted'),
+            (13, 'mpl-2.0', false, 'this source code form is subject to the terms of the +mozilla +public +license v 2 0'),
+            (14, 'cc-by-nc', false, 'licensed under +cc +by +nc'),
+            (15, 'cc-by-sa', false, 'licensed under +cc +by +sa'),
+            (16, 'creative-commons', false, 'this work is licensed under a +creative +commons attribution'),
+            (17, 'unlicense', false, 'this is free and +unencumbered +software +released +into +the +public +domain')
+        ),
+        tw AS (
+            SELECT template, label, base, unnest(generate_series(0, len(w) - 1)) AS place, len(w) AS total,
+                   ltrim(unnest(w), '+') AS word, CAST(starts_with(unnest(w), '+') AS INTEGER) AS must
+            FROM (SELECT *, string_split(notice, ' ') AS w FROM t)
+        ),
+        needs AS (SELECT template, sum(must) AS must FROM tw GROUP BY template),
+        d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ),
+        dw AS (SELECT doc_id, unnest(generate_series(0, len(w) - 1)) AS pos, unnest(w) AS word FROM d),
+        found AS (
+            SELECT doc_id, template, any_value(label) AS label, any_value(base) AS base, pos - place AS start,
+                   count(*) / any_value(total) AS share
+            FROM dw JOIN tw USING (word) JOIN needs USING (template)
+            GROUP BY doc_id, template, pos - place
+            HAVING sum(tw.must) = any_value(needs.must) AND 100 * count(*) >= 80 * any_value(total)
+        ),
+        s AS (
+            SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+                   max(start) FILTER (base) AS last_word,
+                   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+                   string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+            FROM found GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+        FROM d LEFT JOIN s USING (doc_id)
+    """,
     "op4_threshold_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
