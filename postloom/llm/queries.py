@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, decontam, kd_shards, licences, minhash, quality, topk, toxicity, warc
+from postloom.llm import bpe, decontam, kd_shards, licences, minhash, quality, token_counts, topk, toxicity, warc
 from postloom.llm.labelled import held_out
 from postloom.llm.store import table
 
@@ -38,6 +38,24 @@ def op4_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def sample_edits() -> Column:
+    """Four edits of every document, at places that follow from its id: a replacement, a
+    passage of the text moved elsewhere, a removal, and an addition at the end."""
+    text, n = F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))
+    at = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), n + 1)
+    one = lambda start, removed, inserted: F.struct(start.alias("start"), F.lit(removed).alias("removed"), inserted.alias("inserted"))
+    moved = F.substr(text, (at(2) + 1).cast("int"), F.lit(60))
+    return F.array(
+        one(at(1), 7, F.lit(" it's edited, 42 ")), one(at(3), 0, moved), one(at(4), 40, F.lit("")), one(n + 100, 0, F.lit("\n  The end."))
+    )
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = token_counts.edit(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, sample_edits())
+    return counted.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_encoded")
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = minhash.near_duplicates(docs, minhash.Settings(shingle=3, percent=85))
@@ -70,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_licences": op3_licences,
     "op4_threshold_top_k": op4_threshold_top_k,
+    "op5_token_counts": op5_token_counts,
     "op6_minhash": op6_minhash,
     "op7_quality_qda": op7_quality_qda,
     "op8_kd_shards": op8_kd_shards,
