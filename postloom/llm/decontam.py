@@ -73,15 +73,18 @@ def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
 
 def index_of(shingles: DataFrame, percent: int) -> DataFrame:
-    """(shingle, item, at, n_words, size): the rarest shingles of each item, where they first stand."""
-    each = shingles.groupBy("item", "n_words", "size", "shingle").agg(F.min("pos").alias("at"), F.count(F.lit(1)).alias("times"))
-    spread = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("items"))
-    by_rarity = Window.partitionBy("item").orderBy("items", "shingle")
+    """(shingle, item, at, n_words, size): the rarest shingles of each item, wherever they stand.
+
+    Rarity is the number of occurrences in the whole benchmark.
+    """
+    each = shingles.groupBy("item", "n_words", "size", "shingle").agg(F.count(F.lit(1)).alias("times"), F.collect_list("pos").alias("places"))
+    spread = each.groupBy("shingle").agg(F.sum("times").alias("occurrences"))
+    by_rarity = Window.partitionBy("item").orderBy("occurrences", "shingle")
     before = F.coalesce(F.sum("times").over(by_rarity.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     whole = F.col("n_words") - F.col("size") + 1
     ranked = each.join(spread, "shingle").withColumn("before", before)
     chosen = ranked.filter(100 * F.col("before") <= (100 - percent) * whole)
-    return keep(chosen.select("shingle", "item", "at", "n_words", "size"), "item-index")
+    return keep(chosen.select("shingle", "item", F.explode("places").alias("at"), "n_words", "size"), "item-index")
 
 
 def windows_of(docs: DataFrame, index: DataFrame, sizes: list[int], id_col: str, text_col: str) -> DataFrame:
@@ -176,7 +179,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
         times.join(near, ["window", "item"], "left_semi")
         .join(theirs, (F.col("item") == F.col("i")) & (F.col("shingle") == F.col("s")), "left")
         .groupBy("window", "item")
-        .agg(F.sum("window_times").alias("total"), F.sum(F.coalesce(F.least("window_times", "item_times"), F.lit(0))).alias("shared"))
+        .agg(F.sum("window_times").alias("total"), F.sum(F.least("window_times", F.coalesce("item_times", F.lit(0)))).alias("shared"))
         .join(totals, F.col("item") == F.col("i"))
         .withColumn("joint", F.col("total") + F.col("item_total") - F.col("shared"))
         .filter(100 * F.col("shared") >= percent * F.col("joint"))
