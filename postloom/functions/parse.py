@@ -12,10 +12,12 @@ from postloom.functions.text import strip_spaces
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER = r"^[+-]?[0-9]+$"
 INFINITE = r"^[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])$"
+# Parts of one digit are read only where hours, minutes and seconds are all given.
 TIMESTAMP = (
-    r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})"
+    r"^(?=[0-9]{4}-[0-9]{2}-[0-9]{2}(?:\z|[Tt ][0-9]{2}:[0-9]{2})|[^:]*:[0-9]{1,2}:[0-9])"
+    r"([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})"
     r"(?:[Tt ]([0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:\.[0-9]{1,6})?)?)[0-9]*"
-    r"([Zz]|[+-][0-9]{2}:?[0-9]{2})?)?$"
+    r"([Zz]|[+-](?:[01][0-9]|2[0-3]):?[0-5][0-9])?)?\z"
 )
 COUNT = "([0-9]+(?:,[0-9]+)*)"
 LIKES = f"{COUNT}{lx.SPACE}*(?:like|likes)"

@@ -34,6 +34,15 @@ def has_any(text: Column, *markers: str) -> Column:
     return reduce(or_, [F.contains(text, F.lit(m)) for m in markers])
 
 
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _without(text: Column, pattern: str, *markers: str) -> Column:
+    """Remove a pattern from texts that hold one of the literals it needs."""
+    return F.when(has_any(text, *markers), F.regexp_replace(text, pattern, "")).otherwise(text)
+
+
 def collapse_spaces(text: Column) -> Column:
     """Turn every whitespace run into one space and trim both ends."""
     # Single plain spaces are left alone, and one range rules out the printable
@@ -86,16 +95,18 @@ def clean_reddit(text: Column | str) -> Column:
 
 def hashtags(text: Column | str) -> Column:
     """Array of tags without the leading ``#``."""
-    return F.regexp_extract_all(_text(text), F.lit(lx.HASHTAG), F.lit(1))
+    text = _text(text)
+    return F.when(has_any(text, "#"), F.regexp_extract_all(text, F.lit(lx.HASHTAG), F.lit(1))).otherwise(_none())
 
 
 def remove_hashtags(text: Column | str) -> Column:
-    return collapse_spaces(F.regexp_replace(_text(text), lx.HASHTAG_TAIL, ""))
+    return collapse_spaces(_without(_text(text), lx.HASHTAG_TAIL, "#"))
 
 
 def mentions(text: Column | str) -> Column:
     """Array of mentions with the leading ``@``; also finds them inside e-mail addresses."""
-    return F.regexp_extract_all(_text(text), F.lit(lx.MENTION), F.lit(0))
+    text = _text(text)
+    return F.when(has_any(text, "@"), F.regexp_extract_all(text, F.lit(lx.MENTION), F.lit(0))).otherwise(_none())
 
 
 def mention_count(text: Column | str) -> Column:
@@ -104,7 +115,7 @@ def mention_count(text: Column | str) -> Column:
 
 
 def remove_urls(text: Column | str) -> Column:
-    return strip_spaces(F.regexp_replace(_text(text), lx.URL, ""))
+    return strip_spaces(_without(_text(text), lx.URL, *URL_MARKERS))
 
 
 def has_urls(text: Column | str) -> Column:
@@ -119,15 +130,18 @@ def url_count(text: Column | str) -> Column:
 
 def emoji_runs(text: Column | str) -> Column:
     """Array of maximal emoji runs. The range also covers CJK and Hangul."""
-    return F.regexp_extract_all(_text(text), F.lit(lx.EMOJI_RUN), F.lit(0))
+    text = _text(text)
+    return F.when(is_ascii(text), _none()).otherwise(F.regexp_extract_all(text, F.lit(lx.EMOJI_RUN), F.lit(0)))
 
 
 def emoji_run_count(text: Column | str) -> Column:
-    return F.regexp_count(_text(text), F.lit(lx.EMOJI_RUN))
+    text = _text(text)
+    return F.when(is_ascii(text), 0).otherwise(F.regexp_count(text, F.lit(lx.EMOJI_RUN)))
 
 
 def remove_emoji(text: Column | str) -> Column:
-    return F.regexp_replace(_text(text), lx.EMOJI_RUN, "")
+    text = _text(text)
+    return F.when(is_ascii(text), text).otherwise(F.regexp_replace(text, lx.EMOJI_RUN, ""))
 
 
 def word_count(cleaned: Column | str) -> Column:
@@ -148,12 +162,13 @@ def normalize_hashtags(tags: Column | str) -> Column:
 def prepare_for_sentiment(text: Column | str, include_emojis: bool = True) -> Column:
     """Struct of the text ready for modelling and what was found in it."""
     raw = _text(text)
-    removed = [lx.URL, lx.HASHTAG_TAIL, *([] if include_emojis else [lx.EMOJI_RUN]), lx.MENTION]
     # None of the patterns depends on how much whitespace there is, so collapsing it
     # once at the end gives what collapsing after every step would.
     cleaned = _plain_characters(raw, [], [*lx.QUOTES_AND_DASHES, *lx.ZERO_WIDTH])
-    for pattern in removed:
-        cleaned = F.regexp_replace(cleaned, pattern, "")
+    cleaned = _without(_without(cleaned, lx.URL, *URL_MARKERS), lx.HASHTAG_TAIL, "#")
+    if not include_emojis:
+        cleaned = remove_emoji(cleaned)
+    cleaned = _without(cleaned, lx.MENTION, "@")
     return F.struct(
         collapse_spaces(cleaned).alias("cleaned_text"),
         hashtags(raw).alias("hashtags"),

@@ -10,7 +10,7 @@ from postloom.operators.indexing import with_row_index
 from postloom.schema import KEY
 
 # Up to this many rows a page comes from a top-k; beyond it the rows kept per task
-# would grow with the offset, so the page is cut from a numbered global sort.
+# would grow with the offset, so the same page is cut from a numbered global sort.
 TOP_K_ROWS = 100_000
 
 
@@ -34,16 +34,18 @@ def get_posts(
     order_by: str = "scraped_at DESC",
     top_k_rows: int = TOP_K_ROWS,
 ) -> DataFrame:
-    """One page of posts. Ties are broken by platform and post id."""
+    """One page of posts.
+
+    Ties are broken by platform and post id, then by a hash of the row, so rows without or
+    with a repeated key have one place too, the same for every offset.
+    """
     rows = on_platform(posts, platform)
-    order = [*parse_order(posts, order_by), *[F.asc(k) for k in reversed(KEY)]]
+    order = [*parse_order(posts, order_by), *[F.asc(k) for k in reversed(KEY)], F.asc(F.xxhash64(*rows.columns))]
     if offset + limit <= top_k_rows:
         return rows.orderBy(*order).offset(offset).limit(limit)
-    # Number the keys only and fetch the rows of the page afterwards.
-    names = dict.fromkeys([*[item.split()[0] for item in order_by.split(",")], *KEY])
-    numbered = with_row_index(rows.select(*names), order, "_index")
+    numbered = with_row_index(rows, order, "_index")
     page = numbered.filter(F.col("_index").between(offset, offset + limit - 1))
-    return rows.join(page.select(*KEY), KEY, "left_semi").select(*rows.columns).orderBy(*order)
+    return page.orderBy("_index").select(*rows.columns)
 
 
 def top_posts_by_likes(posts: DataFrame, limit: int = 20) -> DataFrame:

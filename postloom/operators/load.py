@@ -1,7 +1,7 @@
 """Loading posts: validation, batch collapse, upsert and the stored table.
 
 A table is a folder with collapsed batches below ``log/`` and merged states
-below ``base/``. Adding a batch writes only that batch; readers merge the batches
+below ``base/``. The table numbers its batches; a committed batch never changes. Adding a batch writes only that batch; readers merge the batches
 that are not in the newest merged state yet. Every row carries two arrival
 numbers, that of the first and that of the latest capture of its key. The merge
 takes the fixed columns from the smaller and the counters from the larger one, so
@@ -22,6 +22,7 @@ from postloom.operators.collapse import collapse
 from postloom.schema import KEY, MUTABLE, POSTS, STATIC, STORED
 
 SEQ_BITS = 44  # room for 2^44 captures per batch and 2^19 batches
+COMMITTED = "_committed"  # the mark of a finished folder; readers of Parquet skip it
 
 
 def _aligned(df: DataFrame, names: list[str]) -> DataFrame:
@@ -55,7 +56,11 @@ def to_batch(
     out; :func:`validate_load` reports them.
     """
     if arrival is None:
-        arrival = F.lit(batch_no << SEQ_BITS) + F.col("seq")
+        if not 0 <= batch_no < 1 << (63 - SEQ_BITS):
+            raise ValueError(f"batch number {batch_no} is out of range")
+        fits = F.col("seq").between(0, (1 << SEQ_BITS) - 1)
+        too_large = F.raise_error(F.lit("a captured row's seq is out of range")).cast("bigint")
+        arrival = F.lit(batch_no << SEQ_BITS) + F.when(fits | F.col("seq").isNull(), F.col("seq")).otherwise(too_large)
     unordered = F.raise_error(F.lit("a captured row has no seq")).cast("bigint")
     arrival = F.coalesce(arrival, unordered)
     counters = ["likes", "comments", "upvote_ratio", "retweet_count", "view_count"]
@@ -101,9 +106,7 @@ def _sides(latest_by: str) -> list[Column]:
     def column(name: str) -> Column:
         if name in KEY:
             picked = F.coalesce(f"t.{name}", f"b.{name}")
-        elif name == "last_seq":
-            picked = F.greatest(f"t.{name}", f"b.{name}")
-        elif name in MUTABLE:
+        elif name in [*MUTABLE, "last_seq"]:
             picked = F.when(counters_from_b, F.col(f"b.{name}")).otherwise(F.col(f"t.{name}"))
         else:
             picked = F.when(static_from_t, F.col(f"t.{name}")).otherwise(F.col(f"b.{name}"))
@@ -155,6 +158,8 @@ def validate_load(batch: DataFrame, target: DataFrame) -> DataFrame:
     so rows of a repeated key stay spread over the tasks.
     """
     valid = valid_key(batch)
+    unordered = F.raise_error(F.lit("a captured row has no seq")).cast("bigint")
+    batch = batch.withColumn("seq", F.when(valid, F.coalesce("seq", unordered)).otherwise(F.col("seq")))
     firsts = batch.filter(valid).groupBy(*KEY).agg(F.min("seq").alias("seq"))
     accepted = unknown_posts(firsts, target).withColumn("_accepted", F.lit(True))
     checked = batch.join(accepted, [*KEY, "seq"], "left").select(
@@ -165,7 +170,7 @@ def validate_load(batch: DataFrame, target: DataFrame) -> DataFrame:
             "status": F.when(~valid_key(checked), "error")
             .when(F.col("_accepted"), "success")
             .otherwise("duplicate"),
-            "error": F.when(~valid_key(checked), "Missing required fields (post_id, platform)"),
+            "error": F.when(~valid_key(checked), "post id or platform is missing"),
         }
     ).drop("_accepted")
 
@@ -188,8 +193,10 @@ def relabel_engagement(stored: DataFrame) -> DataFrame:
 class PostsTable:
     """A stored posts table below one folder of the shared file system.
 
-    One writer at a time; any number of readers. A folder counts only once Spark
-    has committed it, so a lost job leaves nothing a reader would see.
+    One writer at a time; any number of readers. A folder counts only once it holds the
+    table's own mark, written after Spark's job has ended, so a lost job leaves nothing a
+    reader would see. Whether counters follow the latest arrival or the latest
+    ``scraped_at`` is fixed with the first batch and kept with the table.
     """
 
     spark: SparkSession
@@ -200,38 +207,80 @@ class PostsTable:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _committed(self, kind: str) -> list[int]:
-        """Numbers of the committed folders, one per batch or merged state."""
-        p, fs = self._hadoop(f"{self.path}/{kind}")
-        if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-        done = [n for n in names if fs.exists(self._hadoop(f"{self.path}/{kind}/{n}/_SUCCESS")[0])]
-        return sorted(int(n.split("=")[1]) for n in done)
+    def _found(self, pattern: str) -> list:
+        """Paths that match a pattern below the table, in one call to the file system."""
+        p, fs = self._hadoop(f"{self.path}/{pattern}")
+        return [s.getPath() for s in fs.globStatus(p) or []]
+
+    def _folders(self, kind: str) -> dict[int, str]:
+        """Name of each committed folder by its number, one per batch or merged state."""
+        names = [p.getParent().getName() for p in self._found(f"{kind}/*/{COMMITTED}")]
+        return {int(n.split("=")[1].split("-")[0]): n for n in sorted(names)}
+
+    def _commit(self, folder: str) -> None:
+        p, fs = self._hadoop(f"{folder}/{COMMITTED}")
+        fs.create(p, True).close()
 
     def _bytes(self, paths: list[str]) -> int:
         sizes = (self._hadoop(path) for path in paths)
         return sum(fs.getContentSummary(p).getLength() for p, fs in sizes)
 
+    def latest_by(self) -> str | None:
+        """The rule the table was started with; None before its first batch."""
+        rules = [p.getName().split("=")[1] for p in self._found("rule=*")]
+        return rules[0] if rules else None
+
+    def _fix_rule(self, wanted: str | None) -> str:
+        rule = self.latest_by()
+        if rule is None:
+            rule = wanted or "arrival"
+            p, fs = self._hadoop(f"{self.path}/rule={rule}")
+            fs.mkdirs(p)
+        if wanted not in (None, rule):
+            raise ValueError(f"the table keeps the latest by {rule}, not by {wanted}")
+        return rule
+
     def next_batch_no(self) -> int:
-        numbers = [*self._committed("log"), *self._committed("base")]
-        return max(numbers, default=-1) + 1
-
-    def append(self, transformed: DataFrame, batch_no: int | None = None, **options) -> int:
-        """Collapse and write one batch; writing the same number again replaces it."""
-        number = self.next_batch_no() if batch_no is None else batch_no
-        batch = to_batch(transformed, number, **options)
-        batch.write.mode("overwrite").parquet(f"{self.path}/log/batch={number}")
+        return max([*self._folders("log"), *self._folders("base")], default=-1) + 1
+
+    def append(
+        self,
+        transformed: DataFrame,
+        batch_no: int | None = None,
+        origin: str | None = None,
+        latest_by: str | None = None,
+        **options,
+    ) -> int:
+        """Collapse and write one batch under the table's next number; returns the number.
+
+        ``origin`` names where the batch comes from, such as a stream and its micro-batch.
+        A batch whose origin, or whose given number, is committed already is not written
+        again. A given number must otherwise be the next one.
+        """
+        log = self._folders("log")
+        if origin is not None:
+            for number, name in log.items():
+                if name == f"batch={number}-{origin}":
+                    return number
+        if batch_no in log:
+            return batch_no
+        number = self.next_batch_no()
+        if batch_no not in (None, number):
+            raise ValueError(f"the next batch is {number}, not {batch_no}")
+        batch = to_batch(transformed, number, latest_by=self._fix_rule(latest_by), **options)
+        folder = f"{self.path}/log/batch={number}" + (f"-{origin}" if origin else "")
+        batch.write.mode("overwrite").parquet(folder)
+        self._commit(folder)
         return number
 
     def _read(self, *paths: str) -> DataFrame:
         return self.spark.read.schema(STORED).parquet(*paths)
 
-    def stored(self, platform: str | None = None, latest_by: str = "arrival") -> DataFrame:
+    def stored(self, platform: str | None = None) -> DataFrame:
         """Current stored rows; a platform filter reaches both the base and the log."""
-        base = self._committed("base")
-        upto = base[-1] if base else -1
-        log = [f"{self.path}/log/batch={n}" for n in self._committed("log") if n > upto]
+        base, latest_by = self._folders("base"), self.latest_by() or "arrival"
+        upto = max(base, default=-1)
+        log = [f"{self.path}/log/{name}" for n, name in self._folders("log").items() if n > upto]
 
         def part(df: DataFrame) -> DataFrame:
             return df.filter(F.col("platform") == platform) if platform else df
@@ -252,7 +301,7 @@ class PostsTable:
     def posts(self, platform: str | None = None) -> DataFrame:
         return as_posts(self.stored(platform))
 
-    def compact(self, latest_by: str = "arrival") -> int:
+    def compact(self) -> int:
         """Write the merged state of all batches, split by platform and ordered by time.
 
         Rows stay in the partitions the merge left them in, so a platform holding
@@ -261,12 +310,11 @@ class PostsTable:
         number = self.next_batch_no() - 1
         if number < 0:
             raise ValueError("nothing to compact")
-        (
-            self.stored(latest_by=latest_by)
-            .sortWithinPartitions("platform", "timestamp")
-            .write.mode("overwrite")
-            .partitionBy("platform")
-            .parquet(f"{self.path}/base/upto={number}")
-        )
+        if number in self._folders("base"):
+            return number
+        folder = f"{self.path}/base/upto={number}"
+        rows = self.stored().sortWithinPartitions("platform", "timestamp")
+        rows.write.mode("overwrite").partitionBy("platform").parquet(folder)
+        self._commit(folder)
         return number
 

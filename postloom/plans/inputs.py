@@ -14,14 +14,18 @@ from postloom.operators import load
 from postloom.operators.transform import transform_posts
 
 
+SMALL_BYTES = 1 << 28
+SMALL_PARTS = 8
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for an input that is one small file; large inputs stay as read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal out an input of a few small files; whatever is larger stays as it is read."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(SMALL_PARTS) if size <= SMALL_BYTES else df
 
 
 def _pick(number: Column, *choices: Column) -> Column:

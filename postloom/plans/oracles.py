@@ -573,7 +573,7 @@ ORACLES: dict[str, str] = {
     "search_detail_join": """SELECT e.event_id AS page_no, 0 AS pos, 'v' || e.user_id AS video_id,
             d.source AS channel_id
         FROM events e JOIN documents d ON d.doc_id = e.user_id
-        WHERE e.event_type IN ('view', 'click') AND d.lang <> 'de'""",
+        WHERE e.event_type IN ('view', 'click') AND d.doc_id % 11 <> 0""",
     "reddit_listing": f"""WITH {POSTS_RAW},
         bodies AS (SELECT *, {clean_reddit('post_text')} AS body FROM posts_raw)
         SELECT seq * {PAGE} AS seq, 'r' || seq AS post_id, 'reddit' AS platform,
@@ -602,7 +602,7 @@ ORACLES: dict[str, str] = {
         ) ORDER BY seq LIMIT 50""",
     "youtube_search": f"""WITH described AS (
             SELECT *, {clean_plain("text || ' #Video #' || lang || ' end'")} AS description
-            FROM documents WHERE lang <> 'de'
+            FROM documents WHERE doc_id % 11 <> 0
         )
         SELECT e.event_id * {PAGE} AS seq, 'v' || d.doc_id AS post_id, 'youtube' AS platform,
             'On "' || d.source || '"' || chr(10) || chr(10) || {without_tags('description')} AS post_text,
@@ -641,13 +641,46 @@ ORACLES: dict[str, str] = {
             CAST(CAST(trunc((seq % 90 + 0.5) * 1000) AS BIGINT) AS VARCHAR) AS retweet_count
         FROM tweets QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY tweets.seq) = 1""",
     "export_csv_roundtrip": over_posts(f"SELECT {COLUMNS} FROM posts"),
-    "export_parquet_roundtrip": over_posts(f"SELECT {COLUMNS} FROM posts WHERE platform = 'reddit'"),
+    "export_parquet_roundtrip": over_posts(f"SELECT {COLUMNS} FROM posts"),
     "csv_log_append": f"""WITH {POSTS_RAW}
         SELECT post_id, platform, post_text, hashtags, likes, author, NULL::VARCHAR AS url,
             CASE WHEN platform = 'twitter' THEN '7' END AS retweet_count
-        FROM posts_raw WHERE platform IN ('instagram', 'twitter')""",
+        FROM posts_raw""",
     "streaming_first_seen": f"""WITH {POSTS_RAW}
         SELECT platform, count(DISTINCT post_id) AS posts FROM posts_raw
         WHERE coalesce(post_id, '') <> '' GROUP BY platform""",
     "streaming_load": over_posts(f"SELECT {COLUMNS} FROM posts"),
 }
+# The same relations by other ways: through files, several writers, and the whole dashboard.
+ORACLES |= {
+    "mixed_load": ORACLES["table_load"],
+    "import_csv": ORACLES["export_csv_roundtrip"],
+    "read_reddit_files": ORACLES["reddit_listing"],
+    "read_youtube_files": ORACLES["youtube_search"],
+    "read_instagram_files": ORACLES["instagram_capture"],
+    "read_tweet_files": ORACLES["tweet_capture"],
+    "sql_join": over_posts(
+        """SELECT author, count(*) FILTER (platform = 'reddit') AS here,
+            count(*) FILTER (platform = 'youtube') AS there
+        FROM posts WHERE author IS NOT NULL GROUP BY author HAVING here > 0 AND there > 0"""
+    ),
+    "export_both": over_posts(
+        """SELECT kind, platform, count(*) AS posts, CAST(sum(likes) AS BIGINT) AS likes
+        FROM posts, (VALUES ('csv'), ('parquet')) AS k(kind) GROUP BY kind, platform"""
+    ),
+    "dashboard": over_posts(
+        """SELECT 'overview' AS section, NULL AS name, count(*) AS count FROM posts
+        UNION ALL SELECT 'by_platform', platform, count(*) FROM posts GROUP BY platform
+        UNION ALL SELECT 'sentiment', sentiment_label, count(*) FROM posts
+            WHERE sentiment_label IS NOT NULL GROUP BY sentiment_label
+        UNION ALL SELECT 'engagement', engagement_level, count(*) FROM posts
+            WHERE engagement_level IS NOT NULL GROUP BY engagement_level
+        UNION ALL SELECT * FROM (
+            SELECT 'top_hashtags', trim(tag) AS tag, count(*) AS n
+            FROM (SELECT unnest(string_split(hashtags, ',')) AS tag FROM posts WHERE hashtags <> '')
+            WHERE trim(tag) <> '' GROUP BY trim(tag) ORDER BY n DESC, tag LIMIT 10)
+        UNION ALL SELECT * FROM (
+            SELECT 'top_authors', author, count(*) AS n FROM posts
+            WHERE author IS NOT NULL AND author <> '[deleted]' GROUP BY author ORDER BY n DESC, author LIMIT 5)"""
+    ),
+}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -235,18 +236,17 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export_parquet")
-    export.export_parquet(inputs.posts(spark, sf_dir), path, platform="reddit")
+    export.export_parquet(inputs.posts(spark, sf_dir), path)
     return files.read_parquet_posts(spark, path).select(*POST_COLUMNS)
 
 
 def _csv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Photo posts, then tweets with their extra columns, appended to one log."""
+    """All posts appended to one log, the tweets apart with their extra column."""
     path = scratch_path(spark, "log")
     raw = inputs.captured(spark, sf_dir)
-    photos = raw.filter(F.col("platform") == "instagram")
-    tweets = raw.filter(F.col("platform") == "twitter").withColumn("retweet_count", F.lit("7"))
-    export.append_csv_log(photos, path)
-    export.append_csv_log(tweets, path)
+    is_tweet = F.col("platform") == "twitter"
+    export.append_csv_log(raw.filter(~is_tweet), path)
+    export.append_csv_log(raw.filter(is_tweet).withColumn("retweet_count", F.lit("7")), path)
     return export.read_csv_log(spark, path).select(
         "post_id", "platform", "post_text", "hashtags", "likes", "author", "url", "retweet_count"
     )
@@ -254,8 +254,11 @@ def _csv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _arriving(spark: SparkSession, sf_dir: str) -> str:
     """All raw posts as a folder of JSON files."""
-    path = scratch_path(spark, "arriving")
-    raw = inputs.captured(spark, sf_dir)
+    return _as_json(inputs.captured(spark, sf_dir), scratch_path(spark, "arriving"))
+
+
+def _as_json(raw: DataFrame, path: str) -> str:
+    """Raw posts written as a capture would be, with times as text."""
     full = raw.select(
         *[
             (F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -278,12 +281,78 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.posts().select(*POST_COLUMNS)
 
 
+def _mixed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table loaded by a batch, compacted, then by two streams with their own checkpoints."""
+    earlier, later = inputs.earlier_and_later(spark, sf_dir)
+    path = _as_json(later, scratch_path(spark, "later"))
+    table = load.PostsTable(spark, scratch_path(spark, "mixed"))
+    table.append(transform.transform_posts(earlier), as_of=as_of())
+    table.compact()
+    for _ in range(2):
+        source = stream.read_stream(spark, path, max_files=100_000)
+        stream.stream_load(source, table, scratch_path(spark, "offsets"), as_of=as_of()).awaitTermination()
+    return table.posts().select(*POST_COLUMNS)
+
+
+def _import_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export whose columns come in another order and partly not at all."""
+    path = scratch_path(spark, "import_csv")
+    posts = inputs.posts(spark, sf_dir)
+    shuffled = posts.select(*reversed([c for c in posts.columns if c not in ("processed_at", "duration", "channel_id")]))
+    export.export_csv(shuffled, path)
+    return files.read_csv_posts(spark, path).select(*POST_COLUMNS)
+
+
+def _captured_files(reader, make, *columns: str) -> Query:
+    """Payloads written as files and read back by the platform's reader."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "captures")
+        for name, payload in make(spark, sf_dir).items():
+            payload.write.json(f"{path}/{name}")
+        folder = path if len(list(make(spark, sf_dir))) > 1 else f"{path}/pages"
+        return reader(spark, folder, as_of()).select(*columns)
+
+    return run
+
+
+RAW_COLUMNS = ["seq", "post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes", "comments", "author"]
+
+
+def _sql_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Authors who post on two platforms."""
+    sql = """
+        SELECT a.author, a.posts AS here, b.posts AS there
+        FROM (SELECT author, count(*) AS posts FROM posts WHERE platform = ? GROUP BY author) AS a
+        JOIN (SELECT author, count(*) AS posts FROM posts WHERE platform = ? GROUP BY author) AS b
+          ON a.author = b.author
+    """
+    return listing.query(spark, inputs.posts(spark, sf_dir), sql, ["reddit", "youtube"])
+
+
+def _dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of every part of the dashboard, one relation."""
+    parts = analytics.dashboard(inputs.posts(spark, sf_dir))
+    names = {"by_platform": "platform", "sentiment": "sentiment_label", "engagement": "engagement_level", "top_hashtags": "hashtag", "top_authors": "author"}
+    rows = [parts["overview"].select(F.lit("overview").alias("section"), F.lit(None).cast("string").alias("name"), F.col("total_posts").alias("count"))]
+    rows += [parts[p].select(F.lit(p).alias("section"), F.col(c).alias("name"), "count") for p, c in names.items()]
+    return export.union_by_name(*rows)
+
+
+def _export_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and likes per platform in each file of a double export."""
+    paths = export.export(inputs.posts(spark, sf_dir), scratch_path(spark, "both"), "both", datetime(2024, 2, 1))
+    read = {"csv": files.read_csv_posts, "parquet": files.read_parquet_posts}
+    parts = [read[p.rpartition(".")[2]](spark, p).withColumn("kind", F.lit(p.rpartition(".")[2])) for p in paths]
+    return export.union_by_name(*parts).groupBy("kind", "platform").agg(F.count(F.lit(1)).alias("posts"), F.sum("likes").alias("likes"))
+
+
 def _first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts left per platform when repeats are dropped from the stream."""
     source = stream.read_stream(spark, _arriving(spark, sf_dir), max_files=2)
     path = scratch_path(spark, "first_seen")
     run = (
-        stream.first_seen(source.filter(F.coalesce("post_id", F.lit("")) != ""), "60 days")
+        stream.first_seen(source.filter(F.coalesce("post_id", F.lit("")) != ""))
         .writeStream.option("checkpointLocation", scratch_path(spark, "offsets"))
         .option("path", path)
         .trigger(availableNow=True)
@@ -422,6 +491,7 @@ QUERIES: dict[str, Query] = {
     "result_preview": _over_posts(_preview),
     "result_preview_more": _over_posts(_preview_more),
     "sql_passthrough": _sql,
+    "sql_join": _sql_join,
     # analytics
     "stats_total_range": _over_posts(analytics.total_and_range),
     "stats_date_range": _over_posts(analytics.date_range),
@@ -436,7 +506,22 @@ QUERIES: dict[str, Query] = {
     ),
     "engagement_distribution": _over_posts(analytics.engagement_distribution),
     "top_hashtags": _over_posts(analytics.top_hashtags),
+    "dashboard": _dashboard,
     # sources
+    "read_reddit_files": _captured_files(
+        captures.read_reddit, lambda s, d: {"pages": payloads.reddit_pages(s, d)}, *RAW_COLUMNS, "url", "scraped_at", "subreddit", "upvote_ratio"
+    ),
+    "read_youtube_files": _captured_files(
+        captures.read_youtube,
+        lambda s, d: {"search": payloads.youtube_pages(s, d), "details": payloads.youtube_responses(s, d)},
+        *RAW_COLUMNS, "url", "view_count", "duration", "channel_id",
+    ),
+    "read_instagram_files": _captured_files(
+        captures.read_instagram, lambda s, d: {"pages": payloads.instagram_captures(s, d)}, *RAW_COLUMNS
+    ),
+    "read_tweet_files": _captured_files(
+        captures.read_tweets, lambda s, d: {"pages": payloads.tweet_captures(s, d)}, *RAW_COLUMNS, "url", "retweet_count"
+    ),
     "union_by_name": _union,
     "search_detail_join": _detail_join,
     "reddit_listing": _reddit,
@@ -447,7 +532,10 @@ QUERIES: dict[str, Query] = {
     # sinks and streaming
     "export_csv_roundtrip": _csv_roundtrip,
     "export_parquet_roundtrip": _parquet_roundtrip,
+    "export_both": _export_both,
+    "import_csv": _import_csv,
     "csv_log_append": _csv_log,
     "streaming_load": _stream,
+    "mixed_load": _mixed_load,
     "streaming_first_seen": _first_seen,
 }

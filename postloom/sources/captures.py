@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from postloom.functions import parse, text
 from postloom.operators.collapse import keep_first
+from postloom.operators.indexing import with_row_index
 from postloom.operators.skew import join_spread
 from postloom.schema import (
     INSTAGRAM_CAPTURE,
@@ -23,11 +24,37 @@ from postloom.schema import (
 )
 
 _POS_BITS = 20  # positions within a page
+_PAGE_BITS = 24  # pages of one load
 
 
 def capture_order(page_no: str = "page_no", pos: str = "pos") -> Column:
-    """One sortable number for (page, position in page)."""
-    return F.shiftleft(F.col(page_no).cast("bigint"), _POS_BITS) + F.col(pos)
+    """One sortable number for (page, position in page); raises where it would not be unique."""
+    page, place = F.col(page_no).cast("bigint"), F.col(pos).cast("bigint")
+    fits = page.between(0, (1 << _PAGE_BITS) - 1) & place.between(0, (1 << _POS_BITS) - 1)
+    message = F.lit("a capture has too many pages, or a page too many posts, for one load")
+    too_large = F.raise_error(message).cast("bigint")
+    return F.when(fits | page.isNull() | place.isNull(), F.shiftleft(page, _POS_BITS) + place).otherwise(too_large)
+
+
+def _payloads(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Captured JSON, one payload per line; a line that is not JSON raises.
+
+    Payloads as delivered carry no ``page_no``. They are numbered by file path, so each of
+    their files must hold one payload.
+    """
+    read = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    if "page_no" not in read.columns:
+        return read
+    files = read.filter("page_no IS NULL").select(F.col("_metadata.file_path").alias("_file"))
+    if not files.limit(1).count():
+        return read
+    twice = F.raise_error(F.lit("a file without page_no holds several payloads")).cast("bigint")
+    counted = files.groupBy("_file").agg(F.count(F.lit(1)).alias("_payloads"))
+    numbered = with_row_index(counted, [F.asc("_file")], "_number")
+    number = F.when(F.col("_payloads") == 1, F.col("_number")).otherwise(twice)
+    found = numbered.select("_file", number.alias("_number"))
+    joined = read.withColumn("_path", F.col("_metadata.file_path")).join(found, F.col("_path") == F.col("_file"), "left")
+    return joined.withColumn("page_no", F.coalesce("page_no", "_number")).select(*read.columns)
 
 
 def _iso(as_of: Column | None) -> Column:
@@ -208,22 +235,22 @@ def tweet_posts(captures: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 def read_reddit(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
     """Captured listing pages, or search pages, of one subreddit or query."""
-    return reddit_posts(spark.read.schema(REDDIT_LISTING).json(path), as_of)
+    return reddit_posts(_payloads(spark, path, REDDIT_LISTING), as_of)
 
 
 def read_youtube(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
     """Captured search pages below ``search`` and detail responses below ``details``."""
-    pages = spark.read.schema(YOUTUBE_SEARCH).json(f"{path}/search")
-    responses = spark.read.schema(YOUTUBE_DETAILS).json(f"{path}/details")
+    pages = _payloads(spark, f"{path}/search", YOUTUBE_SEARCH)
+    responses = _payloads(spark, f"{path}/details", YOUTUBE_DETAILS)
     return youtube_posts(pages, responses, as_of)
 
 
 def read_instagram(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
-    return instagram_posts(spark.read.schema(INSTAGRAM_CAPTURE).json(path), as_of)
+    return instagram_posts(_payloads(spark, path, INSTAGRAM_CAPTURE), as_of)
 
 
 def read_tweets(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
-    return tweet_posts(spark.read.schema(TWEET_CAPTURE).json(path), as_of)
+    return tweet_posts(_payloads(spark, path, TWEET_CAPTURE), as_of)
 
 
 READERS = {
@@ -248,9 +275,10 @@ def read_posts(
 
 
 def read_all(spark: SparkSession, folders: dict[str, str], **options) -> DataFrame:
-    """Union of several platforms' captures."""
-    frames = [read_posts(spark, platform, path, **options) for platform, path in folders.items()]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
+    """Union of several platforms' captures; ``seq`` is unique and orders by page, then platform."""
+    result = None
+    for i, (platform, path) in enumerate(folders.items()):
+        posts = read_posts(spark, platform, path, **options)
+        frame = posts.withColumn("seq", F.col("seq") * len(folders) + i)
+        result = frame if result is None else result.unionByName(frame)
     return result

@@ -265,3 +265,10 @@ def test_lexicons_are_disjoint():
     # The score counts every hit that is not positive as negative.
     assert not set(lexicon.POSITIVE_WORDS) & set(lexicon.NEGATIVE_WORDS)
     assert len(set(lexicon.POSITIVE_WORDS)) == 31 and len(set(lexicon.NEGATIVE_WORDS)) == 35
+
+
+def test_times_that_are_not_iso_give_null(values):
+    bad = ["2024-1-5", "2024-01-05T9:5", "2024-01-05T09:05:00+99:99", "2024-01-05\n", "2024-01-05T09:05:00+05:75"]
+    assert values(parse.parse_timestamp, bad) == [None] * 5
+    good = values(parse.parse_timestamp, ["2024-1-5 9:5:7", "2024-01-05", "2024-01-05T09:05", "2024-01-05T09:05:00-02:30"])
+    assert [str(g) for g in good] == ["2024-01-05 09:05:07", "2024-01-05 00:00:00", "2024-01-05 09:05:00", "2024-01-05 11:35:00"]

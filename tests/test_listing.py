@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from postloom.operators import analytics, listing
 from postloom.schema import POSTS
@@ -107,3 +108,11 @@ def test_bundles(posts):
     assert {name: df.count() for name, df in board.items()} == {
         "overview": 1, "by_platform": 3, "sentiment": 3, "engagement": 2, "top_hashtags": 2, "top_authors": 3,
     }
+
+
+def test_pages_of_rows_without_or_with_repeated_keys(spark):
+    data = [(1, None, "x"), (2, "p", "x"), (3, "p", "x"), (4, "p", "x"), (5, None, None), (6, "q", "x")]
+    posts = spark.createDataFrame(data, "id long, post_id string, platform string").withColumn("likes", F.lit(1))
+    page = lambda offset, rows: [r["id"] for r in listing.get_posts(posts, None, 2, offset, "likes DESC", rows).collect()]
+    assert [page(o, 0) for o in (0, 2, 4)] == [page(o, 100) for o in (0, 2, 4)]
+    assert sorted(sum((page(o, 0) for o in (0, 2, 4)), [])) == [1, 2, 3, 4, 5, 6]

@@ -253,3 +253,43 @@ def test_capture_times(spark, zone):
     }
     assert zoned["scraped_at"] == datetime(2023, 11, 14, 22, 13, 20)
     assert made["processed_at"] == datetime(2024, 2, 1)
+
+
+def test_batches_from_several_writers(spark, tmp_path):
+    table = load.PostsTable(spark, str(tmp_path / "posts"))
+    one = lambda *r: transform_posts(frame(spark, rows(*r)))
+    assert table.append(one(("a", "reddit", "x", "1", None))) == 0
+    assert table.append(one(("b", "reddit", "x", "1", None)), origin="s1-0") == 1
+    assert table.compact() == 1 and table.compact() == 1
+    # A second stream starts at micro-batch 0 again; a replay of the first one is known.
+    assert table.append(one(("c", "reddit", "x", "1", None)), origin="s2-0") == 2
+    assert table.append(one(("b", "reddit", "x", "9", None)), origin="s1-0") == 1
+    with pytest.raises(ValueError, match="next batch is 3"):
+        table.append(one(("d", "reddit", "x", "1", None)), batch_no=7)
+    assert content(table.posts(), ["post_id", "likes"]) == [("a", 1), ("b", 1), ("c", 1)]
+
+
+def test_the_table_keeps_its_rule(spark, tmp_path):
+    table = load.PostsTable(spark, str(tmp_path / "posts"))
+    newer, older = ("p", "reddit", "x", "50", "2024-01-03T00:00:00"), ("p", "reddit", "y", "9", "2024-01-02T00:00:00")
+    for row in (newer, older):
+        table.append(transform_posts(frame(spark, rows(row))), latest_by="scraped_at")
+        assert content(table.posts(), ["likes"]) == [(50,)]
+    table.compact()
+    assert content(table.posts(), ["likes"]) == [(50,)]
+    with pytest.raises(ValueError, match="scraped_at"):
+        table.append(transform_posts(frame(spark, rows(older))), latest_by="arrival")
+
+
+def test_seq_beyond_its_range_is_an_error(spark):
+    raw = spark.createDataFrame([(1 << 44, "p", "reddit", "x", "1", None)], SCHEMA)
+    with pytest.raises(Exception, match="out of range"):
+        load.to_batch(transform_posts(raw), 0).collect()
+    with pytest.raises(ValueError):
+        load.to_batch(transform_posts(raw), 1 << 19)
+
+
+def test_validation_needs_an_order(spark):
+    raw = spark.createDataFrame([(None, "p", "reddit", "x", "1", None)], SCHEMA)
+    with pytest.raises(Exception, match="no seq"):
+        load.validate_load(raw, batch(spark, rows(("old", "reddit", "x", "1", None)))).collect()

@@ -165,3 +165,41 @@ def test_captures_reach_the_table(spark, tmp_path, as_of):
     assert (row["likes"], row["engagement_level"], row["sentiment_label"]) == (20000, "viral", "positive")
     assert row["timestamp"] == datetime(2023, 11, 14, 22, 13, 20)
     assert row["scraped_at"] == row["processed_at"] == datetime(2024, 2, 1, 12, 30)
+
+
+def test_payloads_as_delivered(spark, tmp_path):
+    from postloom.sources.captures import read_all, read_reddit
+
+    folder = tmp_path / "listing"
+    folder.mkdir()
+    listed = lambda *ids: json.dumps({"data": {"children": [{"data": {"id": i, "title": i}} for i in ids]}})
+    (folder / "b.json").write_text(listed("c"))
+    (folder / "a.json").write_text(listed("a", "b"))
+    rows = sorted((r["seq"], r["post_id"]) for r in read_reddit(spark, str(folder)).collect())
+    assert [r[1] for r in rows] == ["a", "b", "c"] and len({r[0] for r in rows}) == 3
+    both = read_all(spark, {"reddit": str(folder), "twitter": _tweets(tmp_path)})
+    ids = [r["seq"] for r in both.collect()]
+    assert len(ids) == len(set(ids)) == 4
+    (folder / "c.json").write_text(listed("d") + "\n" + listed("e"))
+    with pytest.raises(Exception, match="several payloads"):
+        read_reddit(spark, str(folder)).collect()
+    (folder / "c.json").write_text('{"data": {"children": [')
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        read_reddit(spark, str(folder)).collect()
+
+
+def _tweets(tmp_path):
+    path = tmp_path / "tweets"
+    path.mkdir()
+    (path / "t.json").write_text(json.dumps({"page_no": 0, "pos": 0, "text": "hi", "status_hrefs": ["/bob/status/1"]}))
+    return str(path)
+
+
+def test_too_many_pages_or_positions_raise(spark):
+    from postloom.sources.captures import capture_order
+
+    good = spark.createDataFrame([((1 << 24) - 1, (1 << 20) - 1), (0, 0), (None, 1)], "page_no long, pos int")
+    assert good.select(capture_order().alias("seq")).distinct().count() == 3
+    for page, pos in ((1 << 24, 0), (0, 1 << 20), (-1, 0)):
+        with pytest.raises(Exception, match="too many"):
+            spark.createDataFrame([(page, pos)], "page_no long, pos int").select(capture_order().alias("seq")).collect()
