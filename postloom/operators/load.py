@@ -20,6 +20,7 @@ from postloom.functions.labels import engagement_etl
 from postloom.functions.parse import now
 from postloom.operators.collapse import collapse
 from postloom.schema import KEY, MUTABLE, POSTS, STATIC, STORED
+from postloom.session import scratch_path
 
 SEQ_BITS = 44  # room for 2^44 captures per batch and 2^19 batches
 COMMITTED = "_committed"  # the mark of a finished folder; readers of Parquet skip it
@@ -91,8 +92,11 @@ def as_posts(stored: DataFrame) -> DataFrame:
     return stored.select(*POSTS.fieldNames())
 
 
-def _sides(latest_by: str) -> list[Column]:
-    """Merged row of a key that is on one side (``t``, ``b``) or on both."""
+def _sides(latest_by: str, key: str | None = None) -> list[Column]:
+    """Merged row of a key that is on one side (``t``, ``b``) or on both.
+
+    ``key`` names the side that always has the key: a filter on it then reaches the scan.
+    """
     in_t, in_b = F.col("t.id").isNotNull(), F.col("b.id").isNotNull()
     static_from_t = in_t & (~in_b | (F.col("t.id") <= F.col("b.id")))
     later_in_b = F.col("b.last_seq") >= F.col("t.last_seq")
@@ -105,7 +109,7 @@ def _sides(latest_by: str) -> list[Column]:
 
     def column(name: str) -> Column:
         if name in KEY:
-            picked = F.coalesce(f"t.{name}", f"b.{name}")
+            picked = F.col(f"{key}.{name}") if key else F.coalesce(f"t.{name}", f"b.{name}")
         elif name in [*MUTABLE, "last_seq"]:
             picked = F.when(counters_from_b, F.col(f"b.{name}")).otherwise(F.col(f"t.{name}"))
         else:
@@ -135,7 +139,7 @@ def upsert(
     t, b = target.alias("t"), batch.alias("b")
     if not small_batch:
         return t.join(b, _on_key(), "full_outer").select(*_sides(latest_by))
-    updated = t.join(b, _on_key(), "left").select(*_sides(latest_by))
+    updated = t.join(b, _on_key(), "left").select(*_sides(latest_by, key="t"))
     known = target.select(*KEY).join(batch.select(*KEY), KEY, "left_semi")
     return updated.unionByName(batch.join(known, KEY, "left_anti"))
 
@@ -318,3 +322,17 @@ class PostsTable:
         self._commit(folder)
         return number
 
+
+def load_with_validation(
+    transformed: DataFrame, table: PostsTable, as_of: Column | None = None
+) -> DataFrame:
+    """Load the rows that validation accepts; returns every row with its status and error.
+
+    The verdict is stored before the load, so it does not change with the table.
+    """
+    path = scratch_path(table.spark, "validated")
+    validate_load(transformed, table.stored()).write.parquet(path)
+    checked = table.spark.read.parquet(path)
+    accepted = checked.filter(F.col("status") == "success").drop("status", "error")
+    table.append(accepted, as_of=as_of)
+    return checked

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postloom.functions import labels, parse, text
-from postloom.schema import RAW_POSTS
+from postloom.schema import KEY, RAW_POSTS
 
 COUNTERS = ["likes", "comments", "retweet_count", "view_count"]
 REASON = "reject_reason"
@@ -84,6 +84,16 @@ def rejected_posts(raw: DataFrame) -> DataFrame:
     return with_reasons(raw).filter(F.col(REASON).isNotNull())
 
 
+def refused_posts(raw: DataFrame) -> DataFrame:
+    """Captured rows that a load leaves out, as they were captured, with the reason."""
+    missing = [(F.coalesce(F.col(name), F.lit("")) == "") for name in KEY]
+    overflow = [parse.safe_int(name).isNull() for name in COUNTERS]
+    reason = F.when(missing[0] | missing[1], "post id or platform is missing")
+    for wrong in overflow:
+        reason = reason.when(wrong, "counter out of range")
+    return _complete(raw).withColumn(REASON, reason).filter(F.col(REASON).isNotNull())
+
+
 def transform_stats(raw: DataFrame) -> DataFrame:
     """One row of counters for a batch: processed, errors and the sentiment counts."""
     ok = F.col(REASON).isNull()

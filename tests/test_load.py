@@ -293,3 +293,24 @@ def test_validation_needs_an_order(spark):
     raw = spark.createDataFrame([(None, "p", "reddit", "x", "1", None)], SCHEMA)
     with pytest.raises(Exception, match="no seq"):
         load.validate_load(raw, batch(spark, rows(("old", "reddit", "x", "1", None)))).collect()
+
+
+def test_load_with_validation(spark, tmp_path):
+    table = load.PostsTable(spark, str(tmp_path / "posts"))
+    table.append(transform_posts(frame(spark, rows(("old", "reddit", "x", "1", None)))), as_of=as_of())
+    data = rows(("old", "reddit", "y", "2", None), ("new", "reddit", "a", "3", None), ("new", "reddit", "b", "4", None), ("z", "", "c", "5", None))
+    checked = load.load_with_validation(transform_posts(frame(spark, data)), table, as_of())
+    status = sorted((r["post_text"], r["status"]) for r in checked.collect())
+    assert status == [("a", "success"), ("b", "duplicate"), ("c", "error"), ("y", "duplicate")]
+    assert content(table.posts(), ["post_id", "post_text", "likes"]) == [("new", "a", 3), ("old", "x", 1)]
+
+
+def test_a_platform_filter_reaches_the_base(spark, tmp_path):
+    table = load.PostsTable(spark, str(tmp_path / "posts"))
+    table.append(transform_posts(frame(spark, rows(("a", "reddit", "x", "1", None), ("b", "twitter", "x", "1", None)))), as_of=as_of())
+    table.compact()
+    table.append(transform_posts(frame(spark, rows(("a", "reddit", "y", "2", None)))), as_of=as_of())
+    posts = table.posts().filter("platform = 'reddit'")
+    assert content(posts, ["post_id", "likes"]) == [("a", 2)]
+    plan = posts._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(platform" in plan or "(platform#" in plan.partition("PartitionFilters")[2][:200]
