@@ -5,10 +5,12 @@ split at the weighted median of its widest dimension, sizes being the weights, u
 tree has as many leaves as the target bytes ask for. Ties are ordered by a hash of the row,
 so a language or source that holds a third of all rows is split inside.
 
-Medians are found for all nodes of a level together: each round counts bytes in BINS bins of
-a node's open interval and goes on inside the bin that holds the median, until that bin holds
-less than TOLERANCE of the node or a single value. The driver sees only these counts: nodes
-times bins, whatever the number of rows. Texts are read once; later rounds read the metadata.
+Medians are found for all nodes of a level together: each round counts bytes in bins of a
+node's open interval and goes on inside the bin that holds the median, until that bin holds
+less than TOLERANCE of the node or a single value. The driver sees only these counts, about
+COUNTS a round whatever the number of rows and nodes. A row finds its node by looking up
+arrays with a dimension and a cut per node, so expressions do not grow with the tree. Texts
+are read once; later rounds read the metadata.
 
 Cases: a NULL text has size 1 and the checksum of no bytes; NULL languages and sources are a
 value of their own; repeated rows are ordered by their place in the stored metadata; an empty
@@ -25,18 +27,19 @@ from pyspark.sql import functions as F
 
 from postloom.llm.store import keep
 
-BINS = 1024
+COUNTS = 1 << 14
+FEWEST_BINS = 8
 TOLERANCE = 0.0005
 KEY_BITS = 62
 HIGH = 1 << KEY_BITS
 
 
 @dataclass(frozen=True)
-class Split:
-    """Rows of a node with a key of ``dimension`` below ``cut`` go left."""
+class Level:
+    """Per node of a level: rows whose key of ``dimension`` is below ``cut`` go left."""
 
-    dimension: int
-    cut: int
+    dimension: list[int]
+    cut: list[int]
 
 
 def metadata(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("lang", "source")) -> DataFrame:
@@ -63,15 +66,21 @@ def _key(dimension: int) -> Column:
     return F.shiftleft(F.col(f"d{dimension}"), 31) + tie
 
 
-def _node(splits: list[dict[int, Split]]) -> Column:
-    """The node of a row: its path of left (0) and right (1) turns."""
-    node = F.lit(0)
-    for level in splits:
-        turn = F.lit(0)
-        for at, split in level.items():
-            turn = F.when(node == at, (_key(split.dimension) >= split.cut).cast("int")).otherwise(turn)
-        node = 2 * node + turn
-    return node
+def _at(values: list[int], place: Column) -> Column:
+    return F.get(F.lit(values).cast("array<bigint>"), place)
+
+
+def _keys(dimensions: int, chosen: Column) -> Column:
+    return F.get(F.array(*[_key(i) for i in range(dimensions)]), chosen.cast("int"))
+
+
+def _placed(meta: DataFrame, levels: list[Level], dimensions: int) -> DataFrame:
+    """The metadata with the node of each row, one projection per level."""
+    placed = meta.withColumn("node", F.lit(0))
+    for level in levels:
+        turn = _keys(dimensions, _at(level.dimension, F.col("node"))) >= _at(level.cut, F.col("node"))
+        placed = placed.withColumn("node", 2 * F.col("node") + turn.cast("int"))
+    return placed
 
 
 def _widest(nodes: DataFrame, dimensions: int) -> dict[int, tuple[int, int]]:
@@ -81,28 +90,26 @@ def _widest(nodes: DataFrame, dimensions: int) -> dict[int, tuple[int, int]]:
     return {r["node"]: (max(range(dimensions), key=lambda i: (r[f"s{i}"], -i)), r["bytes"]) for r in rows}
 
 
-def _medians(nodes: DataFrame, widest: dict[int, tuple[int, int]], share: dict[int, float]) -> dict[int, Split]:
-    """The cut of each node that leaves ``share`` of its bytes on the left, as nearly as rows allow."""
-    key = F.lit(None).cast("bigint")
-    for node, (dimension, _) in widest.items():
-        key = F.when(F.col("node") == node, _key(dimension)).otherwise(key)
-    keyed = nodes.select("node", key.alias("key"), "size")
+def _level(nodes: DataFrame, count: int, dimensions: int) -> Level:
+    """The widest dimension of each of ``count`` nodes and the cut that halves its bytes, as nearly as rows allow."""
+    widest = _widest(nodes, dimensions)
+    chosen = [widest[n][0] if n in widest else 0 for n in range(count)]
+    cuts = [HIGH] * count
+    keyed = nodes.select("node", _keys(dimensions, _at(chosen, F.col("node"))).alias("key"), "size")
     bounds = {node: (0, HIGH, 0) for node in widest}  # interval of the cut, bytes below it
-    cuts: dict[int, int] = {}
     while bounds:
-        low, width = F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
-        for node, (a, b, _) in bounds.items():
-            low = F.when(F.col("node") == node, F.lit(a)).otherwise(low)
-            width = F.when(F.col("node") == node, F.lit(max(1, -(-(b - a) // BINS)))).otherwise(width)
-        inside = keyed.withColumns({"low": low, "width": width}).filter("low IS NOT NULL AND key >= low")
-        binned = inside.select("node", F.expr("(key - low) div width").alias("bin"), "size").filter(F.col("bin") < BINS)
+        bins = max(FEWEST_BINS, COUNTS // len(bounds))
+        steps = {node: max(1, -(-(b - a) // bins)) for node, (a, b, _) in bounds.items()}
+        lows = [bounds[n][0] if n in bounds else HIGH for n in range(count)]
+        widths = [steps.get(n, 1) for n in range(count)]
+        inside = keyed.withColumns({"low": _at(lows, F.col("node")), "width": _at(widths, F.col("node"))}).filter("key >= low")
+        binned = inside.select("node", F.expr("(key - low) div width").alias("bin"), "size").filter(F.col("bin") < bins)
         counts: dict[int, dict[int, int]] = {node: {} for node in bounds}
         for r in binned.groupBy("node", "bin").agg(F.sum("size").alias("bytes")).collect():
             counts[r["node"]][r["bin"]] = r["bytes"]
         for node in list(bounds):
             a, b, below = bounds[node]
-            step = max(1, -(-(b - a) // BINS))
-            goal = share[node] * widest[node][1]
+            step, goal = steps[node], widest[node][1] / 2
             for at in sorted(counts[node]):
                 held = counts[node][at]
                 if below + held >= goal:
@@ -114,18 +121,15 @@ def _medians(nodes: DataFrame, widest: dict[int, tuple[int, int]], share: dict[i
                 del bounds[node]
             else:
                 bounds[node] = (start, min(b, start + step), below)
-    return {node: Split(widest[node][0], cut) for node, cut in cuts.items()}
+    return Level(chosen, cuts)
 
 
-def tree(meta: DataFrame, shards: int) -> list[dict[int, Split]]:
+def tree(meta: DataFrame, shards: int, dimensions: int) -> list[Level]:
     """Splits per level for a power of two of leaves of equal bytes."""
-    dimensions = len([c for c in meta.columns if c[0] == "d" and c[1:].isdigit()])
-    splits: list[dict[int, Split]] = []
-    while 1 << len(splits) < shards:
-        nodes = meta.withColumn("node", _node(splits))
-        widest = _widest(nodes, dimensions)
-        splits.append(_medians(nodes, widest, dict.fromkeys(widest, 0.5)) if widest else {})
-    return splits
+    levels: list[Level] = []
+    while 1 << len(levels) < shards:
+        levels.append(_level(_placed(meta, levels, dimensions), 1 << len(levels), dimensions))
+    return levels
 
 
 def leaves_for(meta: DataFrame, target_bytes: int) -> int:
@@ -149,7 +153,9 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
     leaves = shards or leaves_for(meta, target_bytes)
     if leaves & (leaves - 1):
         raise ValueError("the number of shards must be a power of two")
-    placed = meta.select("id", "size", "text_crc32", "part", "row", _node(tree(meta, leaves)).alias("shard"))
+    dimensions = len(by) + 2
+    placed = _placed(meta, tree(meta, leaves, dimensions), dimensions)
+    placed = placed.select("id", "size", "text_crc32", "part", "row", F.col("node").alias("shard"))
     per_part = keep(placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("rows")), "kd-parts")
     # A row per shard and input partition, which is far fewer than documents.
     earlier = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,7 +11,7 @@ bound is the only limit: every document is scored, on its whole text.
 Cases: a NULL or empty text and one without words get the score of the intercept alone;
 labels that are NULL, not 0 or 1, or differ between rows of one id are not learned from;
 without any labelled document the score is 0 (nothing is known to be toxic); repeated rows
-give repeated results; a NULL id is passed through; only the id and text columns are read,
+are learned from once, by their smallest text, and give repeated results; a NULL id is passed through; only the id and text columns are read,
 so other columns cannot clash.
 """
 
@@ -123,18 +123,17 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     # At most 2 * rows_per_class ids: small enough to broadcast whatever the tables' sizes.
     sample = F.broadcast(keep(sides[0].unionByName(sides[1]).coalesce(1), "toxic-sample"))
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sample, "id")
-    most = 2 * settings.rows_per_class
+    # An id that very many rows repeat comes down to one text before any shuffle.
+    chosen = chosen.groupBy("id", "label", "order").agg(F.min("text").alias("text"))
 
     def train(batches):
-        seen, rows, known_labels, at = set(), [], [], []
+        rows, known_labels, at = [], [], []
         for batch in batches:
             ids, ys, order = (batch.column(i).to_pylist() for i in (0, 2, 3))
             for i, places in enumerate(_distinct_rows(batch.column(1), settings.bits)):
-                if ids[i] not in seen and len(rows) < most:
-                    seen.add(ids[i])
-                    rows.append(places.astype(np.int32))
-                    known_labels.append(ys[i])
-                    at.append(order[i])
+                rows.append(places.astype(np.int32))
+                known_labels.append(ys[i])
+                at.append((order[i], ids[i]))
         by = sorted(range(len(rows)), key=lambda i: at[i])  # the same order whatever the partitions
         if len(set(known_labels)) == 2:
             places, weights, intercept = fit_rows([rows[i] for i in by], [known_labels[i] for i in by], settings)
