@@ -5,7 +5,7 @@ Written from the meaning of each query, independently of the Spark expressions.
 
 from __future__ import annotations
 
-from postloom.functions import lexicon as lx
+from postloom.plans import oracle_values as lx
 from postloom.plans.queries import AS_OF, POST_COLUMNS
 
 BATCH = 1 << 44
@@ -362,7 +362,7 @@ validated AS (
         CASE WHEN NOT valid THEN 'error' WHEN occurrence > 1 OR EXISTS (
             SELECT 1 FROM target t WHERE t.post_id = n.post_id AND t.platform = n.platform
         ) THEN 'duplicate' ELSE 'success' END AS status,
-        CASE WHEN NOT valid THEN 'Missing required fields (post_id, platform)' END AS error
+        CASE WHEN NOT valid THEN 'post id or platform is missing' END AS error
     FROM numbered n
 )"""
 
