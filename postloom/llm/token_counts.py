@@ -20,15 +20,17 @@ whole, very long ones pre-token by pre-token.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.bpe import Codec, codec
+from postloom.llm.bpe import SHORT, Codec, codec
 
 LEAF_PIECES = 32
+LEAVES_AT_ONCE = 4096
 CONTEXT = 4
 EDITS = "array<struct<start:bigint,removed:bigint,inserted:string>>"
 
@@ -44,12 +46,10 @@ class Tree:
         self.leaves = len(chars)
 
     def _heap(self, leaves: list[int]) -> list[int]:
-        level = np.zeros(self.width, dtype=np.int64)
-        level[: len(leaves)] = leaves
-        levels = [level]
-        while len(levels[-1]) > 1:
-            levels.append(levels[-1].reshape(-1, 2).sum(axis=1))
-        return [0, *(int(x) for part in reversed(levels) for x in part)]
+        heap = [0] * self.width + leaves + [0] * (self.width - len(leaves))
+        for node in range(self.width - 1, 0, -1):
+            heap[node] = heap[2 * node] + heap[2 * node + 1]
+        return heap
 
     def leaf_chars(self) -> list[int]:
         return self.chars[self.width : self.width + self.leaves]
@@ -79,21 +79,29 @@ class Tree:
             node //= 2
 
 
-def leaves_of(pieces: Iterator[str], model: Codec) -> tuple[list[int], list[int]]:
+def leaves_of(pieces: list[str], model: Codec) -> tuple[list[int], list[int]]:
     """Characters and tokens of each run of LEAF_PIECES pre-tokens."""
-    chars: list[int] = []
-    tokens: list[int] = []
-    for i, piece in enumerate(pieces):
-        if i % LEAF_PIECES == 0:
-            chars.append(0)
-            tokens.append(0)
-        chars[-1] += len(piece)
-        tokens[-1] += len(model.piece_ids(piece))
-    return chars, tokens
+    if not pieces:
+        return [], []
+    known = model.known
+    starts = np.arange(0, len(pieces), LEAF_PIECES)
+    chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    tokens = np.fromiter([len(known.get(p) or model.piece_ids(p)) for p in pieces], np.int64, len(pieces))
+    return np.add.reduceat(chars, starts).tolist(), np.add.reduceat(tokens, starts).tolist()
 
 
 def build_tree(text: str, model: Codec) -> Tree:
-    return Tree(*leaves_of((m.group() for m in model.pattern.finditer(text)), model))
+    """The tree of a text; a long one is read LEAVES_AT_ONCE leaves at a time."""
+    if len(text) <= SHORT:
+        return Tree(*leaves_of(model.pattern.findall(text), model))
+    chars: list[int] = []
+    tokens: list[int] = []
+    pieces = (m.group() for m in model.pattern.finditer(text))
+    while part := list(islice(pieces, LEAF_PIECES * LEAVES_AT_ONCE)):
+        more_chars, more_tokens = leaves_of(part, model)
+        chars += more_chars
+        tokens += more_tokens
+    return Tree(chars, tokens)
 
 
 def apply_edit(text: str, tree: Tree, model: Codec, start: int, removed: int, inserted: str) -> tuple[str, Tree, int]:
@@ -123,7 +131,7 @@ def apply_edit(text: str, tree: Tree, model: Codec, start: int, removed: int, in
     else:
         last = tree.leaves - 1
     if len(pieces) > 2 * LEAF_PIECES * (last - first + 1):
-        chars, tokens = leaves_of(iter(pieces), model)
+        chars, tokens = leaves_of(pieces, model)
         old_chars, old_tokens = tree.leaf_chars(), tree.leaf_tokens()
         grown = Tree(old_chars[:first] + chars + old_chars[last + 1 :], old_tokens[:first] + tokens + old_tokens[last + 1 :])
         return after, grown, len(pieces)
