@@ -12,14 +12,22 @@
 5. Links between classes are joined to components.
 
 All pairs of a bucket are never made. A first pass links each bucket's members to its
-smallest member, another to a member picked by a hash, each only in buckets that still hold
-several components. At the end the pairs of *different* components that share a bucket are
-all verified, so no link that could join two components is left out; pairs inside a
-component need no test, as they cannot change the result.
+smallest member. For the members of buckets that still hold several components, the sets are
+counted shingle by shingle, and a second pass links each bucket's members to its most typical
+one, with the smallest share of shingles that nobody else has. At the end, pairs of
+*different* components are verified in two ways that together miss none that shares a bucket:
+
+* pairs that share a shingle of at most RARE sets, found by an index of each set's rarest
+  shingles (of two sets that reach the threshold, the rarest common shingle is among the
+  first ``size - ceil(threshold * size) + 1`` of both);
+* pairs of a bucket that share only more frequent shingles, if they have enough of those:
+  ``common`` bounds their intersection (see ``_between``).
+
+Pairs inside a component need no test, as they cannot change the result.
 
 Cases: a NULL or empty text and one without words has no shingles and is a class of its own;
 fewer words than a shingle form one shingle; rows that repeat an id are one document, as
-their component is the same; a row with a NULL id takes no part, is its own group and is
+their component is the same (if their texts differ, one of them is compared); a row with a NULL id takes no part, is its own group and is
 kept; an empty table gives no rows; only the id and text columns are read.
 """
 
@@ -31,13 +39,16 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.llm.components import components
 from postloom.llm.store import keep
 from postloom.llm.textops import SPACED, mix, shingle_set, words
 
+# A shingle of so many sets is looked up by itself; it bounds the pairs one shingle makes.
+RARE = 16
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -49,7 +60,6 @@ class Settings:
     rows: int = 5
     batch: int = 32
     miss: float = 1e-6
-    star_rounds: int = 2
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,8 +113,8 @@ def sketches(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_c
     )
 
 
-def shingle_sets(docs: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
-    """(id, set): sorted distinct shingles as bytes."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
+    """(id, set) of the documents with the given ids: sorted distinct shingles as bytes, stored."""
 
     def run(batches):
         for batch in batches:
@@ -113,20 +123,64 @@ def shingle_sets(docs: DataFrame, settings: Settings, id_col: str, text_col: str
                     shingle_set(group.hashes[group.bounds[i] : group.bounds[i + 1]], settings.shingle).tobytes()
                     for i in range(len(group))
                 ]
-                ids = batch.column(0).slice(group.first, len(group))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], ["id", "set"])
+                part = batch.column(0).slice(group.first, len(group))
+                yield pa.RecordBatch.from_arrays([part, pa.array(sets, pa.binary())], ["id", "set"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, set binary")
+    wanted = keep(ids.distinct(), "wanted")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
+    return keep(texts.mapInArrow(run, f"id {kind}, set binary").dropDuplicates(["id"]), "sets")
 
 
-def buckets(classes: DataFrame, settings: Settings) -> DataFrame:
-    """(bucket, id): a row for each band of each class, of which other classes share the bucket."""
+def set_shingles(sets: DataFrame) -> DataFrame:
+    """(id, shingle): a row for each shingle of each set, stored."""
+    kind = sets.schema["id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shingles = np.frombuffer(batch.column(1)[i].as_buffer(), dtype=np.int64)
+                part = pa.array([batch.column(0)[i].as_py()] * len(shingles), batch.column(0).type)
+                yield pa.RecordBatch.from_arrays([part, pa.array(shingles)], ["id", "shingle"])
+
+    return keep(sets.mapInArrow(run, f"id {kind}, shingle bigint"), "set-shingles")
+
+
+def rare_shingles(each: DataFrame) -> DataFrame:
+    """(id, shingle, sets): the shingles that at most RARE sets have."""
+    counted = each.groupBy(F.col("shingle").alias("s")).agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") <= RARE)
+    rare = each.join(keep(counted, "rare-shingles"), F.col("shingle") == F.col("s"))
+    return keep(rare.select("id", "shingle", "sets"), "rare")
+
+
+def with_sizes(members: DataFrame, sets: DataFrame, rare: DataFrame) -> DataFrame:
+    """Members with the size of their set, how many of its shingles another set has
+    (``shared``), and how many more than RARE sets have (``common``)."""
+    size = (F.octet_length("set") / 8).cast("bigint")
+    counts = rare.groupBy(F.col("id").alias("i")).agg(F.count_if(F.col("sets") == 1).alias("alone"), F.count(F.lit(1)).alias("rare"))
+    none = F.lit(0).cast("bigint")
+    sized = sets.select("id", size.alias("size")).join(counts, F.col("id") == F.col("i"), "left")
+    sized = sized.select(
+        "id", "size", (F.col("size") - F.coalesce("alone", none)).alias("shared"), (F.col("size") - F.coalesce("rare", none)).alias("common")
+    )
+    return keep(members.join(keep(sized, "set-sizes"), "id"), "open-sizes")
+
+
+def _enough(most: Column, settings: Settings) -> Column:
+    """Whether an intersection of at most ``most`` can reach the threshold: it needs
+    percent / (100 + percent) of the sum of the sizes."""
+    return (100 + settings.percent) * most >= settings.percent * (F.col("size") + F.col("size2"))
+
+
+def bands_of(settings: Settings) -> Column:
+    """The bucket of a signature in each band."""
     width = 4 * settings.rows
-    bands = [
-        F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(settings.bands)
-    ]
-    return classes.select("id", F.explode(F.array(*bands)).alias("bucket"))
+    return F.array(*[F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(settings.bands)])
+
+
+def buckets(classes: DataFrame, settings: Settings) -> DataFrame:
+    """(id, bucket): a row for each band of each class."""
+    return classes.select("id", F.explode(bands_of(settings)).alias("bucket"))
 
 
 def likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
@@ -192,29 +246,28 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
     crowded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = keep(rows.join(crowded.withColumnRenamed("bucket", "k"), F.col("bucket") == F.col("k")).select("bucket", "id"), "buckets")
 
-    links = None
-    labelled = members.withColumn("component", F.col("id"))
-    sets = None
-    for step in range(settings.star_rounds + 1):
-        if step < settings.star_rounds:
-            pairs = _stars(labelled, step)
-        else:
-            pairs = _between(labelled)
-        pairs = pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        maybe = keep(likely(pairs, classes, settings), "likely")
-        needed = keep(maybe.select(F.col("a").alias("id")).unionByName(maybe.select(F.col("b").alias("id"))).distinct(), "needed")
-        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(needed, "id", "left_semi")
-        sets = keep(shingle_sets(texts, settings, "id", "text").dropDuplicates(["id"]), "sets")
-        found = keep(verified(maybe, sets, settings).select("a", "b"), "links")
-        links = found if links is None else links.unionByName(found)
+    def confirm(pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        maybe = keep(likely(ordered, classes, settings), "likely")
+        if sets is None:
+            both = maybe.select(F.col("a").alias("id")).unionByName(maybe.select(F.col("b").alias("id")))
+            sets = shingle_sets(docs, both, settings, id_col, text_col)
+        return keep(verified(maybe, sets, settings).select("a", "b"), "links")
+
+    links = confirm(_stars(members.withColumn("component", F.col("id")), F.col("id")))
+    reached = components(links)
+    open_members = keep(_mixed(_labelled(members, reached)), "open-buckets")
+    if open_members.limit(1).count():
+        sets = shingle_sets(docs, open_members.select("id"), settings, id_col, text_col)
+        rare = rare_shingles(set_shingles(sets))
+        sized = with_sizes(open_members, sets, rare)
+        typical = F.struct((F.col("size") - F.col("shared")) / F.col("size"), F.col("id"))
+        links = links.unionByName(confirm(_stars(sized, typical, settings), sets))
+        reached = components(links)
+        still = keep(_mixed(_labelled(sized, reached)), "open-buckets")
+        pairs = _between(still, classes, settings).unionByName(_rarely_shared(still, rare, settings))
+        links = links.unionByName(confirm(pairs, sets))
         reached = components(links)
-        labelled = members.join(reached.withColumnRenamed("id", "i"), F.col("id") == F.col("i"), "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("component")
-        )
-        if step < settings.star_rounds:
-            labelled = keep(_mixed(labelled), "open-buckets")
-            if not labelled.limit(1).count():
-                break
     final = keep(
         by_class.join(reached, F.col("first") == F.col("id"), "left").select(
             F.col("class").alias("c"), F.coalesce("component", "first").alias("component")
@@ -228,6 +281,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
     )
 
 
+def _labelled(members: DataFrame, reached: DataFrame) -> DataFrame:
+    """Members with the component they are in; one that has no link is its own."""
+    named = reached.select(F.col("id").alias("i"), F.col("component").alias("c"))
+    joined = members.join(named, F.col("id") == F.col("i"), "left")
+    return joined.select(*[c for c in members.columns if c != "component"], F.coalesce("c", "id").alias("component"))
+
+
 def _mixed(labelled: DataFrame) -> DataFrame:
     """Members of buckets that still hold several components."""
     several = (
@@ -239,28 +299,49 @@ def _mixed(labelled: DataFrame) -> DataFrame:
     return labelled.join(several, F.col("bucket") == F.col("k"), "left_semi")
 
 
-def _stars(labelled: DataFrame, step: int) -> DataFrame:
-    """Each member of a bucket with the bucket's centre, if they are in different components.
-
-    The centre is the smallest id in the first round, later one picked by a hash.
-    """
-    order = F.col("id") if step == 0 else F.xxhash64("id", "bucket", F.lit(step))
+def _stars(labelled: DataFrame, order: Column, settings: Settings | None = None) -> DataFrame:
+    """Each member of a bucket with the bucket's first member by an order, if they are in
+    different components; with settings also only if their sizes allow a link."""
+    own = [c for c in ("id", "component", "size", "shared") if c in labelled.columns]
     centres = keep(
-        labelled.groupBy(F.col("bucket").alias("k")).agg(
-            F.min_by("id", order).alias("centre"), F.min_by("component", order).alias("centre_component")
+        labelled.groupBy(F.col("bucket").alias("k")).agg(F.min_by(F.struct(*own), order).alias("centre")).select(
+            "k", *[F.col(f"centre.{c}").alias(f"{c}2") for c in own]
         ),
         "centres",
     )
-    near = labelled.join(centres, F.col("bucket") == F.col("k")).filter("component != centre_component")
-    return near.select(F.col("id").alias("a"), F.col("centre").alias("b"))
+    wanted = (F.col("bucket") == F.col("k")) & (F.col("component") != F.col("component2"))
+    if settings:
+        wanted = wanted & _enough(F.least("shared", "shared2"), settings)
+    return labelled.join(centres, wanted).select(F.col("id").alias("a"), F.col("id2").alias("b"))
 
 
-def _between(labelled: DataFrame) -> DataFrame:
-    """All pairs of a bucket that lie in different components."""
-    other = labelled.toDF("k", "id2", "component2")
-    return labelled.join(other, (F.col("bucket") == F.col("k")) & (F.col("component") < F.col("component2"))).select(
-        F.col("id").alias("a"), F.col("id2").alias("b")
-    )
+def _between(sized: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs of a bucket in different components that can reach the threshold by frequent
+    shingles alone; each pair once, in the first bucket that both are in."""
+    able = sized.filter((100 + settings.percent) * F.col("common") >= settings.percent * (F.col("size") + F.col("common")))
+    able = keep(able.join(classes.select("id", bands_of(settings).alias("bands")), "id"), "able")
+    other = able.select(F.col("bucket").alias("k"), *[F.col(c).alias(f"{c}2") for c in ("id", "component", "size", "common", "bands")])
+    wanted = (F.col("bucket") == F.col("k")) & (F.col("component") < F.col("component2"))
+    wanted = wanted & _enough(F.least("common", "common2"), settings)
+    shared = F.filter(F.zip_with("bands", "bands2", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
+    wanted = wanted & (F.get(shared, F.lit(0)) == F.col("bucket"))
+    return able.join(other, wanted).select(F.col("id").alias("a"), F.col("id2").alias("b"))
+
+
+def _rarely_shared(sized: DataFrame, rare: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs in different components that share one of the rarest shingles of both.
+
+    A shingle is shared by at most RARE sets, so a set meets at most RARE others by it.
+    """
+    one = sized.select("id", "component", "size", "shared").dropDuplicates(["id"])
+    place = F.row_number().over(Window.partitionBy("id").orderBy("sets", "shingle"))
+    first = F.col("size") - F.ceil(settings.percent * F.col("size") / 100) + 1
+    ranked = rare.withColumn("place", place).join(one, "id").filter((F.col("place") <= first) & (F.col("sets") > 1))
+    index = keep(ranked.select("shingle", "id", "component", "size", "shared"), "rare-index")
+    other = index.toDF("s", "id2", "component2", "size2", "shared2")
+    wanted = (F.col("shingle") == F.col("s")) & (F.col("component") < F.col("component2"))
+    wanted = wanted & _enough(F.least("shared", "shared2"), settings)
+    return index.join(other, wanted).select(F.col("id").alias("a"), F.col("id2").alias("b"))
 
 
 def drop_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
