@@ -46,3 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), "postloom", f"{name}-{uuid.uuid4().hex}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables below the shared folder.
+
+    Results that still read from them must have been written before.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_dir(spark), "postloom"))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

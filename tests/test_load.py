@@ -314,3 +314,42 @@ def test_a_platform_filter_reaches_the_base(spark, tmp_path):
     assert content(posts, ["post_id", "likes"]) == [("a", 2)]
     plan = posts._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(platform" in plan or "(platform#" in plan.partition("PartitionFilters")[2][:200]
+
+
+def test_clear_scratch(tmp_path):
+    from postloom import session
+
+    class Folder:
+        def __init__(self, path):
+            self.path = path
+
+        def getFileSystem(self, _):
+            return self
+
+        def delete(self, folder, deep):
+            assert deep and folder.path == str(tmp_path / "postloom")
+            self.deleted = folder.path
+            removed.append(folder.path)
+
+    removed = []
+
+    class Fake:
+        class conf:
+            get = staticmethod(lambda name, default: str(tmp_path))
+
+        class sparkContext:
+            master = "local[1]"
+            getCheckpointDir = staticmethod(lambda: str(tmp_path))
+
+        class _jsc:
+            hadoopConfiguration = staticmethod(lambda: None)
+
+    Fake._jvm = type("J", (), {})()
+    node = Fake._jvm
+    for name in ("org", "apache", "hadoop", "fs"):
+        child = type("J", (), {})()
+        setattr(node, name, child)
+        node = child
+    node.Path = Folder
+    session.clear_scratch(Fake)
+    assert removed == [str(tmp_path / "postloom")]
