@@ -6,8 +6,9 @@ of the item's length reaches the similarity: the shared weight of their shingles
 joint weight, a shingle weighing as often as it occurs.
 
 1. Each item's rarest shingles, together more than 1 - similarity of its weight, go to an
-   index. A window without any of them cannot reach the similarity, so only the places
-   where one stands give a window, aligned with the item there and of the item's length.
+   index. A window without any of them cannot reach the similarity, so every window of the
+   item's length around a place where one stands is looked at, and no other. Those with too
+   few of the item's shingles to reach the similarity, however often each counts, go.
 2. Windows and items get a 128-bit SimHash of their shingles. At similarity 0.8 the expected
    distance is 19 bits, with a deviation of 4; the radius is 31.
 3. Multi-index blocks: a fingerprint is cut into radius + 1 blocks of four bits. Two
@@ -73,35 +74,57 @@ def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
 
 def index_of(shingles: DataFrame, percent: int) -> DataFrame:
-    """(shingle, item, at, n_words, size): the rarest shingles of each item, wherever they stand.
+    """(shingle, item, n_words, size): the rarest shingles of each item.
 
     Rarity is the number of occurrences in the whole benchmark.
     """
-    each = shingles.groupBy("item", "n_words", "size", "shingle").agg(F.count(F.lit(1)).alias("times"), F.collect_list("pos").alias("places"))
+    each = shingles.groupBy("item", "n_words", "size", "shingle").agg(F.count(F.lit(1)).alias("times"))
     spread = each.groupBy("shingle").agg(F.sum("times").alias("occurrences"))
     by_rarity = Window.partitionBy("item").orderBy("occurrences", "shingle")
     before = F.coalesce(F.sum("times").over(by_rarity.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     whole = F.col("n_words") - F.col("size") + 1
     ranked = each.join(spread, "shingle").withColumn("before", before)
     chosen = ranked.filter(100 * F.col("before") <= (100 - percent) * whole)
-    return keep(chosen.select("shingle", "item", F.explode("places").alias("at"), "n_words", "size"), "item-index")
+    return keep(chosen.select("shingle", "item", "n_words", "size"), "item-index")
 
 
 def windows_of(docs: DataFrame, index: DataFrame, sizes: list[int], id_col: str, text_col: str) -> DataFrame:
-    """(window, id, item, start, words): item-sized windows, aligned at an indexed shingle."""
+    """(window, id, doc, item, size, n_words, start, words): all item-sized windows with an indexed shingle.
+
+    ``doc`` is a hash of the text. A window may be cut off by either end of its text.
+    """
     words = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"))
+    keyed = words.withColumn("doc", F.xxhash64("words"))
     found = []
     for size in sizes:
         own = index.filter(F.col("size") == size)
-        hits = shingles_at(words.filter(F.size("words") >= size), size).join(own, "shingle")
-        first = F.col("pos") - F.col("at")
-        start = F.greatest(first, F.lit(0))
-        length = F.least(first + F.col("n_words"), F.size("words")) - start
-        found.append(hits.select("id", "item", "size", start.alias("start"), F.slice("words", start + 1, length).alias("words")))
-    windows = reduce(DataFrame.unionByName, found).distinct()
+        hits = shingles_at(keyed.filter(F.size("words") >= size), size).join(own, "shingle")
+        left = F.greatest(F.col("pos") + size - F.col("n_words"), F.lit(0))
+        right = F.least(F.col("pos") + F.col("n_words"), F.size("words"))
+        around = F.slice("words", left + 1, right - left)
+        found.append(hits.select("id", "doc", "item", "size", "n_words", "pos", left.alias("left"), around.alias("around")))
+    # Windows around a place begin from pos + size - n_words to pos; each is left to its first place.
+    previous = F.lag("pos").over(Window.partitionBy("id", "doc", "item").orderBy("pos"))
+    first = F.greatest(F.col("pos") + F.col("size") - F.col("n_words"), previous + 1)
+    runs = reduce(DataFrame.unionByName, found).withColumn("first", first).filter(F.col("first") <= F.col("pos"))
+    each = runs.withColumn("begin", F.explode(F.sequence("first", "pos")))
+    start = F.greatest(F.col("begin"), F.lit(0))
+    length = F.least(F.col("begin") + F.col("n_words"), F.col("left") + F.size("around")) - start
+    part = F.slice("around", start - F.col("left") + 1, length)
+    windows = each.select("id", "doc", "item", "size", "n_words", start.alias("start"), part.alias("words"))
     return keep(windows.withColumn("window", F.monotonically_increasing_id()), "windows")
 
 
+def enough_shared(windows: DataFrame, of_items: DataFrame, sizes: list[int], percent: int) -> DataFrame:
+    """(window): those with so many places of the item's shingles that they may reach the similarity."""
+    places = _all_sizes(windows.select("window", "item", "size", "n_words", "words"), sizes)
+    total = F.size("words") - F.col("size") + 1 + F.col("n_words") - F.col("size") + 1
+    own = of_items.select("item", "shingle").distinct()
+    met = places.select("window", "item", "shingle", total.alias("both")).join(own, ["item", "shingle"])
+    counted = met.groupBy("window").agg(F.count(F.lit(1)).alias("places"), F.first("both").alias("both"))
+    return counted.filter((100 + percent) * F.col("places") >= percent * F.col("both")).select("window")
+
+
 def _counts(shingles: DataFrame, *key: str) -> DataFrame:
     return shingles.groupBy(*key, "shingle").agg(F.count(F.lit(1)).alias("times"))
 
@@ -157,7 +180,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     """(id, item_id, similarity, start, n_windows): documents that hold an item, best window first.
 
     ``start`` is the first word of the best window, the smallest of equally good ones;
-    ``n_windows`` counts the windows that reach the similarity.
+    ``n_windows`` counts the places with windows that reach the similarity: windows that
+    begin at most half an item's length after one another are at one place.
     """
     items = items_of(benchmark, item_id, item_text)
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # 1 to 5
@@ -165,10 +189,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     of_items = keep(_all_sizes(items.drop("item_id"), sizes).drop("words"), "item-shingles")
     index = index_of(of_items, percent)
     windows = windows_of(docs, index, sizes, id_col, text_col)
-    # A window cut off by the end of its text may be shorter than its item's shingle size.
-    filled = windows.filter(F.size("words") >= F.col("size"))
+    windows = keep(windows.join(enough_shared(windows, of_items, sizes, percent), "window", "left_semi"), "shared-windows")
     of_windows = keep(
-        _all_sizes(filled.select("window", "item", "size", "words"), sizes).select("window", "item", "shingle"), "window-shingles"
+        _all_sizes(windows.select("window", "item", "size", "words"), sizes).select("window", "item", "shingle"), "window-shingles"
     )
     prints = fingerprints(of_windows, "window", "item")
     near = keep(within_radius(prints, fingerprints(of_items, "item")), "near-windows")
@@ -187,11 +210,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     )
     named = items.select("item", "item_id")
     best = F.struct(F.col("similarity"), -F.col("start"))
+    by_start = Window.partitionBy("id", "doc", "item_id").orderBy("start")
+    apart = 2 * (F.col("start") - F.lag("start").over(by_start)) > F.col("n_words")
     return (
-        compared.join(windows.select("window", "id", "item", "start"), "window")
+        compared.join(windows.select("window", "id", "doc", "item", "n_words", "start"), "window")
         .join(named, "item")
+        .withColumn("place", F.coalesce(apart, F.lit(True)).cast("int"))
         .groupBy("id", "item_id")
-        .agg(F.max(best).alias("best"), F.count_distinct("start").alias("n_windows"))
+        .agg(F.max(best).alias("best"), F.sum("place").alias("n_windows"))
         .select(F.col("id").alias(id_col), "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.col2")).alias("start"), "n_windows")
     )
 

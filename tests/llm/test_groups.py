@@ -144,6 +144,33 @@ def test_contamination_by_brute_force(spark):
     assert found == expected and len(expected) > 20
 
 
+def test_contamination_in_another_order_by_brute_force(spark):
+    """Rotated copies, and copies with words put in or left out, between other words."""
+    r = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(400)]
+    say = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    items = [(k, say(n)) for k, n in enumerate([60, 60, 58, 45, 80, 25])]
+    docs = []
+    for _, item in items:
+        for at in (len(item) // 2, len(item) // 3, 7):
+            docs.append([*say(r.randint(0, 40)), *item[at:], *item[:at], *say(r.randint(0, 40))])
+        for put, cut in ((1, 0), (0, 1), (1, 1), (3, 0)):
+            copy = list(item)
+            for _ in range(put):
+                copy.insert(r.randrange(len(copy)), "put")
+            for _ in range(cut):
+                del copy[r.randrange(len(copy))]
+            docs.append([*say(r.randint(0, 40)), *copy, *say(r.randint(0, 40))])
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    joined = [(k, " ".join(v)) for k, v in items]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(joined, "item_id bigint, text string")
+    found = {(x.doc_id, x.item_id): (round(x.similarity, 9), x.n_windows) for x in decontam.contaminated(table, benchmark).collect()}
+    expected = leaks(docs, joined)
+    assert (0, 0) in expected  # its second half stands before its first half
+    assert found == {k: (v, 1) for k, v in expected.items()}
+
+
 def test_contamination_cases(spark):
     passage = "the quick brown fox jumps over the lazy dog again"
     docs = spark.createDataFrame(
