@@ -9,9 +9,12 @@ joint weight, a shingle weighing as often as it occurs.
    index. A window without any of them cannot reach the similarity, so every window of the
    item's length around a place where one stands is looked at, and no other. Those with too
    few of the item's shingles to reach the similarity, however often each counts, go.
-2. Windows and items get a 128-bit SimHash of their shingles. At similarity 0.8 the expected
-   distance is 19 bits, with a deviation of 4; the radius is 31.
-3. Multi-index blocks: a fingerprint is cut into radius + 1 blocks of four bits. Two
+2. Windows and items get a 128-bit SimHash of their shingles, where the second, third, ...
+   occurrence of a shingle is a feature of its own, so that the weighted similarity is the
+   similarity of two sets. The radius follows from the item's number of shingles and the
+   similarity: of the pairs that just reach it, less than one in 10^9 is farther apart (at
+   0.8 from 47 to 53 bits, see ``radius_of``).
+3. Multi-index blocks: a fingerprint is cut into more blocks than the radius has bits. Two
    fingerprints within the radius agree on one block at least, so joining on (item, block
    number, block value) misses none of them. The distance itself is tested next.
 4. The exact weighted similarity decides.
@@ -28,7 +31,8 @@ tables give empty results; only id and text columns are read.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,8 +42,9 @@ from postloom.llm.store import keep
 SHINGLE = 5
 PERCENT = 80
 RADIUS = 31
-BLOCK_BITS = 4
 HALVES = 2  # 64-bit halves of a fingerprint
+MISSED = 1e-9  # share of the pairs at the similarity that may lie outside the radius
+MANY = 200  # items of more shingles have the radius of so many, which hardly changes any more
 
 
 def words_of(text: Column) -> Column:
@@ -129,6 +134,54 @@ def _counts(shingles: DataFrame, *key: str) -> DataFrame:
     return shingles.groupBy(*key, "shingle").agg(F.count(F.lit(1)).alias("times"))
 
 
+def occurrences(counts: DataFrame, *key: str) -> DataFrame:
+    """Each key's counted shingles, where the n-th occurrence of a shingle is a shingle of its own."""
+    each = counts.withColumn("n", F.explode(F.sequence(F.lit(1).cast("bigint"), "times")))
+    return each.select(*key, F.xxhash64("shingle", "n").alias("shingle"))
+
+
+def _differ(shared: int, first: int, second: int) -> float:
+    """Chance that a bit differs between sets of ``shared`` equal and ``first`` and ``second`` own shingles."""
+
+    def at_least(n: int) -> list[float]:  # k or more of n shingles have the bit set
+        return [sum(comb(n, j) for j in range(k, n + 1)) / 2**n for k in range(n + 2)]
+
+    ones, others = at_least(first), at_least(second)
+    chance = 0.0
+    for k in range(shared + 1):
+        p = ones[min(max((shared + first) // 2 + 1 - k, 0), first + 1)]
+        q = others[min(max((shared + second) // 2 + 1 - k, 0), second + 1)]
+        chance += comb(shared, k) / 2**shared * (p * (1 - q) + q * (1 - p))
+    return chance
+
+
+@lru_cache(maxsize=None)
+def _radius(n: int, percent: int) -> int:
+    worst = 0.0
+    for window in range(1, n + 1):  # a window has at most as many shingles as its item
+        shared = -(-percent * (n + window) // (100 + percent))
+        if shared <= window:
+            worst = max(worst, _differ(shared, n - shared, window - shared))
+    bits = 64 * HALVES
+    beyond, radius = 0.0, bits
+    while radius > 0:
+        beyond += comb(bits, radius) * worst**radius * (1 - worst) ** (bits - radius)
+        if beyond > MISSED:
+            break
+        radius -= 1
+    return radius
+
+
+def radius_of(percent: int) -> list[int]:
+    """Radius by the item's number of shingles, 0 to ``MANY``; the last holds for all larger ones.
+
+    The radius is taken for the window that just reaches the similarity and is farthest from
+    the item, and does not fall below that of ``MANY`` shingles, as it varies with parity.
+    """
+    large = max(_radius(n, percent) for n in range(MANY - 9, MANY + 1))
+    return [max(_radius(n, percent), large) if n else 0 for n in range(MANY)] + [large]
+
+
 def fingerprints(shingles: DataFrame, *key: str) -> DataFrame:
     """SimHash of each key's shingles with their multiplicity: (key, total, f0, f1).
 
@@ -156,24 +209,32 @@ def fingerprints(shingles: DataFrame, *key: str) -> DataFrame:
     return summed.select(*key, "total", *[bits(h).alias(f"f{h}") for h in range(HALVES)])
 
 
-def blocks(prints: DataFrame) -> DataFrame:
-    """A row per block of each fingerprint."""
-    per_half = 64 // BLOCK_BITS
+def blocks(prints: DataFrame, bits: int) -> DataFrame:
+    """A row per block of ``bits`` bits of each fingerprint."""
+    per_half = 64 // bits
     values = [
-        F.shiftrightunsigned(F.col(f"f{h}"), b * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
+        F.shiftrightunsigned(F.col(f"f{h}"), b * bits).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
         for h in range(HALVES)
         for b in range(per_half)
     ]
     return prints.select("*", F.posexplode(F.array(*values)).alias("block", "value"))
 
 
-def within_radius(windows: DataFrame, items: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Windows whose fingerprint is within the radius of their item's: (window, item)."""
-    theirs = blocks(items.toDF("item", "item_total", "i0", "i1").withColumnsRenamed({"i0": "f0", "i1": "f1"}))
-    theirs = theirs.withColumnsRenamed({"f0": "i0", "f1": "i1"}).drop("item_total")
-    met = blocks(windows).join(theirs, ["item", "block", "value"])
+def within_radius(windows: DataFrame, items: DataFrame, radius: int | list[int] = RADIUS) -> DataFrame:
+    """Windows whose fingerprint is within the radius of their item's: (window, item).
+
+    A list has the radius by the item's number of shingles, its last one that of all larger items.
+    """
+    radii = [radius] if isinstance(radius, int) else radius
+    if max(radii) >= 64 * HALVES:
+        return windows.select("window", "item").distinct()
+    bits = next(b for b in (4, 2, 1) if 64 * HALVES // b > max(radii))
+    theirs = blocks(items.toDF("item", "item_total", "i0", "i1").withColumnsRenamed({"i0": "f0", "i1": "f1"}), bits)
+    allowed = F.get(F.array(*map(F.lit, radii)), F.least(F.col("item_total"), F.lit(len(radii) - 1)).cast("int"))
+    theirs = theirs.withColumnsRenamed({"f0": "i0", "f1": "i1"}).withColumn("allowed", allowed).drop("item_total")
+    met = blocks(windows, bits).join(theirs, ["item", "block", "value"])
     far = F.bit_count(F.col("f0").bitwiseXOR(F.col("i0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("i1")))
-    return met.filter(far <= radius).select("window", "item").distinct()
+    return met.filter(far <= F.col("allowed")).select("window", "item").distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -189,13 +250,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     of_items = keep(_all_sizes(items.drop("item_id"), sizes).drop("words"), "item-shingles")
     index = index_of(of_items, percent)
     windows = windows_of(docs, index, sizes, id_col, text_col)
-    windows = keep(windows.join(enough_shared(windows, of_items, sizes, percent), "window", "left_semi"), "shared-windows")
-    of_windows = keep(
-        _all_sizes(windows.select("window", "item", "size", "words"), sizes).select("window", "item", "shingle"), "window-shingles"
-    )
-    prints = fingerprints(of_windows, "window", "item")
-    near = keep(within_radius(prints, fingerprints(of_items, "item")), "near-windows")
-    times = _counts(of_windows, "window", "item").withColumnRenamed("times", "window_times")
+    enough = keep(enough_shared(windows, of_items, sizes, percent), "enough-shared")
+    windows = keep(windows.join(enough, "window", "left_semi"), "shared-windows")
+    of_windows = _all_sizes(windows.select("window", "item", "size", "words"), sizes).select("window", "item", "shingle")
+    # Dealt by window, so that its sums over the shingles are not made in many tasks.
+    times = keep(_counts(of_windows.repartition("window", "item"), "window", "item"), "window-shingles")
+    prints = fingerprints(occurrences(times, "window", "item"), "window", "item")
+    item_prints = fingerprints(occurrences(_counts(of_items, "item"), "item"), "item")
+    near = keep(within_radius(prints, item_prints, radius_of(percent)), "near-windows")
+    times = times.withColumnRenamed("times", "window_times")
     theirs = _counts(of_items, "item").withColumnsRenamed({"item": "i", "shingle": "s", "times": "item_times"})
     totals = of_items.groupBy(F.col("item").alias("i")).agg(F.count(F.lit(1)).alias("item_total"))
     compared = (

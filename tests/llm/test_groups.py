@@ -186,6 +186,29 @@ def test_contamination_cases(spark):
     assert decontam.contaminated(docs.limit(0), benchmark).count() == 0
 
 
+def test_contamination_with_repeated_words_and_short_items(spark):
+    """Runs of equal words that the copy lacks, and short items cut by the end of their text."""
+    r = random.Random(21)
+    say = lambda n, kind: [f"{kind}{r.randrange(10**6)}" for _ in range(n)]
+    items, docs = [], []
+    for k in range(12):
+        before, after = say(93, "a"), say(93, "b")
+        items.append((k, " ".join([*before, *["same"] * 18, *after])))
+        docs.append((k, " ".join([*say(9, "c"), *before, *say(18, "d"), *after, *say(9, "e")])))
+    for k in range(100, 350):
+        item = say(9, "f")
+        items.append((k, " ".join(item)))
+        docs.append((k, " ".join([*say(9, "g"), *item[:8]])))
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(x.doc_id, x.item_id): round(x.similarity, 9) for x in decontam.contaminated(table, benchmark).collect()}
+    by_id = dict(items)
+    expected = {}
+    for d in docs:  # other items share no words
+        expected |= leaks([d], [(d[0], by_id[d[0]])])
+    assert found == expected and len(expected) == len(docs)
+
+
 def test_fingerprint_blocks_miss_nothing_within_the_radius(spark):
     r = random.Random(3)
     prints = []
