@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, decontam, kd_shards, licences, minhash, quality, token_counts, topk, toxicity, warc
+from postloom.llm import (
+    bpe, decontam, fim, kd_shards, licences, merkle, minhash, pii, quality, token_counts, topk, toxicity, warc,
+)
 from postloom.llm.labelled import held_out
 from postloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANKS = "byte_bpe_50k.tiktoken"
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]  # fields of a leaf, in their order
 
 
 def _scored(found: DataFrame) -> DataFrame:
@@ -83,6 +87,27 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score(docs, model))
 
 
+def shown_leaf() -> Column:
+    """Where 3 divides the crc32 of the id, the digest of the row with its text's A-Z lower-cased."""
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    fields = [lower if name == "text" else F.col(name) for name in LEAF]
+    return F.when(picked, merkle.leaf_of(*fields))
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = merkle.build(table(spark, sf_dir, "documents"), LEAF, group="lang", shown=shown_leaf())
+    return merkle.verify(manifest).drop("group")
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"), fim.Settings(seed=7, rate=100, spm=50)).drop("round_trip")
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
@@ -94,6 +119,9 @@ QUERIES: dict[str, Query] = {
     "op8_kd_shards": op8_kd_shards,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_toxicity_ftrl": op10_toxicity_ftrl,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_pii": op12_pii,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
@@ -179,4 +207,104 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_merkle_manifest": """
+        WITH RECURSIVE f AS (
+            SELECT doc_id, lang, text,
+                   coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+                   || coalesce(octet_length(encode(source)) || ':' || source, '-')
+                   || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+                   || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head
+            FROM documents
+        ),
+        bits AS (SELECT unnest(range(256)) AS b),
+        crc_table AS (
+            SELECT list(c ORDER BY b) AS crcs FROM (
+                SELECT b, list_reduce(list_prepend(CAST(b AS UBIGINT), [CAST(0 AS UBIGINT) FOR x IN range(8)]),
+                    lambda c, x: xor(c >> 1, CASE WHEN c & 1 = 1 THEN CAST(3988292384 AS UBIGINT) ELSE 0 END)) AS c
+                FROM bits)
+        ),
+        leaves AS (
+            SELECT doc_id, lang,
+                   sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+                   sha256(head || coalesce(octet_length(encode(text)) || ':'
+                       || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS lowered,
+                   xor(4294967295, list_reduce(
+                       list_prepend(CAST(4294967295 AS UBIGINT), [CAST(ascii(ch) AS UBIGINT) FOR ch IN string_split(CAST(doc_id AS VARCHAR), '')]),
+                       lambda c, x: xor(c >> 8, crcs[1 + CAST(xor(c, x) & 255 AS BIGINT)]))) AS crc
+            FROM f, crc_table
+        ),
+        ranked AS (
+            SELECT *, CASE WHEN crc % 3 = 0 THEN lowered ELSE leaf END AS shown, coalesce('+' || lang, '') AS tree,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+            FROM leaves
+        ),
+        levels AS (
+            SELECT tree, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM ranked GROUP BY tree
+            UNION ALL
+            SELECT tree, level + 1, [sha256(array_to_string(nodes[i + 1 : i + 8], '')) FOR i IN range(0, len(nodes), 8)]
+            FROM levels WHERE len(nodes) > 1
+        ),
+        subroots AS (
+            SELECT tree, nodes[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place,
+                   max(level) OVER () AS deepest, level AS height
+            FROM levels WHERE len(nodes) = 1
+        ),
+        tops AS (
+            SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+            UNION ALL
+            SELECT level + 1, [sha256(array_to_string(nodes[i + 1 : i + 8], '')) FOR i IN range(0, len(nodes), 8)]
+            FROM tops WHERE len(nodes) > 1
+        ),
+        root AS (SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1),
+        steps AS (
+            SELECT r.doc_id, r.tree, r.pos, l.level, l.nodes, r.pos // pow(8, l.level)::BIGINT AS own
+            FROM ranked AS r JOIN levels AS l ON r.tree = l.tree AND len(l.nodes) > 1
+            UNION ALL
+            SELECT r.doc_id, r.tree, r.pos, s.height + t.level, t.nodes, s.place // pow(8, t.level)::BIGINT
+            FROM ranked AS r JOIN subroots AS s USING (tree) JOIN tops AS t ON len(t.nodes) > 1
+        ),
+        parts AS (
+            SELECT tree, pos, level,
+                   array_to_string(nodes[own - own % 8 + 1 : own], '') AS l,
+                   array_to_string(nodes[own + 2 : own - own % 8 + 8], '') AS r
+            FROM steps
+        ),
+        paths AS (
+            SELECT tree, pos, string_agg(l || r, '' ORDER BY level) AS siblings,
+                   list({'l': l, 'r': r, 'node': ''} ORDER BY level) AS path
+            FROM parts GROUP BY tree, pos
+        ),
+        folded AS (
+            SELECT k.doc_id, k.leaf, s.subroot, root.root, sha256(coalesce(p.siblings, '')) AS proof_sha256,
+                   list_reduce(list_prepend({'l': '', 'r': '', 'node': k.shown}, coalesce(p.path, [])),
+                       lambda a, x: {'l': '', 'r': '', 'node': sha256(x.l || a.node || x.r)}).node AS folded_root
+            FROM ranked AS k JOIN subroots AS s USING (tree) CROSS JOIN root
+            LEFT JOIN paths AS p ON k.tree = p.tree AND k.pos = p.pos
+        )
+        SELECT *, folded_root = root AS verified FROM folded
+    """,
+    "op13_fill_in_middle": """
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+        ),
+        u AS (
+            SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS w, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                   CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+            FROM d
+        ),
+        c AS (SELECT *, len(w) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b FROM u),
+        p AS (
+            SELECT *, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1 : b], '') AS middle, array_to_string(w[b + 1 :], '') AS suffix,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM c
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+               CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM p
+    """,
 }

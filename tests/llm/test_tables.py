@@ -128,7 +128,7 @@ def test_top_k_cases(spark):
     r = np.random.default_rng(5)
     rows = [(i, [float(x) for x in r.normal(0, 0.3, 6).astype(np.float32)]) for i in range(300)]
     rows += [(1000 + i, rows[7][1]) for i in range(30)]  # ties
-    rows += [(400, None), (401, []), (402, [1.0, None, 0, 0, 0, 0]), (403, [float("nan")] * 6), (404, [float("inf")] * 6), (None, rows[0][1])]
+    rows += [(400, None), (401, []), (402, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (403, [float("nan")] * 6), (404, [float("inf")] * 6), (None, rows[0][1])]
     rows += [(500, [1.0, 2.0]), (510, [3.0, 1.0]), (600, [0.0] * 6), (700, [1e6, -1e6, 1e6, 0.0, 0.0, 0.0])]
     vectors = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id bigint, embedding array<float>, score string").repartition(5)
     for block, group in ((64, 8), (16_384, 2048)):
