@@ -15,7 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from postloom.operators import analytics, export, listing, load  # noqa: E402
+from postloom.operators import analytics, export, listing  # noqa: E402
+from postloom.operators.table import PostsTable  # noqa: E402
 from postloom.operators.transform import transform_posts  # noqa: E402
 from postloom.plans import inputs  # noqa: E402
 from postloom.plans.queries import QUERIES  # noqa: E402
@@ -47,12 +48,11 @@ def main() -> None:
     raw = inputs.captured(spark, SF_DIR)
     rows = raw.select("seq").count()
     as_of = F.lit("2024-02-01").cast("timestamp_ntz")
-    table = load.PostsTable(spark, scratch_path(spark, "bench"))
+    table = PostsTable(spark, scratch_path(spark, "bench"))
     later = raw.filter(F.col("likes") == "1,234")
 
     timed("transform", lambda: drain(transform_posts(raw)))
-    timed("load_append", lambda: table.append(transform_posts(raw), as_of=as_of))
-    timed("load_compact", lambda: table.compact())
+    timed("load_append", lambda: table.load(transform_posts(raw), as_of=as_of))
     posts = table.posts()
     timed("table_get_posts", lambda: drain(listing.get_posts(posts, "twitter", 1000)))
     timed("table_top_posts", lambda: drain(listing.top_posts_by_likes(posts, 100)))
@@ -64,8 +64,8 @@ def main() -> None:
     timed("table_author_likes", lambda: drain(analytics.author_average_likes(posts, "reddit")))
     timed("export_parquet", lambda: export.export_parquet(posts, scratch_path(spark, "parquet")))
     timed("export_csv", lambda: export.export_csv(posts, scratch_path(spark, "csv")))
-    timed("load_second_batch", lambda: table.append(transform_posts(later), as_of=as_of))
-    timed("read_merged", lambda: drain(table.posts()))
+    timed("load_second_batch", lambda: table.load(transform_posts(later), as_of=as_of))
+    timed("read_table", lambda: drain(table.posts()))
     for name in DERIVED:
         timed(name, lambda: drain(QUERIES[name](spark, SF_DIR)))
     print(

@@ -1,29 +1,24 @@
-"""Loading posts: validation, batch collapse, upsert and the stored table.
-
-A table is a folder with collapsed batches below ``log/`` and merged states
-below ``base/``. The table numbers its batches; a committed batch never changes. Adding a batch writes only that batch; readers merge the batches
-that are not in the newest merged state yet. Every row carries two arrival
-numbers, that of the first and that of the latest capture of its key. The merge
-takes the fixed columns from the smaller and the counters from the larger one, so
-its result depends neither on the order in which batches are merged nor on a
-batch being written twice.
+"""Loading posts: validation, batch collapse and upsert.
+
+A post's place is a struct of load, page, position and source, compared field by field, so no
+count of loads, pages or positions is too large for it. Every stored row carries the places of
+the first and of the latest capture of its key. A merge takes the fixed columns from the earlier
+and the counters from the later one, so its result depends neither on the order in which batches
+are merged nor on a batch being merged twice.
+
+The stored table itself is in :mod:`postloom.operators.table`.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postloom.functions.labels import engagement_etl
 from postloom.functions.parse import now
 from postloom.operators.collapse import collapse
-from postloom.schema import KEY, MUTABLE, POSTS, STATIC, STORED
-from postloom.session import scratch_path
-
-SEQ_BITS = 44  # room for 2^44 captures per batch and 2^19 batches
-COMMITTED = "_committed"  # the mark of a finished folder; readers of Parquet skip it
+from postloom.schema import ARRIVAL, KEY, MUTABLE, POSTS, STATIC, STORED
 
 
 def _aligned(df: DataFrame, names: list[str]) -> DataFrame:
@@ -42,33 +37,41 @@ def valid_key(df: DataFrame) -> Column:
     return (F.coalesce("post_id", F.lit("")) != "") & (F.coalesce("platform", F.lit("")) != "")
 
 
+def ordered_seq(df: DataFrame) -> Column:
+    """``seq``; a row without one raises, as no rule could place it."""
+    unordered = F.raise_error(F.lit("a captured row has no seq")).cast(df.schema["seq"].dataType)
+    return F.coalesce(F.col("seq"), unordered)
+
+
+def arrival(df: DataFrame, load_no: int) -> Column:
+    """Place over all loads of a row with a ``seq``, be it a number or a capture's place."""
+    seq = ordered_seq(df)
+    if isinstance(df.schema["seq"].dataType, T.StructType):
+        parts = [seq["page"], seq["pos"], seq["source"]]
+    else:
+        parts = [seq, F.lit(0), F.lit(0)]
+    fields = [F.lit(load_no), *parts]
+    return F.struct(*[c.cast(f.dataType).alias(f.name) for c, f in zip(fields, ARRIVAL)])
+
+
 def to_batch(
     transformed: DataFrame,
-    batch_no: int,
+    load_no: int = 0,
     as_of: Column | None = None,
-    arrival: Column | None = None,
     latest_by: str = "arrival",
 ) -> DataFrame:
-    """One stored row per key of a transformed batch.
+    """One stored row per key of a transformed batch, without ids yet.
 
-    ``seq`` is the unique capture order within the batch. ``arrival`` replaces the
-    default number made of batch and ``seq``; pass it when rows already carry an
-    order over all batches. Missing counters become 0. Rows without a key are left
-    out; :func:`validate_load` reports them.
+    ``seq`` is the unique capture order within the load. Give every load the same number
+    when their rows carry one order over all loads. Missing counters become 0. Rows without a
+    key are left out; :func:`validate_load` reports them.
     """
-    if arrival is None:
-        if not 0 <= batch_no < 1 << (63 - SEQ_BITS):
-            raise ValueError(f"batch number {batch_no} is out of range")
-        fits = F.col("seq").between(0, (1 << SEQ_BITS) - 1)
-        too_large = F.raise_error(F.lit("a captured row's seq is out of range")).cast("bigint")
-        arrival = F.lit(batch_no << SEQ_BITS) + F.when(fits | F.col("seq").isNull(), F.col("seq")).otherwise(too_large)
-    unordered = F.raise_error(F.lit("a captured row has no seq")).cast("bigint")
-    arrival = F.coalesce(arrival, unordered)
     counters = ["likes", "comments", "upvote_ratio", "retweet_count", "view_count"]
-    rows = transformed.filter(valid_key(transformed)).withColumn("last_seq", arrival)
-    rows = rows.withColumn("id", F.col("last_seq"))
+    rows = transformed.filter(valid_key(transformed))
+    rows = rows.withColumn("first_at", arrival(rows, load_no)).withColumn("last_at", F.col("first_at"))
     if "processed_at" not in rows.columns:
         rows = rows.withColumn("processed_at", now() if as_of is None else as_of)
+    rows = rows.withColumn("id", F.lit(None).cast("bigint"))
     rows = _aligned(rows, STORED.fieldNames()).fillna(0, subset=counters)
     return merge_all(rows, latest_by)
 
@@ -79,27 +82,24 @@ def merge_all(rows: DataFrame, latest_by: str = "arrival") -> DataFrame:
     The fixed columns come from the first arrival, the counters from the latest
     one, or from the latest ``scraped_at`` when asked for.
     """
-    latest = F.col("last_seq")
+    latest = F.col("last_at")
     if latest_by == "scraped_at":
-        latest = F.struct("scraped_at", "last_seq")
+        latest = F.struct("scraped_at", "last_at")
     ordered = rows.withColumn("_latest", latest)
-    merged = collapse(ordered, KEY, ["id", *STATIC], [*MUTABLE, "last_seq"], "id", "_latest")
+    merged = collapse(ordered, KEY, ["id", *STATIC, "first_at"], [*MUTABLE, "last_at"], "first_at", "_latest")
     return merged.select(*STORED.fieldNames())
 
 
 def as_posts(stored: DataFrame) -> DataFrame:
-    """Stored rows without the bookkeeping column."""
+    """Stored rows without the bookkeeping columns."""
     return stored.select(*POSTS.fieldNames())
 
 
-def _sides(latest_by: str, key: str | None = None) -> list[Column]:
-    """Merged row of a key that is on one side (``t``, ``b``) or on both.
-
-    ``key`` names the side that always has the key: a filter on it then reaches the scan.
-    """
-    in_t, in_b = F.col("t.id").isNotNull(), F.col("b.id").isNotNull()
-    static_from_t = in_t & (~in_b | (F.col("t.id") <= F.col("b.id")))
-    later_in_b = F.col("b.last_seq") >= F.col("t.last_seq")
+def _sides(latest_by: str) -> list[Column]:
+    """Merged row of a key that is on one side (``t``, ``b``) or on both."""
+    in_t, in_b = F.col("t.first_at").isNotNull(), F.col("b.first_at").isNotNull()
+    static_from_t = in_t & (~in_b | (F.col("t.first_at") <= F.col("b.first_at")))
+    later_in_b = F.col("b.last_at") >= F.col("t.last_at")
     if latest_by == "scraped_at":
         # A missing capture time is earlier than any other.
         never = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
@@ -108,9 +108,9 @@ def _sides(latest_by: str, key: str | None = None) -> list[Column]:
     counters_from_b = in_b & (~in_t | later_in_b)
 
     def column(name: str) -> Column:
-        if name in KEY:
-            picked = F.col(f"{key}.{name}") if key else F.coalesce(f"t.{name}", f"b.{name}")
-        elif name in [*MUTABLE, "last_seq"]:
+        if name in [*KEY, "id"]:
+            picked = F.coalesce(f"t.{name}", f"b.{name}")
+        elif name in [*MUTABLE, "last_at"]:
             picked = F.when(counters_from_b, F.col(f"b.{name}")).otherwise(F.col(f"t.{name}"))
         else:
             picked = F.when(static_from_t, F.col(f"t.{name}")).otherwise(F.col(f"b.{name}"))
@@ -119,29 +119,16 @@ def _sides(latest_by: str, key: str | None = None) -> list[Column]:
     return [column(n) for n in STORED.fieldNames()]
 
 
-def _on_key() -> Column:
-    return (F.col("t.post_id") == F.col("b.post_id")) & (F.col("t.platform") == F.col("b.platform"))
-
-
-def upsert(
-    target: DataFrame, batch: DataFrame, latest_by: str = "arrival", small_batch: bool = False
-) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, latest_by: str = "arrival") -> DataFrame:
     """Stored table after a batch: new keys are added, known keys get new counters.
 
-    Both inputs hold one row per key, so no key can overload a task. Which side
-    has the key decides, never a NULL value: a NULL fixed column stays NULL.
-
-    ``small_batch`` is for a batch whose size was checked: it joins the target to
-    the batch and adds the unmatched batch rows, which lets Spark broadcast the
-    batch and leaves the target unshuffled. Otherwise one full outer join reads
-    the target once.
+    Both inputs hold one row per key, so no key can overload a task. Which side has the key
+    decides, never a NULL value: a NULL fixed column stays NULL. A side that is already
+    partitioned by the key, as the stored table is, is not shuffled.
     """
     t, b = target.alias("t"), batch.alias("b")
-    if not small_batch:
-        return t.join(b, _on_key(), "full_outer").select(*_sides(latest_by))
-    updated = t.join(b, _on_key(), "left").select(*_sides(latest_by, key="t"))
-    known = target.select(*KEY).join(batch.select(*KEY), KEY, "left_semi")
-    return updated.unionByName(batch.join(known, KEY, "left_anti"))
+    on_key = (F.col("t.post_id") == F.col("b.post_id")) & (F.col("t.platform") == F.col("b.platform"))
+    return t.join(b, on_key, "full_outer").select(*_sides(latest_by))
 
 
 def known_posts(batch: DataFrame, target: DataFrame) -> DataFrame:
@@ -162,8 +149,7 @@ def validate_load(batch: DataFrame, target: DataFrame) -> DataFrame:
     so rows of a repeated key stay spread over the tasks.
     """
     valid = valid_key(batch)
-    unordered = F.raise_error(F.lit("a captured row has no seq")).cast("bigint")
-    batch = batch.withColumn("seq", F.when(valid, F.coalesce("seq", unordered)).otherwise(F.col("seq")))
+    batch = batch.withColumn("seq", F.when(valid, ordered_seq(batch)).otherwise(F.col("seq")))
     firsts = batch.filter(valid).groupBy(*KEY).agg(F.min("seq").alias("seq"))
     accepted = unknown_posts(firsts, target).withColumn("_accepted", F.lit(True))
     checked = batch.join(accepted, [*KEY, "seq"], "left").select(
@@ -191,148 +177,3 @@ def load_stats(validated: DataFrame) -> DataFrame:
 def relabel_engagement(stored: DataFrame) -> DataFrame:
     """Recompute the engagement level from the latest counters."""
     return stored.withColumn("engagement_level", engagement_etl())
-
-
-@dataclass(frozen=True)
-class PostsTable:
-    """A stored posts table below one folder of the shared file system.
-
-    One writer at a time; any number of readers. A folder counts only once it holds the
-    table's own mark, written after Spark's job has ended, so a lost job leaves nothing a
-    reader would see. Whether counters follow the latest arrival or the latest
-    ``scraped_at`` is fixed with the first batch and kept with the table.
-    """
-
-    spark: SparkSession
-    path: str
-
-    def _hadoop(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _found(self, pattern: str) -> list:
-        """Paths that match a pattern below the table, in one call to the file system."""
-        p, fs = self._hadoop(f"{self.path}/{pattern}")
-        return [s.getPath() for s in fs.globStatus(p) or []]
-
-    def _folders(self, kind: str) -> dict[int, str]:
-        """Name of each committed folder by its number, one per batch or merged state."""
-        names = [p.getParent().getName() for p in self._found(f"{kind}/*/{COMMITTED}")]
-        return {int(n.split("=")[1].split("-")[0]): n for n in sorted(names)}
-
-    def _commit(self, folder: str) -> None:
-        p, fs = self._hadoop(f"{folder}/{COMMITTED}")
-        fs.create(p, True).close()
-
-    def _bytes(self, paths: list[str]) -> int:
-        sizes = (self._hadoop(path) for path in paths)
-        return sum(fs.getContentSummary(p).getLength() for p, fs in sizes)
-
-    def latest_by(self) -> str | None:
-        """The rule the table was started with; None before its first batch."""
-        rules = [p.getName().split("=")[1] for p in self._found("rule=*")]
-        return rules[0] if rules else None
-
-    def _fix_rule(self, wanted: str | None) -> str:
-        rule = self.latest_by()
-        if rule is None:
-            rule = wanted or "arrival"
-            p, fs = self._hadoop(f"{self.path}/rule={rule}")
-            fs.mkdirs(p)
-        if wanted not in (None, rule):
-            raise ValueError(f"the table keeps the latest by {rule}, not by {wanted}")
-        return rule
-
-    def next_batch_no(self) -> int:
-        return max([*self._folders("log"), *self._folders("base")], default=-1) + 1
-
-    def append(
-        self,
-        transformed: DataFrame,
-        batch_no: int | None = None,
-        origin: str | None = None,
-        latest_by: str | None = None,
-        **options,
-    ) -> int:
-        """Collapse and write one batch under the table's next number; returns the number.
-
-        ``origin`` names where the batch comes from, such as a stream and its micro-batch.
-        A batch whose origin, or whose given number, is committed already is not written
-        again. A given number must otherwise be the next one.
-        """
-        log = self._folders("log")
-        if origin is not None:
-            for number, name in log.items():
-                if name == f"batch={number}-{origin}":
-                    return number
-        if batch_no in log:
-            return batch_no
-        number = self.next_batch_no()
-        if batch_no not in (None, number):
-            raise ValueError(f"the next batch is {number}, not {batch_no}")
-        batch = to_batch(transformed, number, latest_by=self._fix_rule(latest_by), **options)
-        folder = f"{self.path}/log/batch={number}" + (f"-{origin}" if origin else "")
-        batch.write.mode("overwrite").parquet(folder)
-        self._commit(folder)
-        return number
-
-    def _read(self, *paths: str) -> DataFrame:
-        return self.spark.read.schema(STORED).parquet(*paths)
-
-    def stored(self, platform: str | None = None) -> DataFrame:
-        """Current stored rows; a platform filter reaches both the base and the log."""
-        base, latest_by = self._folders("base"), self.latest_by() or "arrival"
-        upto = max(base, default=-1)
-        log = [f"{self.path}/log/{name}" for n, name in self._folders("log").items() if n > upto]
-
-        def part(df: DataFrame) -> DataFrame:
-            return df.filter(F.col("platform") == platform) if platform else df
-
-        current = None
-        if base:
-            current = part(self._read(f"{self.path}/base/upto={upto}"))
-        if log:
-            recent = part(self._read(*log))
-            if len(log) > 1:
-                recent = merge_all(recent, latest_by)
-            if current is None:
-                return recent
-            limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-            current = upsert(current, recent, latest_by, small_batch=self._bytes(log) <= limit)
-        return self.spark.createDataFrame([], STORED) if current is None else current
-
-    def posts(self, platform: str | None = None) -> DataFrame:
-        return as_posts(self.stored(platform))
-
-    def compact(self) -> int:
-        """Write the merged state of all batches, split by platform and ordered by time.
-
-        Rows stay in the partitions the merge left them in, so a platform holding
-        most rows is written by many tasks.
-        """
-        number = self.next_batch_no() - 1
-        if number < 0:
-            raise ValueError("nothing to compact")
-        if number in self._folders("base"):
-            return number
-        folder = f"{self.path}/base/upto={number}"
-        rows = self.stored().sortWithinPartitions("platform", "timestamp")
-        rows.write.mode("overwrite").partitionBy("platform").parquet(folder)
-        self._commit(folder)
-        return number
-
-
-def load_with_validation(
-    transformed: DataFrame, table: PostsTable, as_of: Column | None = None
-) -> DataFrame:
-    """Load the rows that validation accepts; returns every row with its status and error.
-
-    The verdict is stored before the load, so it does not change with the table.
-    """
-    path = scratch_path(table.spark, "validated")
-    validate_load(transformed, table.stored()).write.parquet(path)
-    checked = table.spark.read.parquet(path)
-    accepted = checked.filter(F.col("status") == "success").drop("status", "error")
-    table.append(accepted, as_of=as_of)
-    return checked

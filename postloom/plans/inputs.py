@@ -122,9 +122,12 @@ def captured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``posts`` table after loading every raw post as one batch."""
-    batch = load.to_batch(transform_posts(captured(spark, sf_dir)), batch_no=0)
-    return load.as_posts(batch)
+    """The ``posts`` table after loading every raw post as one batch.
+
+    The arrival number is unique here, so it serves as the id.
+    """
+    batch = load.to_batch(transform_posts(captured(spark, sf_dir)))
+    return load.as_posts(batch.withColumn("id", F.col("first_at.page")))
 
 
 def earlier_and_later(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

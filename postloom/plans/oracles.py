@@ -6,9 +6,7 @@ Written from the meaning of each query, independently of the Spark expressions.
 from __future__ import annotations
 
 from postloom.plans import oracle_values as lx
-from postloom.plans.queries import AS_OF, POST_COLUMNS
-
-BATCH = 1 << 44
+from postloom.plans.queries import AS_OF, NO_ID, POST_COLUMNS
 
 
 def lit(value: str) -> str:
@@ -242,7 +240,7 @@ def loaded(name: str, where: str, batch: int, latest: str = "seq") -> str:
     first = ", ".join(f"arg_min({{v: {c}}}, seq).v AS {c}" for c in _FIXED)
     last = ", ".join(f"arg_max({{v: {c}}}, {latest}).v AS {c}" for c in ["likes", "comments", "scraped_at"])
     return f"""{name} AS (
-    SELECT min(seq) + {batch * BATCH} AS id, post_id, platform, {first}, {last},
+    SELECT min(seq) AS id, post_id, platform, {first}, {last},
         NULL::VARCHAR AS url, NULL::VARCHAR AS subreddit, 0::FLOAT AS upvote_ratio,
         0::BIGINT AS retweet_count, 0::BIGINT AS view_count,
         NULL::VARCHAR AS duration, NULL::VARCHAR AS channel_id,
@@ -324,7 +322,6 @@ tweets AS (
     FROM tweet_texts
 )"""
 
-PAGE = 1 << 20  # capture order: page number times this, plus the position
 TITLE = "event_type || ' & \"seen\"'"
 
 
@@ -332,25 +329,37 @@ def wanted_thumbnail(expr: str = "image_url") -> str:
     return f"""CASE WHEN {expr} LIKE '%.PNG?%' THEN post_id || '.png' ELSE post_id || '.jpg' END"""
 
 
-def merged(latest_from_batch: str = "true") -> str:
+def merged() -> str:
     """Target and batch joined on the key, the side picked by presence of its id."""
     cols = []
-    for c in POST_COLUMNS:
+    for c in NO_ID:
         if c in ("post_id", "platform"):
             cols.append(f"coalesce(t.{c}, b.{c}) AS {c}")
         elif c in ("likes", "comments", "scraped_at"):
-            cols.append(
-                f"CASE WHEN b.id IS NOT NULL AND (t.id IS NULL OR {latest_from_batch}) "
-                f"THEN b.{c} ELSE t.{c} END AS {c}"
-            )
+            cols.append(f"CASE WHEN b.id IS NOT NULL THEN b.{c} ELSE t.{c} END AS {c}")
         else:
             cols.append(f"CASE WHEN t.id IS NOT NULL THEN t.{c} ELSE b.{c} END AS {c}")
+    cols += ["CASE WHEN t.id IS NOT NULL THEN 0 ELSE 1 END::BIGINT AS first_load", "coalesce(t.id, b.id) AS first_seq"]
     return (
         f"SELECT {', '.join(cols)} FROM target t FULL JOIN batch b "
         "ON t.post_id = b.post_id AND t.platform = b.platform"
     )
 
 
+def after_loads(*wheres: str) -> str:
+    """Posts after several loads: ids in the order of first arrival, load by load."""
+    parts = " UNION ALL ".join(f"SELECT *, {i} AS load FROM transformed WHERE {w}" for i, w in enumerate(wheres))
+    first = ", ".join(f"arg_min({{v: {c}}}, load * 1000000000000 + seq).v AS {c}" for c in _FIXED)
+    last = ", ".join(f"arg_max({{v: {c}}}, load * 1000000000000 + seq).v AS {c}" for c in ["likes", "comments", "scraped_at"])
+    return f"""{TRANSFORMED}, loads AS ({parts}),
+        posts AS (
+            SELECT row_number() OVER (ORDER BY min(load * 1000000000000 + seq)) AS id, post_id, platform, {first}, {last},
+                NULL::VARCHAR AS url, NULL::VARCHAR AS subreddit, 0::FLOAT AS upvote_ratio,
+                0::BIGINT AS retweet_count, 0::BIGINT AS view_count, NULL::VARCHAR AS duration, NULL::VARCHAR AS channel_id
+            FROM loads GROUP BY post_id, platform
+        )"""
+
+
 VALIDATED = f"""{TWO_LOADS},
 numbered AS (
     SELECT seq, post_id, platform, coalesce(post_id, '') <> '' AND coalesce(platform, '') <> '' AS valid,
@@ -464,7 +473,39 @@ ORACLES: dict[str, str] = {
             {engagement(f"({safe_int('likes')})", f"({safe_int('comments')})", lx.LABELER_THRESHOLDS, 2)}
                 AS engagement_level FROM posts_raw""",
     "upsert_posts": f"WITH {TWO_LOADS} {merged()}",
-    "table_load": f"WITH {TWO_LOADS} {merged()}",
+    "table_load": f"WITH {after_loads(EARLIER, LATER)} SELECT {COLUMNS} FROM posts",
+    "bucketed_upsert": f"WITH {after_loads(EARLIER, LATER, 'true')} SELECT {COLUMNS} FROM posts",
+    # Only posts that the first load does not have, each by its first row.
+    "validated_load": f"""WITH {after_loads(EARLIER, f"""(post_id, platform) NOT IN (
+            SELECT (post_id, platform) FROM transformed WHERE {EARLIER})
+        AND seq = (SELECT min(f.seq) FROM transformed f WHERE f.post_id = transformed.post_id AND f.platform = transformed.platform)""")}
+        SELECT {COLUMNS} FROM posts""",
+    "many_pages": f"""WITH {TWEET_ROWS},
+        captured AS (
+            SELECT 'r' || seq AS post_id, 'reddit' AS platform, seq * 7919 % 20000 AS likes, seq, 0 AS pos, 0 AS source FROM posts_raw
+            UNION ALL SELECT 'c' || seq, 'reddit', 0, seq, 1, 0 FROM posts_raw WHERE event_type <> 'error'
+            UNION ALL SELECT 'r' || seq, 'reddit', seq * 7919 % 20000, seq, 0, 2 FROM posts_raw WHERE seq % 3 = 0
+            UNION ALL SELECT 'c' || seq, 'reddit', 0, seq, 1, 2 FROM posts_raw WHERE event_type <> 'error' AND seq % 3 = 0
+            UNION ALL SELECT * FROM (
+                SELECT tweet_id, 'twitter', {metric('metric_text')}, seq, 0, 1
+                FROM tweets QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY tweets.seq) = 1)
+        ),
+        keyed AS (
+            SELECT post_id, platform, min([seq, pos, source]) AS first, max([seq, pos, source]) AS last,
+                arg_max(likes, [seq, pos, source]) AS likes FROM captured GROUP BY post_id, platform
+        )
+        SELECT row_number() OVER (ORDER BY first) AS id, post_id, platform, CAST(likes AS BIGINT) AS likes,
+            CAST(first[1] * {1 << 40} AS BIGINT) AS first_page, CAST(first[2] AS BIGINT) AS first_pos,
+            CAST(first[3] AS INTEGER) AS first_source, CAST(last[3] AS INTEGER) AS last_source
+        FROM keyed""",
+    "row_error_lane": f"""WITH {POSTS_RAW}
+        SELECT DISTINCT 'post' AS lane, post_id AS value, platform AS detail, true AS has_file FROM posts_raw
+        WHERE coalesce(post_id, '') <> '' AND seq % 17 <> 0 AND seq % 19 <> 0 AND seq % 23 <> 0
+        UNION ALL SELECT 'line', '{{"seq": ' || seq || ', "post_id": "p', 'not JSON', true FROM posts_raw WHERE seq % 17 = 0
+        UNION ALL SELECT 'line', '{{"seq": "x' || seq || '", "platform": "reddit"}}', 'a field does not fit its type', true
+            FROM posts_raw WHERE seq % 19 = 0 AND seq % 17 <> 0
+        UNION ALL SELECT 'line', '[' || seq || ']', 'not a JSON object', true
+            FROM posts_raw WHERE seq % 23 = 0 AND seq % 17 <> 0 AND seq % 19 <> 0""",
     "upsert_latest_capture": f"""WITH {TRANSFORMED}, last AS (
             SELECT *, row_number() OVER (PARTITION BY post_id, platform
                 ORDER BY scraped_at DESC, CASE WHEN {EARLIER} THEN 1 ELSE 0 END DESC, seq DESC) AS rn
@@ -576,7 +617,7 @@ ORACLES: dict[str, str] = {
         WHERE e.event_type IN ('view', 'click') AND d.doc_id % 11 <> 0""",
     "reddit_listing": f"""WITH {POSTS_RAW},
         bodies AS (SELECT *, {clean_reddit('post_text')} AS body FROM posts_raw)
-        SELECT seq * {PAGE} AS seq, 'r' || seq AS post_id, 'reddit' AS platform,
+        SELECT seq AS page_no, 0::BIGINT AS pos, 'r' || seq AS post_id, 'reddit' AS platform,
             CASE WHEN body = '' THEN {TITLE} ELSE {TITLE} || chr(10) || chr(10) || body END AS post_text,
             CASE WHEN seq % 2 = 0 THEN coalesce(hashtags, '') ELSE '' END AS hashtags,
             CASE WHEN seq % 11 = 0 THEN '' ELSE strftime(scraped_at, '%Y-%m-%dT%H:%M:%S') END
@@ -590,21 +631,21 @@ ORACLES: dict[str, str] = {
             event_type AS subreddit, (seq % 100) / 100 AS upvote_ratio
         FROM bodies
         UNION ALL
-        SELECT seq * {PAGE} + 1, 'c' || seq, 'reddit', event_type, '', '', '', '0', '0', '[deleted]',
+        SELECT seq, 1::BIGINT, 'c' || seq, 'reddit', event_type, '', '', '', '0', '0', '[deleted]',
             'https://reddit.com', {lit(AS_OF.replace(' ', 'T'))}, '', 0
         FROM posts_raw WHERE event_type <> 'error'""",
     "capture_limit": f"""WITH {POSTS_RAW}
         SELECT * FROM (
-            SELECT seq * {PAGE} AS seq, 'r' || seq AS post_id, coalesce(author, '[deleted]') AS author
+            SELECT seq AS page_no, 0::BIGINT AS pos, 'r' || seq AS post_id, coalesce(author, '[deleted]') AS author
             FROM posts_raw
-            UNION ALL SELECT seq * {PAGE} + 1, 'c' || seq, '[deleted]' FROM posts_raw
+            UNION ALL SELECT seq, 1::BIGINT, 'c' || seq, '[deleted]' FROM posts_raw
             WHERE event_type <> 'error'
-        ) ORDER BY seq LIMIT 50""",
+        ) ORDER BY page_no, pos LIMIT 50""",
     "youtube_search": f"""WITH described AS (
             SELECT *, {clean_plain("text || ' #Video #' || lang || ' end'")} AS description
             FROM documents WHERE doc_id % 11 <> 0
         )
-        SELECT e.event_id * {PAGE} AS seq, 'v' || d.doc_id AS post_id, 'youtube' AS platform,
+        SELECT e.event_id AS page_no, 0::BIGINT AS pos, 'v' || d.doc_id AS post_id, 'youtube' AS platform,
             'On "' || d.source || '"' || chr(10) || chr(10) || {without_tags('description')} AS post_text,
             {joined(tags('description'), ',')} AS hashtags, '2024-01-05T10:00:00Z' AS timestamp,
             CASE WHEN doc_id % 2 = 0 THEN 'https://maxres.example/' || doc_id
@@ -622,7 +663,7 @@ ORACLES: dict[str, str] = {
             SELECT *, {clean_plain("CASE WHEN length(post_text) > 5 THEN post_text END")} AS caption
             FROM shot_ids WHERE image_src IS NOT NULL
         )
-        SELECT seq * {PAGE} AS seq, shot_id AS post_id, 'instagram' AS platform,
+        SELECT seq AS page_no, 0::BIGINT AS pos, shot_id AS post_id, 'instagram' AS platform,
             {without_tags('caption')} AS post_text, {joined(tags('caption'), ',')} AS hashtags,
             coalesce(CASE WHEN seq % 2 = 0 THEN timestamp END,
                 CASE WHEN seq % 5 = 0 THEN '3 days ago' END, {lit(AS_OF.replace(' ', 'T'))}) AS timestamp,
@@ -631,7 +672,7 @@ ORACLES: dict[str, str] = {
             coalesce(author, '') AS author
         FROM captioned QUALIFY row_number() OVER (PARTITION BY shot_id ORDER BY captioned.seq) = 1""",
     "tweet_capture": f"""WITH {TWEET_ROWS}
-        SELECT seq * {PAGE} AS seq, tweet_id AS post_id, 'twitter' AS platform,
+        SELECT seq AS page_no, 0::BIGINT AS pos, tweet_id AS post_id, 'twitter' AS platform,
             {without_tags('cleaned')} AS post_text, {joined(tags('cleaned'), ',')} AS hashtags,
             CASE WHEN seq % 2 = 0 THEN coalesce(timestamp, '') ELSE '' END AS timestamp,
             CASE WHEN seq % 3 <> 0 THEN image_url ELSE '' END AS image_url,
@@ -649,11 +690,14 @@ ORACLES: dict[str, str] = {
     "streaming_first_seen": f"""WITH {POSTS_RAW}
         SELECT platform, count(DISTINCT post_id) AS posts FROM posts_raw
         WHERE coalesce(post_id, '') <> '' GROUP BY platform""",
-    "streaming_load": over_posts(f"SELECT {COLUMNS} FROM posts"),
+    "streaming_load": over_posts(f"SELECT {', '.join(NO_ID)} FROM posts"),
 }
 # The same relations by other ways: through files, several writers, and the whole dashboard.
 ORACLES |= {
     "mixed_load": ORACLES["table_load"],
+    "streaming_metrics": ORACLES["load_run"],
+    "streaming_latest_capture": ORACLES["upsert_latest_capture"],
+    "streaming_error_lane": ORACLES["row_error_lane"],
     "import_csv": ORACLES["export_csv_roundtrip"],
     "read_reddit_files": ORACLES["reddit_listing"],
     "read_youtube_files": ORACLES["youtube_search"],

@@ -12,16 +12,23 @@ from postloom.functions import labels, parse, text
 from postloom.operators import analytics, export, indexing, listing, load, transform
 from postloom.operators.collapse import keep_first
 from postloom.operators.run import run_load
+from postloom.operators.table import PostsTable, load_with_validation
 from postloom.plans import inputs, payloads
 from postloom.schema import POSTS, RAW_POSTS
 from postloom.session import scratch_path
-from postloom.sources import captures, files
+from postloom.sources import captures, files, lane
 from postloom.streaming import stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 # A fixed capture time keeps results repeatable.
 AS_OF = "2024-02-01 00:00:00"
 POST_COLUMNS = [f.name for f in POSTS if f.name != "processed_at"]
+NO_ID = [c for c in POST_COLUMNS if c != "id"]
+
+
+def place() -> list[Column]:
+    """Page and position of a captured post."""
+    return [F.col("seq.page").alias("page_no"), F.col("seq.pos").alias("pos")]
 
 
 def as_of() -> Column:
@@ -118,9 +125,11 @@ def _batch(raw: DataFrame, number: int) -> DataFrame:
 
 
 def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads merged, with the place of each post's first capture."""
     earlier, later = inputs.earlier_and_later(spark, sf_dir)
-    target, batch = _batch(earlier, 0), _batch(later, 1)
-    return load.as_posts(load.upsert(target, batch)).select(*POST_COLUMNS)
+    merged = load.upsert(_batch(earlier, 0), _batch(later, 1))
+    first = [F.col("first_at.load").alias("first_load"), F.col("first_at.page").alias("first_seq")]
+    return merged.select(*NO_ID, *first)
 
 
 def _upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,16 +141,49 @@ def _upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("post_id", "platform", "likes", "comments", "scraped_at", "engagement_level")
 
 
+def _loaded(spark: SparkSession, *batches: DataFrame, latest_by: str | None = None) -> PostsTable:
+    """A new stored table after loading raw batches one after the other."""
+    table = PostsTable(spark, scratch_path(spark, "posts"))
+    for raw in batches:
+        table.load(transform.transform_posts(raw), latest_by=latest_by, as_of=as_of())
+    return table
+
+
 def _table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same two loads through a stored table: append, compact, append, read."""
+    """The same two loads through a stored table, with its ids."""
+    return _loaded(spark, *inputs.earlier_and_later(spark, sf_dir)).posts().select(*POST_COLUMNS)
+
+
+def _bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads through a stored table; the third repeats every row of both others."""
     earlier, later = inputs.earlier_and_later(spark, sf_dir)
-    table = load.PostsTable(spark, scratch_path(spark, "posts"))
-    table.append(transform.transform_posts(earlier), as_of=as_of())
-    table.compact()
-    table.append(transform.transform_posts(later), as_of=as_of())
+    table = _loaded(spark, earlier, later, inputs.captured(spark, sf_dir))
     return table.posts().select(*POST_COLUMNS)
 
 
+def _validated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table after a plain load and a validated one, which only adds new posts."""
+    earlier, _ = inputs.earlier_and_later(spark, sf_dir)
+    table = _loaded(spark, earlier)
+    load_with_validation(transform.transform_posts(inputs.captured(spark, sf_dir)), table, as_of())
+    return table.posts().select(*POST_COLUMNS)
+
+
+def _many_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three capture folders with page numbers beyond any packing, dispatched, united and loaded."""
+    path = scratch_path(spark, "captures")
+    far = lambda pages: pages.withColumn("page_no", F.col("page_no") * (1 << 40))
+    pages = payloads.reddit_pages(spark, sf_dir)
+    far(pages).write.json(f"{path}/hot")
+    far(pages.filter("page_no % 3 = 0")).write.json(f"{path}/new")
+    far(payloads.tweet_captures(spark, sf_dir)).write.json(f"{path}/tweets")
+    folders = {"reddit:hot": f"{path}/hot", "twitter": f"{path}/tweets", "reddit:new": f"{path}/new"}
+    table = _loaded(spark, captures.read_all(spark, folders, as_of=as_of()))
+    first = [F.col(f"first_at.{f}").alias(f"first_{f}") for f in ("page", "pos", "source")]
+    last = F.col("last_at.source").alias("last_source")
+    return table.stored().select("id", "post_id", "platform", "likes", *first, last)
+
+
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     earlier, _ = inputs.earlier_and_later(spark, sf_dir)
     raw = inputs.captured(spark, sf_dir).select("seq", "post_id", "platform")
@@ -193,14 +235,14 @@ def _detail_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _reddit(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = captures.reddit_posts(payloads.reddit_pages(spark, sf_dir), as_of())
     return posts.select(
-        "seq", "post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes",
+        *place(), "post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes",
         "comments", "author", "url", "scraped_at", "subreddit", "upvote_ratio",
     )
 
 
 def _reddit_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = captures.reddit_posts(payloads.reddit_pages(spark, sf_dir), as_of())
-    return captures.first_captured(posts, 50).select("seq", "post_id", "author")
+    return captures.first_captured(posts, 50).select(*place(), "post_id", "author")
 
 
 def _youtube(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +250,7 @@ def _youtube(spark: SparkSession, sf_dir: str) -> DataFrame:
         payloads.youtube_pages(spark, sf_dir), payloads.youtube_responses(spark, sf_dir), as_of()
     )
     return posts.select(
-        "seq", "post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes",
+        *place(), "post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes",
         "comments", "author", "url", "view_count", "duration", "channel_id",
     )
 
@@ -216,7 +258,7 @@ def _youtube(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _instagram(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = captures.instagram_posts(payloads.instagram_captures(spark, sf_dir), as_of())
     return posts.select(
-        "seq", "post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes",
+        *place(), "post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes",
         "comments", "author",
     )
 
@@ -224,7 +266,7 @@ def _instagram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = captures.tweet_posts(payloads.tweet_captures(spark, sf_dir), as_of())
     return posts.select(
-        "seq", "post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes",
+        *place(), "post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes",
         "comments", "author", "url", "retweet_count",
     )
 
@@ -270,30 +312,91 @@ def _as_json(raw: DataFrame, path: str) -> str:
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The streaming load in several micro-batches."""
-    arriving = _arriving(spark, sf_dir)
-    table = load.PostsTable(spark, scratch_path(spark, "streamed"))
-    source = stream.read_stream(spark, arriving, max_files=2)
-    run = stream.stream_load(
-        source, table, scratch_path(spark, "offsets"), arrival=F.col("seq"), as_of=as_of()
-    )
+    """The streaming load in several micro-batches, over rows that carry one order."""
+    table = PostsTable(spark, scratch_path(spark, "streamed"))
+    source = stream.read_stream(spark, _arriving(spark, sf_dir), max_files=2)
+    run = stream.stream_load(source, table, scratch_path(spark, "offsets"), load_no=0, as_of=as_of())
     run.awaitTermination()
-    return table.posts().select(*POST_COLUMNS)
+    return table.posts().select(*NO_ID)
+
+
+def _streamed(spark: SparkSession, raw: DataFrame, table: PostsTable, **options) -> None:
+    """All of a raw batch through a stream of its own."""
+    path = _as_json(raw, scratch_path(spark, "arriving"))
+    source = stream.read_stream(spark, path, max_files=100_000)
+    stream.stream_load(source, table, scratch_path(spark, "offsets"), as_of=as_of(), **options).awaitTermination()
 
 
 def _mixed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One table loaded by a batch, compacted, then by two streams with their own checkpoints."""
+    """One table loaded by a batch, then by two streams with their own checkpoints."""
     earlier, later = inputs.earlier_and_later(spark, sf_dir)
-    path = _as_json(later, scratch_path(spark, "later"))
-    table = load.PostsTable(spark, scratch_path(spark, "mixed"))
-    table.append(transform.transform_posts(earlier), as_of=as_of())
-    table.compact()
+    table = _loaded(spark, earlier)
     for _ in range(2):
-        source = stream.read_stream(spark, path, max_files=100_000)
-        stream.stream_load(source, table, scratch_path(spark, "offsets"), as_of=as_of()).awaitTermination()
+        _streamed(spark, later, table)
     return table.posts().select(*POST_COLUMNS)
 
 
+def _stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of all micro-batches, summed."""
+    table, metrics = PostsTable(spark, scratch_path(spark, "streamed")), scratch_path(spark, "metrics")
+    source = stream.read_stream(spark, _arriving(spark, sf_dir), max_files=3)
+    run = stream.stream_load(source, table, scratch_path(spark, "offsets"), as_of=as_of(), metrics=metrics)
+    run.awaitTermination()
+    counters = ["input_count", "transformed_count", "loaded_count", "errors", "positive", "negative", "neutral"]
+    return stream.stream_metrics(spark, metrics).agg(*[F.sum(c).alias(c) for c in counters])
+
+
+def _stream_latest_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams whose captures arrive late; counters follow the capture time."""
+    earlier, later = inputs.earlier_and_later(spark, sf_dir)
+    table = PostsTable(spark, scratch_path(spark, "late"))
+    for raw in (later, earlier):
+        _streamed(spark, raw, table, latest_by="scraped_at")
+    merged = load.relabel_engagement(table.posts())
+    return merged.select("post_id", "platform", "likes", "comments", "scraped_at", "engagement_level")
+
+
+def _broken_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Raw posts as JSON lines, some cut off, some with a text as number, some no objects."""
+    raw = inputs.captured(spark, sf_dir)
+    n = F.col("seq").cast("string")
+    whole = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) if c == "scraped_at" else F.col(c) for c in raw.columns]))
+    line = (
+        F.when(F.col("seq") % 17 == 0, F.concat(F.lit('{"seq": '), n, F.lit(', "post_id": "p')))
+        .when(F.col("seq") % 19 == 0, F.concat(F.lit('{"seq": "x'), n, F.lit('", "platform": "reddit"}')))
+        .when(F.col("seq") % 23 == 0, F.concat(F.lit("["), n, F.lit("]")))
+        .otherwise(whole)
+    )
+    path = scratch_path(spark, "broken")
+    raw.select(line.alias("value")).write.text(path)
+    return path
+
+
+def _both_lanes(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """Loaded posts and refused lines in one relation."""
+    posts = rows.select(F.lit("post").alias("lane"), F.col("post_id").alias("value"), F.col("platform").alias("detail"), F.lit(True).alias("has_file"))
+    return posts.unionByName(
+        lines.select(F.lit("line").alias("lane"), F.col("line").alias("value"), F.col("reason").alias("detail"), F.col("file").isNotNull().alias("has_file"))
+    )
+
+
+def _bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of the readable lines and the lines that were refused."""
+    rows = files.read_raw_json(spark, _broken_lines(spark, sf_dir), bad_lines="refuse")
+    table = _loaded(spark, lane.good(rows))
+    return _both_lanes(table.posts(), lane.refused(rows))
+
+
+def _stream_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a stream."""
+    table, rejects = PostsTable(spark, scratch_path(spark, "streamed")), scratch_path(spark, "rejects")
+    source = stream.read_stream(spark, _broken_lines(spark, sf_dir), max_files=3, bad_lines="refuse")
+    run = stream.stream_load(source, table, scratch_path(spark, "offsets"), as_of=as_of(), rejects=rejects)
+    run.awaitTermination()
+    lines = spark.read.parquet(rejects).filter("line IS NOT NULL").withColumnRenamed("reject_reason", "reason")
+    return _both_lanes(table.posts(), lines)
+
+
 def _import_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An export whose columns come in another order and partly not at all."""
     path = scratch_path(spark, "import_csv")
@@ -311,12 +414,12 @@ def _captured_files(reader, make, *columns: str) -> Query:
         for name, payload in make(spark, sf_dir).items():
             payload.write.json(f"{path}/{name}")
         folder = path if len(list(make(spark, sf_dir))) > 1 else f"{path}/pages"
-        return reader(spark, folder, as_of()).select(*columns)
+        return reader(spark, folder, as_of()).select(*place(), *columns)
 
     return run
 
 
-RAW_COLUMNS = ["seq", "post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes", "comments", "author"]
+RAW_COLUMNS = ["post_id", "platform", "post_text", "hashtags", "timestamp", "image_url", "likes", "comments", "author"]
 
 
 def _sql_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,7 +467,7 @@ def _first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts a batch load reports."""
-    table = load.PostsTable(spark, scratch_path(spark, "run"))
+    table = PostsTable(spark, scratch_path(spark, "run"))
     metrics = run_load(inputs.captured(spark, sf_dir), table, as_of())
     counts = {k: metrics[k] for k in ("input_count", "transformed_count", "loaded_count", "errors")}
     row = {**counts, **metrics["sentiment"]}
@@ -464,6 +567,10 @@ QUERIES: dict[str, Query] = {
     "upsert_posts": _upsert,
     "upsert_latest_capture": _upsert_latest,
     "table_load": _table_load,
+    "bucketed_upsert": _bucketed_upsert,
+    "validated_load": _validated_load,
+    "many_pages": _many_pages,
+    "row_error_lane": _bad_lines,
     "load_run": _load_run,
     "load_validation": _validated,
     "load_stats": lambda spark, sf_dir: load.load_stats(_validated(spark, sf_dir)),
@@ -537,5 +644,8 @@ QUERIES: dict[str, Query] = {
     "csv_log_append": _csv_log,
     "streaming_load": _stream,
     "mixed_load": _mixed_load,
+    "streaming_metrics": _stream_metrics,
+    "streaming_latest_capture": _stream_latest_capture,
+    "streaming_error_lane": _stream_bad_lines,
     "streaming_first_seen": _first_seen,
 }

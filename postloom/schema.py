@@ -31,8 +31,20 @@ RAW_POSTS = T.StructType(
     ]
 )
 
-# The stored table. ``id`` is the arrival number of the first capture of a post:
-# unique and increasing, like an auto-increment key.
+# Place of a captured post: page, position in the page, and which of several sources. Captured
+# posts carry it as ``seq``; raw posts from elsewhere have a plain number there.
+CAPTURE_ORDER = T.StructType(
+    [
+        T.StructField("page", T.LongType()),
+        T.StructField("pos", T.LongType()),
+        T.StructField("source", T.IntegerType()),
+    ]
+)
+# Place of a post over all loads.
+ARRIVAL = T.StructType([T.StructField("load", T.LongType()), *CAPTURE_ORDER.fields])
+
+# The stored table. ``id`` is unique and increases with the first arrival of a post, like an
+# auto-increment key.
 POSTS = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -63,8 +75,10 @@ POSTS = T.StructType(
 MUTABLE = ["likes", "comments", "scraped_at"]
 STATIC = [f.name for f in POSTS if f.name not in [*KEY, *MUTABLE, "id"]]
 
-# Physical table schema: POSTS plus the arrival number of the latest capture.
-STORED = T.StructType([*POSTS.fields, T.StructField("last_seq", T.LongType())])
+# Physical table schema: POSTS plus the places of a post's first and latest capture.
+STORED = T.StructType(
+    [*POSTS.fields, T.StructField("first_at", ARRIVAL), T.StructField("last_at", ARRIVAL)]
+)
 
 
 def _struct(**fields: T.DataType) -> T.StructType:

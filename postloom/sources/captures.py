@@ -7,6 +7,8 @@ DataFrame to raw posts, so payloads from any other source can be mapped too.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from postloom.operators.collapse import keep_first
 from postloom.operators.indexing import with_row_index
 from postloom.operators.skew import join_spread
 from postloom.schema import (
+    CAPTURE_ORDER,
     INSTAGRAM_CAPTURE,
     RAW_POSTS,
     REDDIT_LISTING,
@@ -22,39 +25,42 @@ from postloom.schema import (
     YOUTUBE_DETAILS,
     YOUTUBE_SEARCH,
 )
+from postloom.sources import lane
 
-_POS_BITS = 20  # positions within a page
-_PAGE_BITS = 24  # pages of one load
-
+def capture_order(page_no: str = "page_no", pos: str = "pos", source: int = 0) -> Column:
+    """Place of a captured post, compared by page, then position; see CAPTURE_ORDER."""
+    parts = [F.col(page_no), F.col(pos), F.lit(source)]
+    place = F.struct(*[c.cast(f.dataType).alias(f.name) for c, f in zip(parts, CAPTURE_ORDER)])
+    return F.when(F.col(page_no).isNotNull() & F.col(pos).isNotNull(), place)
 
-def capture_order(page_no: str = "page_no", pos: str = "pos") -> Column:
-    """One sortable number for (page, position in page); raises where it would not be unique."""
-    page, place = F.col(page_no).cast("bigint"), F.col(pos).cast("bigint")
-    fits = page.between(0, (1 << _PAGE_BITS) - 1) & place.between(0, (1 << _POS_BITS) - 1)
-    message = F.lit("a capture has too many pages, or a page too many posts, for one load")
-    too_large = F.raise_error(message).cast("bigint")
-    return F.when(fits | page.isNull() | place.isNull(), F.shiftleft(page, _POS_BITS) + place).otherwise(too_large)
 
+def _payloads(spark: SparkSession, path: str, schema, bad_lines: str = "raise") -> DataFrame:
+    """Captured JSON, one payload per line.
 
-def _payloads(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Captured JSON, one payload per line; a line that is not JSON raises.
-
-    Payloads as delivered carry no ``page_no``. They are numbered by file path, so each of
-    their files must hold one payload.
+    A line that cannot be read raises, or with ``bad_lines="refuse"`` is left out here and
+    returned by :func:`refused_lines`. Payloads as delivered carry no ``page_no``. They are numbered
+    by file path, so each of their files must hold one payload.
     """
-    read = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    if "page_no" not in read.columns:
-        return read
-    files = read.filter("page_no IS NULL").select(F.col("_metadata.file_path").alias("_file"))
+    if bad_lines not in ("raise", "refuse"):
+        raise ValueError(f"bad_lines is raise or refuse, not {bad_lines!r}")
+    if bad_lines == "refuse":
+        read = lane.good(lane.read_lines(spark, path, schema, keep=["file"])).withColumnRenamed("file", "_path")
+    else:
+        read = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        read = read.withColumn("_path", F.col("_metadata.file_path"))
+    names = schema.fieldNames()
+    if "page_no" not in names:
+        return read.select(*names)
+    files = read.filter("page_no IS NULL").select(F.col("_path").alias("_file"))
     if not files.limit(1).count():
-        return read
+        return read.select(*names)
     twice = F.raise_error(F.lit("a file without page_no holds several payloads")).cast("bigint")
     counted = files.groupBy("_file").agg(F.count(F.lit(1)).alias("_payloads"))
     numbered = with_row_index(counted, [F.asc("_file")], "_number")
     number = F.when(F.col("_payloads") == 1, F.col("_number")).otherwise(twice)
     found = numbered.select("_file", number.alias("_number"))
-    joined = read.withColumn("_path", F.col("_metadata.file_path")).join(found, F.col("_path") == F.col("_file"), "left")
-    return joined.withColumn("page_no", F.coalesce("page_no", "_number")).select(*read.columns)
+    joined = read.join(found, F.col("_path") == F.col("_file"), "left")
+    return joined.withColumn("page_no", F.coalesce("page_no", "_number")).select(*names)
 
 
 def _iso(as_of: Column | None) -> Column:
@@ -69,9 +75,8 @@ def _raw(df: DataFrame, platform: str, as_of: Column | None, **columns: Column)
         "seq": capture_order(),
         **columns,
     }
-    return df.select(
-        *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RAW_POSTS]
-    )
+    kinds = {f.name: f.dataType for f in RAW_POSTS} | {"seq": CAPTURE_ORDER}
+    return df.select(*[known.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()])
 
 
 def first_captured(posts: DataFrame, limit: int | None = None) -> DataFrame:
@@ -233,24 +238,24 @@ def tweet_posts(captures: DataFrame, as_of: Column | None = None) -> DataFrame:
     return keep_first(posts, ["post_id"])
 
 
-def read_reddit(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
+def read_reddit(spark: SparkSession, path: str, as_of: Column | None = None, bad_lines: str = "raise") -> DataFrame:
     """Captured listing pages, or search pages, of one subreddit or query."""
-    return reddit_posts(_payloads(spark, path, REDDIT_LISTING), as_of)
+    return reddit_posts(_payloads(spark, path, REDDIT_LISTING, bad_lines), as_of)
 
 
-def read_youtube(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
+def read_youtube(spark: SparkSession, path: str, as_of: Column | None = None, bad_lines: str = "raise") -> DataFrame:
     """Captured search pages below ``search`` and detail responses below ``details``."""
-    pages = _payloads(spark, f"{path}/search", YOUTUBE_SEARCH)
-    responses = _payloads(spark, f"{path}/details", YOUTUBE_DETAILS)
+    pages = _payloads(spark, f"{path}/search", YOUTUBE_SEARCH, bad_lines)
+    responses = _payloads(spark, f"{path}/details", YOUTUBE_DETAILS, bad_lines)
     return youtube_posts(pages, responses, as_of)
 
 
-def read_instagram(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
-    return instagram_posts(_payloads(spark, path, INSTAGRAM_CAPTURE), as_of)
+def read_instagram(spark: SparkSession, path: str, as_of: Column | None = None, bad_lines: str = "raise") -> DataFrame:
+    return instagram_posts(_payloads(spark, path, INSTAGRAM_CAPTURE, bad_lines), as_of)
 
 
-def read_tweets(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
-    return tweet_posts(_payloads(spark, path, TWEET_CAPTURE), as_of)
+def read_tweets(spark: SparkSession, path: str, as_of: Column | None = None, bad_lines: str = "raise") -> DataFrame:
+    return tweet_posts(_payloads(spark, path, TWEET_CAPTURE, bad_lines), as_of)
 
 
 READERS = {
@@ -259,6 +264,19 @@ READERS = {
     "instagram": read_instagram,
     "twitter": read_tweets,
 }
+# Payloads of each platform, by folder below its path.
+PAYLOADS = {
+    "reddit": {"": REDDIT_LISTING},
+    "youtube": {"/search": YOUTUBE_SEARCH, "/details": YOUTUBE_DETAILS},
+    "instagram": {"": INSTAGRAM_CAPTURE},
+    "twitter": {"": TWEET_CAPTURE},
+}
+
+
+def _known(platform: str) -> str:
+    if platform not in READERS:
+        raise ValueError(f"unknown platform {platform!r}; known: {', '.join(READERS)}")
+    return platform
 
 
 def read_posts(
@@ -267,18 +285,27 @@ def read_posts(
     path: str,
     limit: int | None = None,
     as_of: Column | None = None,
+    bad_lines: str = "raise",
 ) -> DataFrame:
     """Raw posts of one platform's capture folder, in capture order up to a limit."""
-    if platform not in READERS:
-        raise ValueError(f"unknown platform {platform!r}; known: {', '.join(READERS)}")
-    return first_captured(READERS[platform](spark, path, as_of), limit)
+    return first_captured(READERS[_known(platform)](spark, path, as_of, bad_lines), limit)
+
+
+def refused_lines(spark: SparkSession, platform: str, path: str) -> DataFrame:
+    """Lines of a capture folder that ``bad_lines="refuse"`` leaves out: (file, line, reason)."""
+    parts = [lane.refused(lane.read_lines(spark, path + folder, schema)) for folder, schema in PAYLOADS[_known(platform)].items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_all(spark: SparkSession, folders: dict[str, str], **options) -> DataFrame:
-    """Union of several platforms' captures; ``seq`` is unique and orders by page, then platform."""
+    """Union of several captures; ``seq`` is unique and orders by page, position and folder.
+
+    A folder is named by its platform, or by anything after ``platform:`` when a platform has
+    several, as in ``{"reddit:hot": ..., "reddit:new": ...}``.
+    """
     result = None
-    for i, (platform, path) in enumerate(folders.items()):
-        posts = read_posts(spark, platform, path, **options)
-        frame = posts.withColumn("seq", F.col("seq") * len(folders) + i)
+    for i, (name, path) in enumerate(folders.items()):
+        posts = read_posts(spark, name.partition(":")[0], path, **options)
+        frame = posts.withColumn("seq", F.col("seq").withField("source", F.lit(i)))
         result = frame if result is None else result.unionByName(frame)
     return result

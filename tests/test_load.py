@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postloom.operators import load
+from postloom.operators.table import PostsTable, load_with_validation
 from postloom.operators.collapse import keep_first
 from postloom.operators.indexing import assign_ids, with_row_index
 from postloom.operators.transform import (
@@ -37,22 +38,21 @@ def batch(spark, data, number=0, **options):
     return load.to_batch(transform_posts(frame(spark, data)), number, as_of(), **options)
 
 
-def content(df, names=("id", *POST)):
+def content(df, names=POST):
     return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)
 
 
-def sequential(batches):
+def sequential(batches, ids=False):
     """The load rule one row at a time: the first row fixes all but the counters."""
     table = {}
-    for number, data in enumerate(batches):
+    for data in batches:
         for seq, post_id, platform, text, likes, scraped_at in data:
             if not post_id or not platform:
                 continue
             at = datetime.fromisoformat(scraped_at) if scraped_at else None
-            arrival = (number << load.SEQ_BITS) + seq
-            row = table.setdefault((post_id, platform), [arrival, post_id, platform, text or "", 0, None])
+            row = table.setdefault((post_id, platform), [len(table) + 1, post_id, platform, text or "", 0, None])
             row[4], row[5] = int(likes or 0), at
-    return sorted((tuple(r) for r in table.values()), key=repr)
+    return sorted((tuple(r) if ids else tuple(r[1:]) for r in table.values()), key=repr)
 
 
 def random_batches(seed, count=3, size=60):
@@ -74,18 +74,17 @@ def test_first_fixes_and_last_updates(spark):
         ("p", "reddit", "later text", "2", None),
         ("p", "twitter", "other platform", "9", None),
     )
-    assert content(batch(spark, data)) == [
-        (0, "p", "reddit", "", 2, None),
-        (2, "p", "twitter", "other platform", 9, None),
+    assert content(batch(spark, data), [*POST, "first_at.page", "last_at.page"]) == [
+        ("p", "reddit", "", 2, None, 0, 1),
+        ("p", "twitter", "other platform", 9, None, 2, 2),
     ]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_upsert_equals_row_by_row(spark, small):
+def test_upsert_equals_row_by_row(spark):
     batches = random_batches(1)
     table = batch(spark, batches[0])
     for number, data in enumerate(batches[1:], start=1):
-        table = load.upsert(table, batch(spark, data, number), small_batch=small)
+        table = load.upsert(table, batch(spark, data, number))
     assert content(table) == sequential(batches)
 
 
@@ -94,9 +93,8 @@ def test_null_static_value_is_kept(spark):
         "author", F.lit(None).cast("string")
     )
     later = batch(spark, rows(("p", "reddit", "y", "2", None)), 1).withColumn("author", F.lit("new"))
-    for small in (False, True):
-        (row,) = load.upsert(target, later, small_batch=small).collect()
-        assert (row["author"], row["post_text"], row["likes"], row["scraped_at"]) == (None, "x", 2, None)
+    (row,) = load.upsert(target, later).collect()
+    assert (row["author"], row["post_text"], row["likes"], row["scraped_at"]) == (None, "x", 2, None)
 
 
 def test_latest_by_scraped_at(spark):
@@ -108,9 +106,8 @@ def test_latest_by_scraped_at(spark):
     assert content(batch(spark, newer_first, latest_by="scraped_at"), ["post_text", "likes"]) == [("x", 5)]
     target = batch(spark, newer_first[:1])
     later = batch(spark, newer_first[1:2], 1)
-    for small in (False, True):
-        merged = load.upsert(target, later, "scraped_at", small)
-        assert content(merged, ["post_text", "likes"]) == [("x", 5)]
+    merged = load.upsert(target, later, "scraped_at")
+    assert content(merged, ["post_text", "likes"]) == [("x", 5)]
 
 
 def test_merge_does_not_depend_on_order(spark):
@@ -123,41 +120,111 @@ def test_merge_does_not_depend_on_order(spark):
         assert content(merged) == expected
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def slot_files(folder):
+    return {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (folder / "posts").glob("slot=*")}
+
+
 def test_table(spark, tmp_path):
     batches = random_batches(3, count=4)
-    table = load.PostsTable(spark, str(tmp_path / "posts"))
+    table = PostsTable(spark, str(tmp_path / "it's here"), buckets=5)
     assert table.posts().count() == 0
-    with pytest.raises(ValueError):
-        table.compact()
     for number, data in enumerate(batches):
-        table.append(transform_posts(frame(spark, data)), as_of=as_of())
-        assert content(table.posts()) == sequential(batches[: number + 1])
-        if number in (1, 2):
-            table.compact()
-            assert content(table.posts()) == sequential(batches[: number + 1])
-    # Writing a batch again, as after a failure, changes nothing.
-    table.append(transform_posts(frame(spark, batches[3])), batch_no=3, as_of=as_of())
-    expected = sequential(batches)
-    assert content(table.posts()) == expected
-    assert content(table.posts("reddit")) == [r for r in expected if r[2] == "reddit"]
-    keys = table.posts().select("post_id", "platform")
-    assert keys.count() == keys.distinct().count()
-    # With broadcasting off, the same table is merged by one full outer join.
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert content(table.posts()) == expected
-        assert "FullOuter" in table.posts()._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_unfinished_batch_is_not_read(spark, tmp_path):
-    table = load.PostsTable(spark, str(tmp_path / "posts"))
-    table.append(transform_posts(frame(spark, rows(("p", "reddit", "x", "1", None)))))
-    lost = tmp_path / "posts" / "log" / "batch=1"
-    lost.mkdir()
-    assert table.next_batch_no() == 1
-    assert table.posts().count() == 1
+        assert table.load(transform_posts(frame(spark, data)), as_of=as_of()) == number
+        assert content(table.posts(), ["id", *POST]) == sequential(batches[: number + 1], ids=True)
+    # Loading a batch again, as after a failure, changes nothing.
+    table.load(transform_posts(frame(spark, batches[3])), as_of=as_of())
+    expected = sequential(batches, ids=True)
+    assert content(table.posts(), ["id", *POST]) == expected
+    assert content(table.posts("reddit"), ["id", *POST]) == [r for r in expected if r[2] == "reddit"]
+    # Every slot is one bucket, and another session finds the same table by its folder.
+    assert all(len(names) == 1 for names in slot_files(tmp_path / "it's here").values())
+    spark.sql(f"DROP TABLE {table.name}")
+    again = PostsTable(spark, table.path, buckets=99)
+    assert content(again.posts(), ["id", *POST]) == expected
+    again.load(transform_posts(frame(spark, rows(("new", "reddit", "x", "1", None)))), as_of=as_of())
+    assert content(again.posts().filter("post_id = 'new'"), ["id"]) == [(len(expected) + 1,)]
+
+
+def test_a_load_rewrites_only_the_buckets_it_has_keys_of(spark, tmp_path):
+    table = PostsTable(spark, str(tmp_path / "posts"), buckets=16)
+    many = rows(*[(f"p{i}", "reddit", "x", "1", None) for i in range(400)])
+    table.load(transform_posts(frame(spark, many)), as_of=as_of())
+    before = slot_files(tmp_path / "posts")
+    assert len(before) == 16
+    table.load(transform_posts(frame(spark, rows(("p7", "reddit", "y", "9", None), ("p7", "reddit", "z", "8", None)))), as_of=as_of())
+    after = slot_files(tmp_path / "posts")
+    changed = [slot for slot in before if before[slot] != after[slot]]
+    assert before.keys() == after.keys() and len(changed) == 1
+    assert content(table.posts().filter("post_id = 'p7'"), ["id", "post_text", "likes"]) == [(8, "x", 8)]
+    assert table.posts().count() == 400
+
+
+@pytest.mark.parametrize("buckets", [3, 64])
+def test_merge_leaves_the_stored_side_in_place(spark, tmp_path, buckets):
+    """No exchange above the stored scan, with fewer and with more buckets than shuffle partitions."""
+    table = PostsTable(spark, str(tmp_path / "posts"), buckets=buckets)
+    table.load(transform_posts(frame(spark, random_batches(4)[0])), as_of=as_of())
+    path = str(tmp_path / "batch")
+    batch(spark, random_batches(5)[0], 1).write.parquet(path)
+    merged = table.merge(table.stored(), spark.read.parquet(path), buckets, "arrival")
+    text = plan(merged)
+    assert text.count("Exchange") == 1 and "Bucketed: true" in text
+    stored_side, batch_side = text.split("FullOuter")[1].split("Bucketed: true")
+    assert "Exchange" not in stored_side and "Exchange" in batch_side
+
+
+def test_a_key_with_most_rows_is_one_row_of_its_bucket(spark, tmp_path):
+    table = PostsTable(spark, str(tmp_path / "posts"), buckets=4)
+    hot = spark.range(3000).selectExpr(
+        "id AS seq", "if(id % 3 > 0, 'hot', concat('p', id)) AS post_id", "'x' AS platform", "'t' AS post_text", "string(id) AS likes"
+    )
+    table.load(transform_posts(hot), as_of=as_of())
+    assert content(table.posts().filter("post_id = 'hot'"), ["likes"]) == [(2999,)]
+    assert table.posts().count() == 1001
+
+
+def test_a_failed_load_leaves_a_gap_and_no_repeat(spark, tmp_path, monkeypatch):
+    table = PostsTable(spark, str(tmp_path / "posts"), buckets=4)
+    one = lambda name: transform_posts(frame(spark, rows((name, "reddit", "x", "1", None))))
+    table.load(one("a"), as_of=as_of())
+
+    def lost(self, rows):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(PostsTable, "_replace", lost)
+        with pytest.raises(RuntimeError):
+            table.load(one("b"), as_of=as_of())
+    assert content(table.posts(), ["id", "post_id"]) == [(1, "a")]
+    table.load(one("b"), as_of=as_of())
+    assert content(table.posts(), ["id", "post_id"]) == [(1, "a"), (3, "b")]
+
+
+def test_loads_in_any_order(spark, tmp_path):
+    """Rows with one order over all loads give the same table whatever load comes first."""
+    data = rows(*[("p", "reddit", t, str(i), None) for i, t in enumerate("abcdef")])
+    for order in ([0, 1, 2], [2, 0, 1], [1, 2, 0]):
+        table = PostsTable(spark, str(tmp_path / "-".join(map(str, order))), buckets=2)
+        for part in order:
+            table.load(transform_posts(frame(spark, data[2 * part : 2 * part + 2])), load_no=0, as_of=as_of())
+        assert content(table.posts(), ["id", "post_text", "likes"]) == [(1, "a", 5)]
+
+
+def test_pages_beyond_any_packing(spark):
+    """Places are compared field by field, up to the largest numbers there are."""
+    top = (1 << 63) - 1
+    places = [(0, 0, 0), (0, 0, 11), (0, 1 << 21, 0), (1 << 25, 3, 2), (1 << 62, top, 1), (top, 0, 0)]
+    data = [({"page": p, "pos": q, "source": s}, "k", "x", str(i)) for i, (p, q, s) in enumerate(places)]
+    schema = "seq struct<page: bigint, pos: bigint, source: int>, post_id string, platform string, likes string"
+    raw = spark.createDataFrame(data, schema).orderBy(F.desc("likes")).repartition(3)
+    early = load.to_batch(transform_posts(raw.filter("likes < 3")), 1 << 60, as_of())
+    late = load.to_batch(transform_posts(raw.filter("likes >= 3")), (1 << 60) + 1, as_of())
+    (row,) = load.upsert(late, early).collect()
+    assert (row["first_at"]["page"], row["last_at"]["page"], row["likes"]) == (0, top, 5)
 
 
 def test_relabel_engagement(spark):
@@ -255,38 +322,16 @@ def test_capture_times(spark, zone):
     assert made["processed_at"] == datetime(2024, 2, 1)
 
 
-def test_batches_from_several_writers(spark, tmp_path):
-    table = load.PostsTable(spark, str(tmp_path / "posts"))
-    one = lambda *r: transform_posts(frame(spark, rows(*r)))
-    assert table.append(one(("a", "reddit", "x", "1", None))) == 0
-    assert table.append(one(("b", "reddit", "x", "1", None)), origin="s1-0") == 1
-    assert table.compact() == 1 and table.compact() == 1
-    # A second stream starts at micro-batch 0 again; a replay of the first one is known.
-    assert table.append(one(("c", "reddit", "x", "1", None)), origin="s2-0") == 2
-    assert table.append(one(("b", "reddit", "x", "9", None)), origin="s1-0") == 1
-    with pytest.raises(ValueError, match="next batch is 3"):
-        table.append(one(("d", "reddit", "x", "1", None)), batch_no=7)
-    assert content(table.posts(), ["post_id", "likes"]) == [("a", 1), ("b", 1), ("c", 1)]
-
-
 def test_the_table_keeps_its_rule(spark, tmp_path):
-    table = load.PostsTable(spark, str(tmp_path / "posts"))
+    table = PostsTable(spark, str(tmp_path / "posts"), buckets=2)
+    assert table.latest_by() is None
     newer, older = ("p", "reddit", "x", "50", "2024-01-03T00:00:00"), ("p", "reddit", "y", "9", "2024-01-02T00:00:00")
     for row in (newer, older):
-        table.append(transform_posts(frame(spark, rows(row))), latest_by="scraped_at")
+        table.load(transform_posts(frame(spark, rows(row))), latest_by="scraped_at")
         assert content(table.posts(), ["likes"]) == [(50,)]
-    table.compact()
-    assert content(table.posts(), ["likes"]) == [(50,)]
+    assert table.latest_by() == "scraped_at"
     with pytest.raises(ValueError, match="scraped_at"):
-        table.append(transform_posts(frame(spark, rows(older))), latest_by="arrival")
-
-
-def test_seq_beyond_its_range_is_an_error(spark):
-    raw = spark.createDataFrame([(1 << 44, "p", "reddit", "x", "1", None)], SCHEMA)
-    with pytest.raises(Exception, match="out of range"):
-        load.to_batch(transform_posts(raw), 0).collect()
-    with pytest.raises(ValueError):
-        load.to_batch(transform_posts(raw), 1 << 19)
+        table.load(transform_posts(frame(spark, rows(older))), latest_by="arrival")
 
 
 def test_validation_needs_an_order(spark):
@@ -296,24 +341,22 @@ def test_validation_needs_an_order(spark):
 
 
 def test_load_with_validation(spark, tmp_path):
-    table = load.PostsTable(spark, str(tmp_path / "posts"))
-    table.append(transform_posts(frame(spark, rows(("old", "reddit", "x", "1", None)))), as_of=as_of())
+    table = PostsTable(spark, str(tmp_path / "posts"))
+    table.load(transform_posts(frame(spark, rows(("old", "reddit", "x", "1", None)))), as_of=as_of())
     data = rows(("old", "reddit", "y", "2", None), ("new", "reddit", "a", "3", None), ("new", "reddit", "b", "4", None), ("z", "", "c", "5", None))
-    checked = load.load_with_validation(transform_posts(frame(spark, data)), table, as_of())
+    checked = load_with_validation(transform_posts(frame(spark, data)), table, as_of())
     status = sorted((r["post_text"], r["status"]) for r in checked.collect())
     assert status == [("a", "success"), ("b", "duplicate"), ("c", "error"), ("y", "duplicate")]
     assert content(table.posts(), ["post_id", "post_text", "likes"]) == [("new", "a", 3), ("old", "x", 1)]
 
 
-def test_a_platform_filter_reaches_the_base(spark, tmp_path):
-    table = load.PostsTable(spark, str(tmp_path / "posts"))
-    table.append(transform_posts(frame(spark, rows(("a", "reddit", "x", "1", None), ("b", "twitter", "x", "1", None)))), as_of=as_of())
-    table.compact()
-    table.append(transform_posts(frame(spark, rows(("a", "reddit", "y", "2", None)))), as_of=as_of())
-    posts = table.posts().filter("platform = 'reddit'")
-    assert content(posts, ["post_id", "likes"]) == [("a", 2)]
-    plan = posts._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(platform" in plan or "(platform#" in plan.partition("PartitionFilters")[2][:200]
+def test_a_platform_filter_reaches_the_scan(spark, tmp_path):
+    table = PostsTable(spark, str(tmp_path / "posts"))
+    table.load(transform_posts(frame(spark, rows(("a", "reddit", "x", "1", None), ("b", "twitter", "x", "1", None)))), as_of=as_of())
+    posts = table.posts("reddit").select("post_id", "likes")
+    assert content(posts, ["post_id", "likes"]) == [("a", 1)]
+    text = plan(posts)
+    assert "EqualTo(platform,reddit)" in text and "ReadSchema: struct<post_id:string,platform:string,likes:bigint>" in text
 
 
 def test_clear_scratch(tmp_path):

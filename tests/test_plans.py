@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from postloom.operators import analytics, listing, load
+from postloom.operators import analytics, load
+from postloom.operators.table import PostsTable
 from postloom.operators.transform import transform_posts
 from postloom.plans import inputs, payloads
 from postloom.operators.skew import join_spread
@@ -16,9 +17,8 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def table(spark, sf_dir, tmp_path_factory):
-    stored = load.PostsTable(spark, str(tmp_path_factory.mktemp("plans") / "posts"))
-    stored.append(transform_posts(inputs.captured(spark, sf_dir)))
-    stored.compact()
+    stored = PostsTable(spark, str(tmp_path_factory.mktemp("plans") / "posts"))
+    stored.load(transform_posts(inputs.captured(spark, sf_dir)))
     return stored
 
 
@@ -28,14 +28,13 @@ def test_top_k(spark, sf_dir, name):
     assert "TakeOrderedAndProject" in plan(entry.queries()[name](spark, sf_dir))
 
 
-def test_partition_pruning_and_pushdown(table):
+def test_pushdown(table):
     posts = table.posts()
     pruned = plan(analytics.sentiment_distribution(posts, "reddit"))
-    assert "PartitionFilters: [isnotnull(platform" in pruned
-    assert "PushedFilters: [IsNotNull(sentiment_label)]" in pruned
-    assert "ReadSchema: struct<sentiment_label:string>" in pruned
+    assert "EqualTo(platform,reddit)" in pruned and "IsNotNull(sentiment_label)" in pruned
+    assert "ReadSchema: struct<platform:string,sentiment_label:string>" in pruned
     authors = plan(analytics.author_average_likes(posts, "reddit"))
-    assert "ReadSchema: struct<likes:bigint,author:string>" in authors
+    assert "ReadSchema: struct<platform:string,likes:bigint,author:string>" in authors
 
 
 def test_one_scan_for_all_counts(table):
@@ -49,13 +48,6 @@ def test_unread_columns_are_not_merged(spark, sf_dir):
     assert "text" not in text.split("documents.parquet")[-1]
 
 
-def test_small_batch_leaves_the_base_unshuffled(spark, table, sf_dir, tmp_path):
-    stored = load.PostsTable(spark, table.path)
-    stored.append(transform_posts(inputs.captured(spark, sf_dir).filter("likes = '1,234'")))
-    text = plan(listing.top_posts_by_likes(stored.posts()))
-    assert "BroadcastHashJoin" in text and "FullOuter" not in text
-
-
 def test_hot_key_is_combined_before_the_shuffle(spark, sf_dir):
     """Half the rows share one key: at most one row per map task reaches the merge."""
     raw = inputs.captured(spark, sf_dir).withColumn(
@@ -65,7 +57,7 @@ def test_hot_key_is_combined_before_the_shuffle(spark, sf_dir):
     text = plan(batch)
     assert text.count("partial_min_by(post_text") == 1
     row = batch.filter("post_id = 'hot'").collect()
-    assert len(row) == 1 and row[0]["id"] == 0 and row[0]["last_seq"] == 998
+    assert len(row) == 1 and row[0]["first_at"]["page"] == 0 and row[0]["last_at"]["page"] == 998
 
 
 def test_first_occurrence_join_spreads_a_hot_key(spark, sf_dir):

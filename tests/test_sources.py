@@ -151,7 +151,7 @@ def test_read_all_and_unknown(spark, tmp_path, as_of):
 
 
 def test_captures_reach_the_table(spark, tmp_path, as_of):
-    from postloom.operators.load import PostsTable
+    from postloom.operators.table import PostsTable
     from postloom.operators.run import run_load
 
     write(tmp_path / "r" / "p.json", [
@@ -195,11 +195,43 @@ def _tweets(tmp_path):
     return str(path)
 
 
-def test_too_many_pages_or_positions_raise(spark):
-    from postloom.sources.captures import capture_order
+def test_order_of_twelve_folders_and_far_pages(spark, tmp_path):
+    """Pages beyond 2**24 in twelve folders keep page, position and folder order, also for a limit."""
+    far = 1 << 40
+    folders = {}
+    for i in range(12):
+        rows = [{"page_no": far + 3 - k, "pos": 1 << 21, "text": f"t{i}-{k}", "status_hrefs": [f"/b/status/{i}{k}"]} for k in range(3)]
+        write(tmp_path / str(i) / "c.json", rows)
+        folders[f"twitter:{i}"] = str(tmp_path / str(i))
+    posts = read_all(spark, folders)
+    got = [(r["seq"]["page"], r["seq"]["pos"], r["seq"]["source"], r["post_id"]) for r in posts.orderBy("seq").collect()]
+    assert got == sorted(got) and len({g[:3] for g in got}) == 36
+    assert got[0] == (far + 1, 1 << 21, 0, "02") and got[11] == (far + 1, 1 << 21, 11, "112")
+    first = read_posts(spark, "twitter", folders["twitter:5"], limit=2)
+    assert sorted(r["post_id"] for r in first.collect()) == ["51", "52"]
 
-    good = spark.createDataFrame([((1 << 24) - 1, (1 << 20) - 1), (0, 0), (None, 1)], "page_no long, pos int")
-    assert good.select(capture_order().alias("seq")).distinct().count() == 3
-    for page, pos in ((1 << 24, 0), (0, 1 << 20), (-1, 0)):
-        with pytest.raises(Exception, match="too many"):
-            spark.createDataFrame([(page, pos)], "page_no long, pos int").select(capture_order().alias("seq")).collect()
+
+def test_bad_lines_are_left_out_or_raise(spark, tmp_path):
+    from postloom.sources.captures import refused_lines
+
+    folder = tmp_path / "t"
+    folder.mkdir()
+    good_line = json.dumps({"page_no": 0, "pos": 0, "text": "hi", "status_hrefs": ["/bob/status/1"]})
+    lines = [good_line, '{"page_no": 1, "pos"', "", '{"page_no": "x", "pos": 2}', "  [1]", "7", '"{}"']
+    (folder / "a.json").write_text("\n".join(lines))
+    path = str(folder)
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        read_posts(spark, "twitter", path).collect()
+    assert [r["post_id"] for r in read_posts(spark, "twitter", path, bad_lines="refuse").collect()] == ["1"]
+    refused = {r["line"]: r["reason"] for r in refused_lines(spark, "twitter", path).collect()}
+    assert refused == {
+        lines[1]: "not JSON", lines[3]: "a field does not fit its type", "  [1]": "not a JSON object",
+        "7": "not a JSON object", '"{}"': "not a JSON object",
+    }
+    assert all(r["file"].endswith("a.json") for r in refused_lines(spark, "twitter", path).collect())
+    with pytest.raises(ValueError):
+        read_posts(spark, "twitter", path, bad_lines="ignore")
+    # Payloads without a page number are numbered by file in this lane as well.
+    (folder / "b.json").write_text(json.dumps({"pos": 0, "text": "b", "status_hrefs": ["/bob/status/2"]}))
+    both = read_posts(spark, "twitter", path, bad_lines="refuse")
+    assert sorted((r["post_id"], r["seq"]["page"]) for r in both.collect()) == [("1", 0), ("2", 0)]
