@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.session import scratch_path
+
 DELETED = "[deleted]"
 
 
@@ -140,13 +142,44 @@ def stats(posts: DataFrame) -> dict[str, DataFrame]:
     return {"counts": stats_bundle(posts), "top_authors": top_authors(posts)}
 
 
+def _overview(posts: DataFrame) -> DataFrame:
+    """Counts and time span per platform, sentiment, engagement level and author, and in all."""
+    names = ["platform", "sentiment_label", "engagement_level", "author"]
+    grouped = posts.groupingSets([*[[n] for n in names], []], *names).agg(
+        F.grouping_id().alias("_grouping"), _count(), F.min("timestamp").alias("oldest"), F.max("timestamp").alias("newest")
+    )
+    # One bit per column that a row is not grouped by, the first column highest.
+    every = (1 << len(names)) - 1
+    section = F.lit("total")
+    for i, name in enumerate(names):
+        section = F.when(F.col("_grouping") == every - (1 << (len(names) - 1 - i)), name).otherwise(section)
+    return grouped.select(section.alias("section"), F.coalesce(*names).alias("name"), "count", "oldest", "newest")
+
+
 def dashboard(posts: DataFrame) -> dict[str, DataFrame]:
-    """The relations of the analytics overview."""
+    """The relations of the analytics overview.
+
+    The input is read twice: once for all counts, whose result is stored, and once for hashtags.
+    """
+    path = scratch_path(posts.sparkSession, "dashboard")
+    _overview(posts).write.parquet(path)
+    counts = posts.sparkSession.read.parquet(path)
+
+    def section(name: str) -> DataFrame:
+        return counts.filter(F.col("section") == name).select(F.col("name").alias(name), "count")
+
+    def shares(name: str) -> DataFrame:
+        known = section(name).filter(F.col(name).isNotNull())
+        return known.withColumn("percentage", _share(2)).orderBy(F.desc("count"), name)
+
+    total = counts.filter(F.col("section") == "total")
+    platforms = section("platform").withColumn("share", _share(1, half_even=True))
+    authors = section("author").filter(F.col("author").isNotNull() & (F.col("author") != DELETED))
     return {
-        "overview": total_and_range(posts),
-        "by_platform": by_platform(posts),
-        "sentiment": sentiment_distribution(posts),
-        "engagement": engagement_distribution(posts),
+        "overview": total.select(F.col("count").alias("total_posts"), "oldest", "newest"),
+        "by_platform": platforms.orderBy(F.desc("count"), "platform"),
+        "sentiment": shares("sentiment_label"),
+        "engagement": shares("engagement_level"),
         "top_hashtags": top_hashtags(posts, 10),
-        "top_authors": top_authors(posts, 10).limit(5),
+        "top_authors": top(authors, "count", 5, "author"),
     }

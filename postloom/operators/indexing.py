@@ -41,6 +41,9 @@ def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index")
 
 
 def assign_ids(df: DataFrame, start: int = 0, order: str = "seq") -> DataFrame:
-    """Gap-free surrogate ids following ``start``, in capture order."""
-    numbered = with_row_index(df, [F.asc_nulls_last(order)], "id")
-    return numbered.withColumn("id", F.col("id") + F.lit(start + 1))
+    """Gap-free surrogate ids following ``start``, in capture order.
+
+    Only the capture order, which must be unique, is sorted and numbered; rows are joined to it.
+    """
+    numbered = with_row_index(df.select(order), [F.asc_nulls_last(order)], "id")
+    return df.join(numbered, order).withColumn("id", F.col("id") + F.lit(start + 1))

@@ -14,6 +14,10 @@ writer at a time. DataFrames made before a load do not see it; ask the table aga
 
 ``id`` numbers new posts in the order of their arrival. A load reserves its numbers by appending
 one row to ``loads`` before it writes, so a load that failed leaves a gap and never a repeat.
+
+Statistics are kept up to date: as a post's platform, label, author and time are fixed with its first
+load, every load adds the counts of its new posts, and repeated keys count no more. They are
+trusted if they add up to the number of stored rows, which Parquet's file ends tell.
 """
 
 from __future__ import annotations
@@ -24,13 +28,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postloom.operators import analytics, listing
 from postloom.operators.indexing import with_row_index
 from postloom.operators.load import as_posts, to_batch, upsert, validate_load
+from postloom.operators.search import literal_trigrams, slots_with, trigrams_of
 from postloom.schema import KEY, STORED
 from postloom.session import scratch_path
 
 BUCKETS = 32
-LOADS = "load bigint, first_id bigint, new_posts bigint, buckets int, latest_by string"
+LOADS = (
+    "load bigint, first_id bigint, new_posts bigint, buckets int, latest_by string, "
+    "in_order boolean, indexed boolean"
+)
+STATISTICS = "section string, name string, count bigint, oldest timestamp_ntz, newest timestamp_ntz"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -40,12 +50,14 @@ class PostsTable:
 
     ``buckets`` is fixed with the first load and kept with the table, as is the rule that
     counters follow: the latest arrival or the latest ``scraped_at``. Choose buckets of some 256 MB;
-    a load rewrites every bucket it has a key of.
+    a load rewrites every bucket it has a key of. ``text_index`` lets loads index their texts for
+    :meth:`matching`; give it from the first load on.
     """
 
     spark: SparkSession
     path: str
     buckets: int = BUCKETS
+    text_index: bool = False
 
     @property
     def name(self) -> str:
@@ -117,14 +129,20 @@ class PostsTable:
         batch = self.spark.read.schema(STORED).parquet(path)
         slots = [r["slot"] for r in batch.select(self._slot(buckets)).distinct().collect()]  # at most the buckets
         stored = self._table(buckets).filter(F.col("slot").isin(slots)).select(*STORED.fieldNames())
+        if self.text_index:
+            texts = batch.select("post_text", self._slot(buckets))
+            trigrams_of(texts).write.mode("overwrite").parquet(f"{self.path}/trigrams/load={number}")
         # Only keys and places are sorted and numbered.
         keys = batch.select(*KEY, "first_at").repartition(buckets, *KEY)
         new = keys.join(stored.select(*KEY), KEY, "left_anti")
         numbered = with_row_index(new, [F.asc("first_at"), *[F.asc(k) for k in KEY]], "_number")
         numbers = numbered.select(*KEY, (F.col("_number") + F.lit(next_id)).alias("_id"))
-        reserved = self.spark.createDataFrame([(number, next_id, numbers.count(), buckets, rule)], LOADS)
+        row = (number, next_id, numbers.count(), buckets, rule, load_no is None, self.text_index)
+        reserved = self.spark.createDataFrame([row], LOADS)
         reserved.coalesce(1).write.mode("append").parquet(f"{self.path}/loads")
         with_ids = batch.join(numbers, KEY, "left").withColumn("id", F.col("_id")).select(*STORED.fieldNames())
+        added = partial_statistics(with_ids.filter(F.col("id").isNotNull()))
+        added.write.mode("overwrite").parquet(f"{self.path}/statistics/load={number}")
         self._replace(self.merge(stored, with_ids, buckets, rule))
         return number
 
@@ -146,12 +164,68 @@ class PostsTable:
         """Current stored rows, partitioned by the key."""
         return self._table(self._state()[2]).select(*STORED.fieldNames())
 
+    def _all_loads(self, flag: str) -> bool:
+        """Whether there are loads and all have a flag."""
+        return bool(self.loads().agg(F.coalesce(F.every(flag), F.lit(False))).first()[0])
+
+    def slots_of(self, term: str) -> list[int] | None:
+        """Slots that a search term can be in, as many as there are at most; None for all."""
+        trigrams = literal_trigrams(self.spark, term)
+        if not trigrams or not self._all_loads("indexed"):
+            return None
+        postings = self.spark.read.schema("trigram string, slot int").parquet(f"{self.path}/trigrams/load=*")
+        return [r["slot"] for r in slots_with(postings, trigrams).collect()]
+
+    def matching(self, term: str) -> DataFrame:
+        """Posts whose text contains a term, as :func:`listing.matching` finds them, reading only the
+        slots that its trigrams are in."""
+        slots = self.slots_of(term)
+        rows = self._table(self._state()[2])
+        return listing.matching(as_posts(rows if slots is None else rows.filter(F.col("slot").isin(slots))), term)
+
+    def search(self, term: str, limit: int = 100) -> DataFrame:
+        """Matching posts, most liked first."""
+        return listing.top_posts_by_likes(self.matching(term), limit)
+
+    def statistics(self) -> dict[str, DataFrame]:
+        """:func:`analytics.stats` from the kept counts, without reading posts.
+
+        After loads with an order of their own, or if the counts do not add up, from the posts.
+        """
+        if self._all_loads("in_order"):
+            kept = self.spark.read.schema(STATISTICS).parquet(f"{self.path}/statistics/load=*")
+            merged = merged_statistics(kept)
+            total = merged.filter(F.col("section") == "total").agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+            if total == self._table(self._state()[2]).count():
+                authors = merged.filter(F.col("section") == "by_author").select(F.col("name").alias("author"), "count")
+                return {
+                    "counts": merged.filter(F.col("section") != "by_author"),
+                    "top_authors": analytics.top(authors, "count", 10, "author"),
+                }
+        return analytics.stats(self.posts())
+
     def posts(self, platform: str | None = None) -> DataFrame:
         """The ``posts`` relation; filters and columns reach the scan."""
         rows = as_posts(self.stored())
         return rows.filter(F.col("platform") == platform) if platform else rows
 
 
+def partial_statistics(posts: DataFrame) -> DataFrame:
+    """Counts and time span of posts, in all, per platform, per sentiment and per author."""
+    known = (F.col("author") != analytics.DELETED) & F.col("author").isNotNull()
+    authors = posts.filter(known).groupBy(F.col("author").alias("name")).agg(F.count(F.lit(1)).alias("count"))
+    none = F.lit(None).cast("timestamp_ntz")
+    by_author = authors.select(F.lit("by_author").alias("section"), "name", "count", none.alias("oldest"), none.alias("newest"))
+    return analytics.stats_bundle(posts).unionByName(by_author)
+
+
+def merged_statistics(parts: DataFrame) -> DataFrame:
+    """Partial statistics of disjoint sets of posts added up."""
+    return parts.groupBy("section", "name").agg(
+        F.sum("count").alias("count"), F.min("oldest").alias("oldest"), F.max("newest").alias("newest")
+    )
+
+
 def load_with_validation(
     transformed: DataFrame, table: PostsTable, as_of: Column | None = None
 ) -> DataFrame:

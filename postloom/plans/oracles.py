@@ -6,7 +6,7 @@ Written from the meaning of each query, independently of the Spark expressions.
 from __future__ import annotations
 
 from postloom.plans import oracle_values as lx
-from postloom.plans.queries import AS_OF, NO_ID, POST_COLUMNS
+from postloom.plans.queries import AS_OF, NO_ID, POST_COLUMNS, SEARCHED
 
 
 def lit(value: str) -> str:
@@ -727,4 +727,23 @@ ORACLES |= {
             SELECT 'top_authors', author, count(*) AS n FROM posts
             WHERE author IS NOT NULL AND author <> '[deleted]' GROUP BY author ORDER BY n DESC, author LIMIT 5)"""
     ),
+    "export_one_file": ORACLES["export_csv_roundtrip"],
+    "keyed_pages": over_posts(
+        f"""SELECT CAST((row_number() OVER ({LIST_ORDER.format('likes')}, id) - 1) // 40 AS INTEGER) AS page, {COLUMNS}
+        FROM posts QUALIFY page < 3"""
+    ),
+    "indexed_search": f"""WITH {after_loads(EARLIER, LATER)}
+        SELECT term, post_id, platform, likes FROM posts, (VALUES {', '.join(f'({lit(t)})' for t in SEARCHED)}) AS s(term)
+        WHERE post_text ILIKE '%' || term || '%'""",
+    "kept_statistics": f"""WITH {after_loads(EARLIER, LATER, 'true')}
+        {ORACLES['stats_bundle'].split(POSTS)[1]}
+        UNION ALL SELECT 'top_author', author, count, NULL, NULL FROM (
+            SELECT author, count(*) AS count FROM posts WHERE author IS NOT NULL AND author <> '[deleted]'
+            GROUP BY author ORDER BY count DESC, author LIMIT 10)""",
+    "sql_functions": f"""WITH {POSTS_RAW}
+        SELECT seq, {clean_post('post_text')} AS cleaned, {joined(tags('post_text'))} AS tags, {safe_int('likes')} AS likes,
+            {metric('metric_text')} AS metric, {parsed_time('timestamp')} AS parsed, {norm_tags('hashtags')} AS normal_tags,
+            {engagement(f"({safe_int('likes')})", f"({safe_int('comments')})", lx.ETL_THRESHOLDS, 3)} AS level,
+            {word_sentiment(clean_post('post_text'))} AS sentiment
+        FROM posts_raw""",
 }

@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # A fixed capture time keeps results repeatable.
 AS_OF = "2024-02-01 00:00:00"
 POST_COLUMNS = [f.name for f in POSTS if f.name != "processed_at"]
+SEARCHED = ["great", "%gre_t%spark", "😊", "BROKEN", "\\", "of"]
 NO_ID = [c for c in POST_COLUMNS if c != "id"]
 
 
@@ -397,6 +398,56 @@ def _stream_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both_lanes(table.posts(), lines)
 
 
+def _one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export as a single CSV file, read back."""
+    path = scratch_path(spark, "one") + ".csv"
+    export.export_csv(inputs.posts(spark, sf_dir), path, single_file=True)
+    return files.read_csv_posts(spark, path).select(*POST_COLUMNS)
+
+
+def _keyed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three pages by key over a table in that order, each behind the last row of the one before."""
+    order = "likes DESC"
+    path = listing.write_in_order(inputs.posts(spark, sf_dir), scratch_path(spark, "ordered"), order)
+    posts = files.read_parquet_posts(spark, path)
+    pages, last = [], None
+    for number in range(3):
+        page = listing.posts_after(posts, last, limit=40, order_by=order).select(F.lit(number).alias("page"), *POST_COLUMNS)
+        pages.append(page)
+        last = page.orderBy("likes", F.desc("platform"), F.desc("post_id"), F.desc("id")).first()
+    return export.union_by_name(*pages)
+
+
+def _indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches over two indexed loads: a plain term, one with wildcards, a short one."""
+    table = PostsTable(spark, scratch_path(spark, "indexed"), text_index=True)
+    for raw in inputs.earlier_and_later(spark, sf_dir):
+        table.load(transform.transform_posts(raw), as_of=as_of())
+    found = [table.matching(t).select(F.lit(t).alias("term"), "post_id", "platform", "likes") for t in SEARCHED]
+    return export.union_by_name(*found)
+
+
+def _kept_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics kept over three loads with many repeated keys."""
+    earlier, later = inputs.earlier_and_later(spark, sf_dir)
+    kept = _loaded(spark, earlier, later, inputs.captured(spark, sf_dir)).statistics()
+    authors = kept["top_authors"].select(F.lit("top_author").alias("section"), F.col("author").alias("name"), "count")
+    return export.union_by_name(kept["counts"], authors)
+
+
+def _sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaning, parsing and label functions called inside SQL."""
+    sql = """
+        SELECT seq, clean_post(post_text) AS cleaned, array_join(extract_hashtags(post_text), '|') AS tags,
+               safe_int(likes) AS likes, metric_text(metric_text) AS metric, parse_timestamp(timestamp) AS parsed,
+               normalize_hashtags(hashtags) AS normal_tags,
+               engagement_etl(safe_int(likes), safe_int(comments), platform) AS level,
+               sentiment_words(clean_post(post_text)) AS sentiment
+        FROM posts WHERE length(remove_urls(post_text)) >= ?
+    """
+    return listing.query(spark, inputs.posts_raw(spark, sf_dir), sql, [0])
+
+
 def _import_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An export whose columns come in another order and partly not at all."""
     path = scratch_path(spark, "import_csv")
@@ -595,10 +646,13 @@ QUERIES: dict[str, Query] = {
     "search_matches": _over_posts(
         lambda p: listing.matching(p, "l_ve%gre").select("post_id", "platform", "likes")
     ),
+    "keyed_pages": _keyed_pages,
+    "indexed_search": _indexed_search,
     "result_preview": _over_posts(_preview),
     "result_preview_more": _over_posts(_preview_more),
     "sql_passthrough": _sql,
     "sql_join": _sql_join,
+    "sql_functions": _sql_functions,
     # analytics
     "stats_total_range": _over_posts(analytics.total_and_range),
     "stats_date_range": _over_posts(analytics.date_range),
@@ -614,6 +668,7 @@ QUERIES: dict[str, Query] = {
     "engagement_distribution": _over_posts(analytics.engagement_distribution),
     "top_hashtags": _over_posts(analytics.top_hashtags),
     "dashboard": _dashboard,
+    "kept_statistics": _kept_statistics,
     # sources
     "read_reddit_files": _captured_files(
         captures.read_reddit, lambda s, d: {"pages": payloads.reddit_pages(s, d)}, *RAW_COLUMNS, "url", "scraped_at", "subreddit", "upvote_ratio"
@@ -640,6 +695,7 @@ QUERIES: dict[str, Query] = {
     "export_csv_roundtrip": _csv_roundtrip,
     "export_parquet_roundtrip": _parquet_roundtrip,
     "export_both": _export_both,
+    "export_one_file": _one_file,
     "import_csv": _import_csv,
     "csv_log_append": _csv_log,
     "streaming_load": _stream,

@@ -34,3 +34,20 @@ def values(spark):
         return [r["out"] for r in sorted(out, key=lambda r: r["i"])]
 
     return run
+
+
+def rows_read(df):
+    """Rows that the scans of a computed DataFrame gave."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.nodeName() else plan
+
+    def leaves(node):
+        if "QueryStage" in node.nodeName():
+            yield from leaves(node.plan())
+        elif node.children().size():
+            for i in range(node.children().size()):
+                yield from leaves(node.children().apply(i))
+        else:
+            yield node
+
+    return sum(n.metrics().get("numOutputRows").get().value() for n in leaves(plan) if n.nodeName().startswith("Scan"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from postloom.operators import analytics, listing
 from postloom.schema import POSTS
+from conftest import rows_read
 
 
 @pytest.fixture(scope="module")
@@ -75,6 +76,88 @@ def test_sql(spark, posts):
         listing.query(spark, posts, "SELECT nothing FROM posts")
 
 
+def test_sql_leaves_the_session_alone(spark, posts):
+    spark.range(3).createOrReplaceTempView("posts")
+    try:
+        found = listing.query(spark, posts, "WITH few AS (SELECT * FROM posts WHERE likes > 1) SELECT count(*) AS n FROM few")
+        assert spark.table("posts").count() == 3
+        assert found.collect()[0]["n"] == 3
+        with pytest.raises(AnalysisException):
+            listing.query(spark, posts, "SELECT nothing FROM posts")
+        assert spark.table("posts").count() == 3
+    finally:
+        spark.catalog.dropTempView("posts")
+    listing.query(spark, posts, "SELECT 1 FROM posts")
+    assert not spark.catalog.tableExists("posts")
+
+
+def test_functions_in_sql(spark):
+    """Every function gives in SQL what its expression gives, for odd values too."""
+    from postloom.functions import labels, parse, sql, text
+
+    values = [
+        None, "", "a  &amp;lt; “b” #Tag1 @me", "love 😊 awful", "1,234", "1.2K", "inf", "12.7", "2024-01-02T03:04:05+05:30", "https://x/a.PNG?b",
+        "it's \\ \"q\" %d \n line", "/p/ID1/", "View all 56 comments, 7 likes", " Tag , x,,Zwei ", "日本😊", "/bob/status/12",
+    ]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").withColumns(
+        {"n": (F.col("i") * 997).cast("bigint"), "d": F.col("i") * 1.5, "a": F.array("v", F.lit("9 likes")), "p": F.lit("reddit")}
+    )
+    columns = {"bigint": "n", "double": "d", "string": "v"}
+    assert sorted(sql.register(spark)) == sorted(sql.NAMES)
+    for name, (parameters, make) in sql.FUNCTIONS.items():
+        given = ["p" if p == "platform" else columns[k] for p, k in parameters.items()]
+        both = df.selectExpr("*", f"{name}({', '.join(given)}) AS called").withColumn("made", make(*[F.col(g) for g in given]))
+        assert both.filter("NOT (called <=> made)").count() == 0, name
+    arrays = {
+        "first_likes(a)": parse.first_likes("a"), "first_comments(a)": parse.first_comments("a"),
+        "tweet_post_id(a, v)": parse.tweet_post_id("a", "v"), "tweet_url(a)": parse.tweet_url("a"),
+    }
+    for call, made in arrays.items():
+        assert df.selectExpr("*", f"{call} AS called").withColumn("made", made).filter("NOT (called <=> made)").count() == 0, call
+    assert text.clean_post and labels.sentiment_words
+    assert sql.register_used(spark, "SELECT Clean_Post(x), lower(y) FROM posts") == []
+
+
+def test_a_chain_of_pages_is_the_sorted_table(spark, tmp_path):
+    """100 pages by key, over ties and NULLs, each reading no more than the row groups behind it."""
+    data = spark.range(2000).selectExpr(
+        "id", "if(id % 50 = 0, null, concat('p', id % 700)) AS post_id", "concat('x', id % 3) AS platform",
+        "if(id % 40 = 0, null, id * 7919 % 300) AS likes", "'t' AS post_text",
+    )
+    for order, size in (("likes DESC", 20), ("likes ASC", 250), ("platform, likes DESC", 250)):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files of so few rows
+        try:
+            path = listing.write_in_order(data, str(tmp_path / order.replace(" ", "-")), order)
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        posts = spark.read.parquet(path)
+        expected = [r["id"] for r in listing.get_posts(posts, limit=2000, order_by=order).collect()]
+        found, last = [], None
+        for number in range(2000 // size + 1):
+            page = listing.posts_after(posts, last, limit=size, order_by=order)
+            rows = page.collect()
+            if number == 2000 // size - 1 and order.startswith("likes"):
+                assert rows_read(page) < 2000 * 0.6
+            found += [r["id"] for r in rows]
+            last = rows[-1] if rows else last
+        assert found == expected
+    assert listing.posts_after(posts, last, limit=20, order_by=order).collect() == []
+    one = listing.posts_after(posts, {"likes": 5, "platform": "x1", "post_id": None, "id": 0}, "x1", 3, "likes DESC").collect()
+    assert len(one) == 3 and all(r["platform"] == "x1" and r["likes"] <= 5 for r in one)
+    with pytest.raises(ValueError):
+        listing.posts_after(posts.drop("id"), None)
+
+
+def test_a_page_does_not_read_whole_rows_to_break_ties(spark, tmp_path):
+    """The deep page sorts and stores keys alone; a top-k hashes no text where there is an id."""
+    path = str(tmp_path / "p")
+    spark.range(100).selectExpr("id", "string(id) AS post_id", "'x' AS platform", "id % 5 AS likes", "repeat('t', 50) AS post_text").write.parquet(path)
+    posts = spark.read.parquet(path)
+    assert "xxhash64" not in listing.top_posts_by_likes(posts, 5)._jdf.queryExecution().executedPlan().toString()
+    deep = listing.get_posts(posts, limit=10, offset=50, order_by="likes DESC", top_k_rows=1)
+    assert deep.collect() == listing.get_posts(posts, limit=10, offset=50, order_by="likes DESC").collect()
+
+
 def test_analytics(posts):
     assert [tuple(r) for r in analytics.by_platform(posts).collect()] == [
         ("reddit", 2, 40.0), ("twitter", 2, 40.0), ("youtube", 1, 20.0),
@@ -110,6 +193,22 @@ def test_bundles(posts):
     }
 
 
+def test_the_dashboard_reads_its_input_twice(spark, posts, tmp_path):
+    path = str(tmp_path / "posts")
+    posts.write.parquet(path)
+    board = analytics.dashboard(spark.read.parquet(path))
+    stored = [n for n, df in board.items() if path in str(df.inputFiles())]
+    assert stored == ["top_hashtags"]
+    assert {n: sorted(map(tuple, df.collect()), key=repr) for n, df in board.items()} == {
+        "overview": [(5, None, None)],
+        "by_platform": [("reddit", 2, 40.0), ("twitter", 2, 40.0), ("youtube", 1, 20.0)],
+        "sentiment": [("negative", 1, 25.0), ("neutral", 1, 25.0), ("positive", 2, 50.0)],
+        "engagement": [("high", 1, 25.0), ("low", 3, 75.0)],
+        "top_hashtags": [("x", 3), ("y", 2)],
+        "top_authors": [("", 1), ("a_very_long_author", 1), ("bob", 1)],
+    }
+
+
 def test_pages_of_rows_without_or_with_repeated_keys(spark):
     data = [(1, None, "x"), (2, "p", "x"), (3, "p", "x"), (4, "p", "x"), (5, None, None), (6, "q", "x")]
     posts = spark.createDataFrame(data, "id long, post_id string, platform string").withColumn("likes", F.lit(1))
