@@ -177,10 +177,64 @@ def test_op8_whole_table(spark):
     assert max(sizes.values()) - min(sizes.values()) <= 2 * longest
 
 
+def plain_tree(rows, dimensions, levels):
+    """Shard of each row by sorting and cutting every node; rows are (tie, size, d0, d1, ...)."""
+    spans = [max(r[2 + i] for r in rows) - min(r[2 + i] for r in rows) for i in range(dimensions)]
+    chosen, nodes = [], {0: list(range(len(rows)))}
+    for _ in range(levels):
+        cut, used = {}, {}
+        for node, own in nodes.items():
+            share = [(max(rows[k][2 + i] for k in own) - min(rows[k][2 + i] for k in own)) / max(1, spans[i]) if own else 0 for i in range(dimensions)]
+            d = share.index(max(share))
+            key = {k: (rows[k][2 + d] << 31) + rows[k][0] for k in own}
+            goal, below = sum(rows[k][1] for k in own) / 2, 0
+            left = set()
+            for k in sorted(own, key=key.get):
+                if below + rows[k][1] >= goal:
+                    if below + rows[k][1] - goal < goal - below:
+                        left.add(k)
+                    break
+                below += rows[k][1]
+                left.add(k)
+            used[node] = d
+            cut[2 * node], cut[2 * node + 1] = [k for k in own if k in left], [k for k in own if k not in left]
+        chosen.append(used)
+        nodes = cut
+    return {k: node for node, own in nodes.items() for k in own}, chosen
+
+
+def test_tree_equals_sorting_and_cutting(spark, monkeypatch):
+    """Every row's shard, and the dimension of every cut, against a recursive tree on the driver."""
+    monkeypatch.setattr(kd_shards, "TOLERANCE", 0.0)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    meta = kd_shards.metadata(docs)
+    tie = F.shiftrightunsigned(F.xxhash64("id", "row"), 33)
+    rows = [tuple(r) for r in meta.select("id", tie, "size", "d0", "d1", "d2", "d3").collect()]
+    assert len({r[1] for r in rows}) == len(rows)
+    expected, chosen = plain_tree([r[1:] for r in rows], 4, 3)
+    levels = kd_shards.tree(meta, 8, 4)
+    assert [dict(enumerate(level.dimension)) for level in levels] == chosen
+    assert {d for level in chosen for d in level.values()} >= {0, 2, 3}
+    shards = {r["id"]: r["node"] for r in kd_shards._placed(meta, levels, 4).select("id", "node").collect()}
+    assert shards == {rows[k][0]: node for k, node in expected.items()}
+
+
+def test_dimensions_are_metadata(spark):
+    """Language and source by how often they occur; texts and ids of no matter."""
+    rows = [(i, f"text {i:04}", "en" if i % 4 else None, f"s{i % 10 % 7}", 9) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    meta = kd_shards.metadata(docs).join(docs.select(F.col("doc_id").alias("id"), "lang", "source"), "id").collect()
+    assert len({r.d0 for r in meta}) == len({r.d1 for r in meta}) == 1
+    by_lang, by_source = {(r.lang, r.d2) for r in meta}, {(r.source, r.d3) for r in meta}
+    assert len(by_lang) == 2 and dict(by_lang)["en"] > dict(by_lang)[None]
+    assert len(by_source) == 7 and min(dict(by_source)[f"s{i}"] for i in range(3)) > max(dict(by_source)[f"s{i}"] for i in range(3, 7))
+
+
 def test_shard_cases(spark):
-    rows = [(i % 50, "same text" if i % 3 == 0 else f"text {i}", "en" if i % 2 else None, "hot") for i in range(3000)]
-    rows += [(None, None, None, None), (9000, "", "de", "x")]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(7)
+    rows = [(i % 50, "same text" if i % 3 == 0 else f"text {i}", "en" if i % 2 else None, "hot", i % 7 - 1) for i in range(3000)]
+    rows += [(None, None, None, None, None), (9000, "", "de", "x", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(7)
+    docs = docs.select("*", *[F.lit("x").alias(c) for c in ("row", "part", "d0", "v0", "n0", "node", "size", "id", "shard", "key")])
     out = shard_rows(spark, docs, shards=8)
     sizes = Counter()
     for r in out:
