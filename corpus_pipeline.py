@@ -8,13 +8,15 @@ single queries.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+# First, so that a missing subpackage is what the guard of __spark_entry__.py sees.
 from postloom.llm import bpe, decontam, minhash, quality, toxicity
 from postloom.llm.queries import RANKS
 from postloom.llm.store import keep, table
 
+import public_tokenizers
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""

@@ -9,8 +9,8 @@ entries; each index file ends with the directory of its blocks (first key, offse
 A small table names each index file with its first and last key.
 
 Lookup: a key is searched in the file table, in the directory of each file that can hold it,
-and in the block that the directory names; then the records are read by range, each archive
-by one task in the order of its offsets.
+and in the block that the directory names; then the records are read by range, each stretch
+of an archive by one task in the order of its offsets.
 
 A task writes files under names of its own and returns what it wrote; that table is stored at
 once. Files of a lost or repeated attempt are in no table and are never read. Files are opened
@@ -46,6 +46,7 @@ from postloom.session import scratch_path
 MIN_REVISIT = 100
 BLOCK_ROWS = 512
 ARCHIVE_BYTES = 1 << 26
+READ_BYTES = 1 << 23
 LEVEL = 4
 DATE = "1970-01-01T00:00:00Z"
 FOOTER = "<QQ4s"
@@ -299,11 +300,20 @@ def lookup(spark: SparkSession, index: DataFrame, folder: str, urls: DataFrame,
             source.close()
 
     placed = urls.select(F.col(url_col)).mapInArrow(place, "file string, key string").distinct()
-    return placed.repartition("file").sortWithinPartitions("file", "key").mapInArrow(search, ENTRY)
+    # With a number, adaptive execution does not merge the few small partitions into one task.
+    dealt = placed.repartition(max(1, len(files)), "file")
+    return dealt.sortWithinPartitions("file", "key").mapInArrow(search, ENTRY)
+
+
+def reading_tasks(spark: SparkSession, folder: str) -> int:
+    """Tasks that read the archives of a folder, by its bytes: entries are too small to tell."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return max(spark.sparkContext.defaultParallelism, -(-size // READ_BYTES))
 
 
 def read_records(entries: DataFrame, folder: str, payload: bool = False) -> DataFrame:
-    """Read records by their byte ranges; each archive is read by one task, in order.
+    """Read records by their byte ranges; each stretch of an archive is read by one task, in order.
 
     Columns: page_id, url, payload_bytes, payload_digest, record_type, refers_to, and the
     payload of responses if asked for.
@@ -330,8 +340,9 @@ def read_records(entries: DataFrame, folder: str, payload: bool = False) -> Data
             source.close()
 
     schema = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
-    ranges = entries.select("archive", "offset", "length").repartition("archive").sortWithinPartitions("archive", "offset")
-    read = ranges.mapInArrow(run, schema)
+    stretch = F.floor(F.col("offset") / READ_BYTES)
+    ranges = entries.select("archive", "offset", "length").repartition(reading_tasks(entries.sparkSession, folder), "archive", stretch)
+    read = ranges.sortWithinPartitions("archive", "offset").mapInArrow(run, schema)
     return read if payload else read.drop("payload")
 
 

@@ -35,6 +35,9 @@ def test_warc_records_and_lookup(spark):
     folder = scratch_path(spark, "warc-test")
     entries = warc.write_archives(pages, folder, archive_bytes=500)
     assert entries.select("archive").distinct().count() > 3
+    assert warc.reading_tasks(spark, folder) >= spark.sparkContext.defaultParallelism
+    reading = warc.read_records(entries, folder).withColumn("task", F.spark_partition_id())
+    assert reading.select("task").distinct().count() > 1
     index = warc.write_index(entries, folder, block_rows=2)
     read = warc.read_records(warc.lookup(spark, index, folder, pages.select("url")), folder, payload=True).collect()
     assert len(read) == len(rows)
