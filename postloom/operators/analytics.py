@@ -101,11 +101,16 @@ def author_average_likes(posts: DataFrame, platform: str, limit: int = 10) -> Da
     return top(stats, "post_count", limit, "author")
 
 
-def top_hashtags(posts: DataFrame, limit: int = 20) -> DataFrame:
-    """Most used hashtags."""
+def tags_of(posts: DataFrame) -> DataFrame:
+    """One row per hashtag of every post."""
     tagged = posts.filter(F.col("hashtags").isNotNull() & (F.col("hashtags") != ""))
     tags = tagged.select(F.explode(F.split("hashtags", ",")).alias("hashtag"))
-    tags = tags.select(F.trim("hashtag").alias("hashtag")).filter(F.col("hashtag") != "")
+    return tags.select(F.trim("hashtag").alias("hashtag")).filter(F.col("hashtag") != "")
+
+
+def top_hashtags(posts: DataFrame, limit: int = 20) -> DataFrame:
+    """Most used hashtags."""
+    tags = tags_of(posts)
     return top(tags.groupBy("hashtag").agg(_count()), "count", limit, "hashtag")
 
 

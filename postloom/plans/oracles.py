@@ -696,6 +696,9 @@ ORACLES: dict[str, str] = {
 ORACLES |= {
     "mixed_load": ORACLES["table_load"],
     "streaming_metrics": ORACLES["load_run"],
+    "streaming_detail_join": ORACLES["search_detail_join"],
+    "frequent_hashtags": ORACLES["top_hashtags"],
+    "frequent_authors": ORACLES["top_authors"],
     "streaming_latest_capture": ORACLES["upsert_latest_capture"],
     "streaming_error_lane": ORACLES["row_error_lane"],
     "import_csv": ORACLES["export_csv_roundtrip"],

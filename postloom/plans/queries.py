@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions import labels, parse, text
-from postloom.operators import analytics, export, indexing, listing, load, transform
+from postloom.operators import analytics, export, frequent, indexing, listing, load, transform
 from postloom.operators.collapse import keep_first
 from postloom.operators.run import run_load
 from postloom.operators.table import PostsTable, load_with_validation
 from postloom.plans import inputs, payloads
-from postloom.schema import POSTS, RAW_POSTS
+from postloom.schema import POSTS, RAW_POSTS, YOUTUBE_DETAILS, YOUTUBE_SEARCH
 from postloom.session import scratch_path
 from postloom.sources import captures, files, lane
 from postloom.streaming import stream
@@ -516,6 +516,23 @@ def _first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("platform").agg(F.count(F.lit(1)).alias("posts"))
 
 
+def _stream_detail_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail join over two streams, caught up."""
+    path, out = scratch_path(spark, "captures"), scratch_path(spark, "joined")
+    payloads.youtube_pages(spark, sf_dir).write.json(f"{path}/search")
+    payloads.youtube_responses(spark, sf_dir).write.json(f"{path}/details")
+    pages = stream.stream_payloads(spark, f"{path}/search", YOUTUBE_SEARCH, max_files=4)
+    responses = stream.stream_payloads(spark, f"{path}/details", YOUTUBE_DETAILS, max_files=3)
+    joined = stream.join_details(pages, responses, salts=2)
+    run = (
+        joined.writeStream.option("checkpointLocation", scratch_path(spark, "offsets"))
+        .option("path", out).trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    found = spark.read.schema(joined.schema).parquet(out)
+    return found.select("page_no", "pos", "video_id", F.col("item.snippet.channelId").alias("channel_id"))
+
+
 def _load_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts a batch load reports."""
     table = PostsTable(spark, scratch_path(spark, "run"))
@@ -667,6 +684,8 @@ QUERIES: dict[str, Query] = {
     ),
     "engagement_distribution": _over_posts(analytics.engagement_distribution),
     "top_hashtags": _over_posts(analytics.top_hashtags),
+    "frequent_hashtags": _over_posts(frequent.top_hashtags),
+    "frequent_authors": _over_posts(frequent.top_authors),
     "dashboard": _dashboard,
     "kept_statistics": _kept_statistics,
     # sources
@@ -703,5 +722,6 @@ QUERIES: dict[str, Query] = {
     "streaming_metrics": _stream_metrics,
     "streaming_latest_capture": _stream_latest_capture,
     "streaming_error_lane": _stream_bad_lines,
+    "streaming_detail_join": _stream_detail_join,
     "streaming_first_seen": _first_seen,
 }

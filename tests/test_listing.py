@@ -193,6 +193,35 @@ def test_bundles(posts):
     }
 
 
+def test_most_frequent_of_very_many(spark):
+    """A million distinct tags: exact, shuffling candidates only, in one round if the bound allows."""
+    from postloom.operators import frequent
+
+    posts = spark.range(0, 1_400_000, 1, 8).selectExpr(
+        "if(id < 1000000, concat('t', id), concat('h', (id * id) % 997 % 31)) AS hashtags",
+        "if(id % 5 = 0, null, if(id % 7 = 0, '[deleted]', concat('a', id % 9))) AS author",
+    )
+    expected = analytics.top_hashtags(posts, 12).collect()
+    found = frequent.top_hashtags(posts, 12)
+    assert found.collect() == expected
+    assert "counted-" in str(found.inputFiles())  # the sketch decided
+    assert frequent.top_authors(posts, 4).collect() == analytics.top_authors(posts, 4).collect()
+    # A sketch that is too small, and ties between very many, need further rounds or the grouping.
+    assert frequent.top_hashtags(posts, 12, tracked=16).collect() == expected
+    assert frequent.top_hashtags(posts, 40, tracked=1024).collect() == analytics.top_hashtags(posts, 40).collect()
+    assert frequent.top_hashtags(posts.limit(0), 3).collect() == []
+
+
+def test_the_recount_shuffles_candidates_only(spark, tmp_path):
+    from postloom.operators import frequent
+
+    path = str(tmp_path / "items")
+    spark.range(100_000).selectExpr("if(id % 2 = 0, 'hot', concat('t', id)) AS hashtag").write.parquet(path)
+    items = spark.read.parquet(path)
+    candidates = frequent._candidates(items, "hashtag", 64).collect()
+    assert [r["hashtag"] for r in candidates] == ["hot"] and candidates[0]["rows"] == 100_000
+
+
 def test_the_dashboard_reads_its_input_twice(spark, posts, tmp_path):
     path = str(tmp_path / "posts")
     posts.write.parquet(path)
