@@ -1,11 +1,18 @@
 """Licence scan with a positional rare-token index, in DataFrame functions only.
 
-A template is a notice, of which some phrases are mandatory. Its index words are the INDEX_WORDS
-words of its mandatory phrases with the highest IDF over all documents. A place in a text is
-a candidate if the postings of all index words of a template meet there, that is if each
-stands at its place relative to the template's start. The mandatory phrases are then
-verified word by word, and the notice is found if at least ``percent`` of its words stand at
-their places. As index words are mandatory, the index loses no notice.
+A template is a notice, of which some phrases are mandatory. Every text is read once: the places
+of its licence words, the words of any template, are stored as a table. Everything else is joins
+with two small tables, so the work follows the places and not the number of templates:
+
+* postings (word, template, place): each template's INDEX_WORDS mandatory words with the highest IDF
+  over all documents. A file that holds a notice holds all its mandatory words, so these are the
+  rarest licence words that it shares with the template.
+* expected (template, place, word, mandatory): all words of the templates.
+
+A start in a text is a candidate if the postings of all index words of a template meet there, that is
+if each stands at its place relative to the start. Its expected words are then looked up among the
+places: all mandatory ones must stand, and at least ``percent`` of all. As index words are
+mandatory, the index loses no notice.
 
 Base templates are phrases that are mandatory as a whole; every place of theirs counts.
 The score of a document is the greatest share of a template found in it, 0 without any.
@@ -20,10 +27,11 @@ columns are not read. Very long texts are scanned whole.
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.llm.store import keep
@@ -71,6 +79,27 @@ NOTICES = (
     Template("cc-by-sa", "licensed under {cc by sa}"),
     Template("creative-commons", "this work is licensed under a {creative commons} attribution"),
     Template("unlicense", "this is free and {unencumbered software released into the public domain}"),
+    # Whole permission notices.
+    Template(
+        "mit-text",
+        "{permission is hereby granted free of charge} to any person obtaining a copy of this software and associated documentation files "
+        "the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+        "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to "
+        "the following conditions the above copyright notice and this permission notice shall be included in all copies or "
+        "{substantial portions of the software}",
+    ),
+    Template(
+        "isc-text",
+        "{permission to use copy modify and or distribute} this software for any purpose with or without fee is hereby granted provided that "
+        "the above copyright notice and this permission notice {appear in all copies}",
+    ),
+    Template(
+        "bsd-2-text",
+        "{redistribution and use in source and binary forms} with or without modification are permitted provided that the following conditions "
+        "are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 "
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the "
+        "documentation and or {other materials provided with the distribution}",
+    ),
 )
 TEMPLATES = BASE + NOTICES
 
@@ -81,13 +110,35 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(plain), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
-def _texts(words: list[str]) -> Column:
-    return F.array(*[F.lit(w) for w in words])
+def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of the templates; bounded by them, so it may be broadcast."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    listed = F.from_json(F.lit(json.dumps([dict(zip(names, row)) for row in rows])), f"array<struct<{schema.replace(' ', ':').replace(',:', ',')}>>")
+    return F.broadcast(spark.range(1).select(F.explode(listed).alias("r")).select("r.*"))
+
+
+def places(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, pos, word, id, n_words), stored: a line per place of a word of the vocabulary, and one per
+    document with neither place nor word but id and number of words. Texts are read once."""
+    words = docs.select(
+        F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"), F.monotonically_increasing_id().alias("row")
+    )
+    ahead = F.concat(F.array(F.lit(None).cast("string")), F.col("words"))
+    each = words.select("row", "id", F.size("words").cast("bigint").alias("n_words"), F.posexplode(ahead).alias("at", "word"))
+    kept = each.filter((F.col("at") == 0) | F.col("word").isin(vocabulary))
+    document = F.col("at") == 0
+    return keep(
+        kept.select(
+            "row", F.when(~document, F.col("at") - 1).alias("pos"), "word",
+            F.when(document, F.col("id")).alias("id"), F.when(document, F.col("n_words")).alias("n_words"),
+        ),
+        "licence-places",
+    )
 
 
-def document_frequency(docs: DataFrame, vocabulary: list[str], text_col: str = "text") -> dict[str, int]:
+def document_frequency(standing: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """In how many documents each word of the vocabulary stands; one row per word comes back."""
-    present = docs.select(F.explode(F.array_intersect(words_of(F.col(text_col)), _texts(vocabulary))).alias("word"))
+    present = standing.filter(F.col("word").isin(vocabulary)).select("row", "word").distinct()
     return {r["word"]: r["count"] for r in present.groupBy("word").count().collect()}
 
 
@@ -102,45 +153,34 @@ def rarest(templates: tuple[Template, ...], frequency: dict[str, int], documents
     return out
 
 
-def candidates(hit: DataFrame, postings: list[tuple[int, str, int]]) -> DataFrame:
+def candidates(standing: DataFrame, postings: list[tuple[int, str, int]]) -> DataFrame:
     """(row, template, start): where the postings of all index words of a template meet."""
-    index: dict[str, list[tuple[int, int]]] = {}
-    for number, word, place in postings:
-        index.setdefault(word, []).append((number, place))
+    spark = standing.sparkSession
     needed: dict[int, int] = {}
     for number, _, _ in postings:
         needed[number] = needed.get(number, 0) + 1
-    standing = hit.select("row", F.posexplode("words").alias("pos", "word")).filter(F.col("word").isin(list(index)))
-    meets = F.lit(None).cast("array<struct<template:int,place:int>>")
-    for word, places in index.items():
-        listed = F.array(*[F.struct(F.lit(t).alias("template"), F.lit(p).alias("place")) for t, p in places])
-        meets = F.when(F.col("word") == word, listed).otherwise(meets)
-    posted = standing.select("row", "pos", F.explode(meets).alias("m"))
-    met = posted.groupBy("row", F.col("m.template").alias("template"), (F.col("pos") - F.col("m.place")).alias("start")).agg(
-        F.count(F.lit(1)).alias("met")
-    )
-    all_met = F.lit(False)
-    for number, n in needed.items():
-        all_met = all_met | ((F.col("template") == number) & (F.col("met") == n))
-    return met.filter(all_met).select("row", "template", "start")
+    index = _table(spark, [(*p, needed[p[0]]) for p in postings], "template int, word string, place int, needed int")
+    posted = standing.join(index, "word").select("row", "template", (F.col("pos") - F.col("place")).alias("start"), "needed")
+    met = posted.groupBy("row", "template", "start", "needed").agg(F.count(F.lit(1)).alias("met"))
+    return met.filter(F.col("met") == F.col("needed")).select("row", "template", "start")
 
 
-def verify(hit: DataFrame, found: DataFrame, templates: tuple[Template, ...], percent: int) -> DataFrame:
+def verify(standing: DataFrame, found: DataFrame, templates: tuple[Template, ...], percent: int) -> DataFrame:
     """(row, template, start, share) of the places whose phrases and share of words are right."""
-    expected, must = F.lit(None).cast("array<string>"), F.lit(None).cast("array<boolean>")
-    for number, template in enumerate(templates):
-        here, words = F.col("template") == number, template.words()
-        expected = F.when(here, _texts([word for word, _ in words])).otherwise(expected)
-        must = F.when(here, F.array(*[F.lit(needed) for _, needed in words])).otherwise(must)
-    both = hit.join(found, "row").select("row", "template", "start", "words", expected.alias("expected"), must.alias("must"))
-    # A place before the first or after the last word is NULL and equals nothing.
-    standing = F.transform("expected", lambda word, place: F.coalesce(F.get("words", F.col("start") + place) == word, F.lit(False)))
-    placed = both.select("row", "template", "start", "must", standing.alias("right"))
-    good = F.size(F.filter("right", lambda x: x))
-    phrases = F.forall(F.zip_with("right", "must", lambda right, needed: right | ~needed), lambda x: x)
-    return placed.filter(phrases & (100 * good >= percent * F.size("right"))).select(
-        "row", "template", "start", (good / F.size("right")).alias("share")
+    spark = standing.sparkSession
+    words = [(n, place, word, must) for n, t in enumerate(templates) for place, (word, must) in enumerate(t.words())]
+    sizes = {n: (len(t.words()), sum(must for _, must in t.words())) for n, t in enumerate(templates)}
+    expected = _table(spark, [(*w, *sizes[w[0]]) for w in words], "template int, place int, word string, must boolean, size int, musts int")
+    wanted = found.join(expected, "template").select(
+        "row", "template", "start", (F.col("start") + F.col("place")).alias("pos"), "word", "must", "size", "musts"
     )
+    # Only texts with a candidate are looked into again; a place and its word are found together.
+    near = standing.join(found.select("row").distinct(), "row", "left_semi").select("row", "pos", "word")
+    right = wanted.join(near, ["row", "pos", "word"]).groupBy("row", "template", "start", "size", "musts").agg(
+        F.count(F.lit(1)).alias("good"), F.count_if("must").alias("phrases")
+    )
+    whole = (F.col("phrases") == F.col("musts")) & (100 * F.col("good") >= percent * F.col("size"))
+    return right.filter(whole).select("row", "template", "start", (F.col("good") / F.col("size")).alias("share"))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -149,32 +189,18 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, percent:
     Documents: (row, id, n_words), one for every row. Finds: (row, template, label, base,
     start, end, share), a row per notice or phrase, ``start`` and ``end`` counted in words.
     """
-    vocabulary = sorted({w for t in templates for w, needed in t.words() if needed})
-    frequency = document_frequency(docs, vocabulary, text_col)
-    postings = rarest(templates, frequency, docs.count())
-    # A document is looked into if it holds all mandatory words of some template.
-    words = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"))
-    holds = F.lit(False)
-    for number in range(len(templates)):
-        own = sorted({w for t, w, _ in postings if t == number})
-        holds = holds | (F.size(F.array_intersect("own", _texts(own))) == len(own))
-    index_words = sorted({w for _, w, _ in postings})
-    seen = words.withColumn("own", F.array_intersect("words", _texts(index_words)))
-    stored = keep(
-        seen.select(F.monotonically_increasing_id().alias("row"), "id", F.size("words").cast("bigint").alias("n_words"), F.when(holds, F.col("words")).alias("words")),
-        "licence-words",
-    )
-    hit = stored.filter("words IS NOT NULL").select("row", "words")
-    found = verify(hit, keep(candidates(hit, postings), "licence-candidates"), templates, percent)
-    named = F.lit(None).cast("struct<label:string,base:boolean,length:int>")
-    for number, t in enumerate(templates):
-        value = F.struct(F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), F.lit(len(t.words())).alias("length"))
-        named = F.when(F.col("template") == number, value).otherwise(named)
-    found = found.withColumn("t", named).select(
-        "row", "template", "t.label", "t.base", F.col("start").cast("bigint").alias("start"),
-        (F.col("start") + F.col("t.length")).cast("bigint").alias("end"), "share",
+    stored = places(docs, sorted({w for t in templates for w, _ in t.words()}), id_col, text_col)
+    documents = stored.filter("pos IS NULL").select("row", "id", "n_words")
+    standing = stored.filter("pos IS NOT NULL").select("row", "pos", "word")
+    mandatory = sorted({w for t in templates for w, needed in t.words() if needed})
+    postings = rarest(templates, document_frequency(standing, mandatory), documents.count())
+    found = verify(standing, keep(candidates(standing, postings), "licence-candidates"), templates, percent)
+    named = _table(docs.sparkSession, [(n, t.label, t.base, len(t.words())) for n, t in enumerate(templates)], "template int, label string, base boolean, size int")
+    finds = found.join(named, "template").select(
+        "row", "template", "label", "base", F.col("start").cast("bigint").alias("start"),
+        (F.col("start") + F.col("size")).cast("bigint").alias("end"), "share",
     )
-    return stored.select("row", "id", "n_words"), keep(found, "licence-finds")
+    return documents, keep(finds, "licence-finds")
 
 
 def digest(documents: DataFrame, finds: DataFrame, id_col: str = "doc_id") -> DataFrame:

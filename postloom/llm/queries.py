@@ -156,7 +156,10 @@ ORACLES: dict[str, str] = {
             (14, 'cc-by-nc', false, 'licensed under +cc +by +nc'),
             (15, 'cc-by-sa', false, 'licensed under +cc +by +sa'),
             (16, 'creative-commons', false, 'this work is licensed under a +creative +commons attribution'),
-            (17, 'unlicense', false, 'this is free and +unencumbered +software +released +into +the +public +domain')
+            (17, 'unlicense', false, 'this is free and +unencumbered +software +released +into +the +public +domain'),
+            (18, 'mit-text', false, '+permission +is +hereby +granted +free +of +charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or +substantial +portions +of +the +software'),
+            (19, 'isc-text', false, '+permission +to +use +copy +modify +and +or +distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice +appear +in +all +copies'),
+            (20, 'bsd-2-text', false, '+redistribution +and +use +in +source +and +binary +forms with or without modification are permitted provided that the following conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or +other +materials +provided +with +the +distribution')
         ),
         tw AS (
             SELECT template, label, base, unnest(generate_series(0, len(w) - 1)) AS place, len(w) AS total,

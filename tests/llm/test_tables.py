@@ -157,6 +157,26 @@ def test_threshold_stops_early():
     assert list(ids) == [17] and sum(reads) < 400
 
 
+def test_many_templates_and_a_hot_file(spark):
+    """Hundreds of templates over one index; a file that is a third of all licence words is no task of its own."""
+    many = tuple(licences.Template(f"l{i}", f"{{license number w{i}}} of the authors of w{i % 7}") for i in range(300))
+    rows = [(i, f"The license number W{i} of the authors of w{i % 7}. More.") for i in range(300)]
+    rows += [(1000, "license number w5 " * 20_000), (1001, "number license w5 of the authors"), (1002, "license number w9 of the authors of w9")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    documents, finds = licences.scan(docs, many)
+    named = finds.join(documents, "row").groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"), F.max("share").alias("share"))
+    found = {r["id"]: (r["label"], r["n"], r["share"]) for r in named.collect()}
+    assert found == {**{i: (f"l{i}", 1, 1.0) for i in range(300)}, 1002: ("l9", 1, 7 / 8)}
+
+
+def test_whole_notices(spark):
+    (mit,) = [t for t in licences.NOTICES if t.label == "mit-text"]
+    words = [w for w, _ in mit.words()]
+    docs = spark.createDataFrame([(1, " ".join(words).upper()), (2, " ".join(words[:60])), (3, " ".join(words[:30] + ["x"] * 5 + words[35:]))], "doc_id bigint, text string")
+    found = {r["doc_id"]: (r["labels"], round(r["score"], 3)) for r in licences.digest(*licences.scan(docs)).collect()}
+    assert found == {1: ("mit,mit-text", 1.0), 2: ("mit", 1.0), 3: ("mit,mit-text", 1.0)}
+
+
 def shard_rows(spark, docs, **kw):
     rows = kd_shards.shard(docs, **kw).collect()
     slots = defaultdict(list)
