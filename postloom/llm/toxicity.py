@@ -42,7 +42,6 @@ class Settings:
     l2: float = 0.1
     epochs: int = 5
     rows_per_class: int = 8000
-    decision: float = THRESHOLD
 
 
 @dataclass(frozen=True)

@@ -128,3 +128,59 @@ def test_discriminant_is_the_density_ratio():
     x = r.normal(0.5, 1, (20, d))
     logs = [-0.5 * (((x - y) / (1 + y)) ** 2).sum(1) - d * np.log(1 + y) for y in (0, 1)]
     assert np.allclose(quality.score_rows(x, model), 1 / (1 + np.exp(logs[0] - logs[1])), atol=0.1)
+
+
+def test_quality_is_the_plain_discriminant(spark):
+    """Scores of the whole table against Gaussian log densities from numpy's own moments."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    stats = quality.stored_statistics(docs)
+    x = {r.id: np.array(r.stats) for r in stats.collect()}
+    known = {r.id: r.label for r in labels_of(labels, "quality").collect() if r.id in x}
+    rows = {y: np.array([x[i] for i, label in known.items() if label == y]) for y in (0, 1)}
+    covariances = {y: np.cov(rows[y].T, bias=True) for y in (0, 1)}
+    pooled = sum(len(rows[y]) * covariances[y] for y in (0, 1)) / len(known)
+    logs = []
+    for y in (0, 1):
+        c = 0.7 * covariances[y] + 0.3 * pooled
+        c = 0.95 * c + 0.05 * np.diag(np.diag(c)) + 1e-3 * np.eye(len(c))
+        away = np.array(list(x.values())) - rows[y].mean(0)
+        distance = (away * np.linalg.solve(c, away.T).T).sum(1)
+        logs.append(np.log(len(rows[y]) / len(known)) - 0.5 * (np.linalg.slogdet(c)[1] + distance))
+    expected = dict(zip(x, 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))))
+    found = {r.id: (r.score, r.predicted) for r in quality.score(stats, quality.fit(stats, labels)).collect()}
+    assert found.keys() == expected.keys()
+    for i, (score, predicted) in found.items():
+        assert abs(score - expected[i]) < 1e-6 and (abs(score - 0.5) < 1e-6 or predicted == (expected[i] >= 0.5))
+
+
+def test_ftrl_is_the_plain_algorithm():
+    """Weights against per-coordinate updates in dictionaries, one row at a time."""
+    r = random.Random(3)
+    settings = toxicity.Settings(bits=8, l1=0.3, epochs=3)
+    labels = [r.randint(0, 1) for _ in range(200)]
+    rows = [np.array(sorted({r.randrange(120) for _ in range(10)} | ({200} if y else set()))) for y in labels]
+    z, n = {}, {}
+    ones = sum(labels)
+    weight = (len(labels) / (2 * (len(labels) - ones)), len(labels) / (2 * ones))
+
+    def w(i):
+        if abs(z.get(i, 0.0)) <= (settings.l1 if i != "bias" else 0.0):
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        shrunk = sign * (settings.l1 if i != "bias" else 0.0) - z[i]
+        return shrunk / ((settings.beta + n.get(i, 0.0) ** 0.5) / settings.alpha + settings.l2)
+
+    for _ in range(settings.epochs):
+        for places, y in zip(rows, labels):
+            at = [*places.tolist(), "bias"]
+            ws = {i: w(i) for i in at}
+            g = (1 / (1 + np.exp(-sum(ws.values()))) - y) * weight[y]
+            for i in at:
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / settings.alpha
+                z[i] = z.get(i, 0.0) + g - sigma * ws[i]
+                n[i] = n.get(i, 0.0) + g * g
+    places, weights, intercept = toxicity.fit_rows(rows, labels, settings)
+    expected = {i: w(i) for i in range(256) if w(i)}
+    assert places.tolist() == sorted(expected) and 0 < len(expected) < 121
+    assert np.allclose(weights, [expected[i] for i in places]) and np.isclose(intercept, w("bias"))
