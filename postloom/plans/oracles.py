@@ -695,6 +695,13 @@ ORACLES: dict[str, str] = {
 # The same relations by other ways: through files, several writers, and the whole dashboard.
 ORACLES |= {
     "mixed_load": ORACLES["table_load"],
+    "collect_job": f"""WITH {POSTS_RAW},
+        listed AS (
+            SELECT seq AS page_no, 0 AS pos, 'r' || seq AS post_id, coalesce(author, '[deleted]') AS author FROM posts_raw
+            UNION ALL SELECT seq, 1, 'c' || seq, '[deleted]' FROM posts_raw WHERE event_type <> 'error'
+        ),
+        numbered AS (SELECT *, row_number() OVER (ORDER BY page_no, pos) AS place FROM listed)
+        SELECT post_id, author, CAST(CASE WHEN place <= 30 THEN 2 ELSE 1 END AS BIGINT) AS times FROM numbered WHERE place <= 70""",
     "streaming_metrics": ORACLES["load_run"],
     "streaming_detail_join": ORACLES["search_detail_join"],
     "frequent_hashtags": ORACLES["top_hashtags"],

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions import labels, parse, text
+from postloom.jobs import collect_posts
 from postloom.operators import analytics, export, frequent, indexing, listing, load, transform
 from postloom.operators.collapse import keep_first
 from postloom.operators.run import run_load
@@ -170,6 +171,17 @@ def _validated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.posts().select(*POST_COLUMNS)
 
 
+def _collect_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job, run twice over a captured listing: the log holds the posts of both runs."""
+    root = scratch_path(spark, "job")
+    payloads.reddit_pages(spark, sf_dir).write.json(f"{root}/captures/reddit/r/all/new")
+    args = ["--platform", "reddit", "--subreddit", "all", "--sort", "new", "--captures", f"{root}/captures", "--output", f"{root}/log"]
+    for limit in ("70", "30"):
+        collect_posts.collect(spark, collect_posts.parse_args([*args, "--limit", limit]))
+    log = export.read_csv_log(spark, f"{root}/log")
+    return log.groupBy("post_id", "author").agg(F.count(F.lit(1)).alias("times"))
+
+
 def _many_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three capture folders with page numbers beyond any packing, dispatched, united and loaded."""
     path = scratch_path(spark, "captures")
@@ -638,6 +650,7 @@ QUERIES: dict[str, Query] = {
     "bucketed_upsert": _bucketed_upsert,
     "validated_load": _validated_load,
     "many_pages": _many_pages,
+    "collect_job": _collect_job,
     "row_error_lane": _bad_lines,
     "load_run": _load_run,
     "load_validation": _validated,
