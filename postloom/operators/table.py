@@ -35,7 +35,6 @@ from postloom.operators.search import literal_trigrams, slots_with, trigrams_of
 from postloom.schema import KEY, STORED
 from postloom.session import scratch_path
 
-BUCKETS = 32
 LOADS = (
     "load bigint, first_id bigint, new_posts bigint, buckets int, latest_by string, "
     "in_order boolean, indexed boolean"
@@ -48,15 +47,15 @@ _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 class PostsTable:
     """A stored posts table below one folder of the shared file system.
 
-    ``buckets`` is fixed with the first load and kept with the table, as is the rule that
-    counters follow: the latest arrival or the latest ``scraped_at``. Choose buckets of some 256 MB;
-    a load rewrites every bucket it has a key of. ``text_index`` lets loads index their texts for
+    ``buckets`` (by default as many as the session has shuffle partitions) is fixed with the first
+    load and kept with the table, as is the rule that counters follow: the latest arrival or the
+    latest ``scraped_at``. Choose buckets of some 256 MB; a load rewrites every bucket it has a key of. ``text_index`` lets loads index their texts for
     :meth:`matching`; give it from the first load on.
     """
 
     spark: SparkSession
     path: str
-    buckets: int = BUCKETS
+    buckets: int | None = None
     text_index: bool = False
 
     @property
@@ -77,10 +76,11 @@ class PostsTable:
 
     def _state(self) -> tuple[int, int, int, str | None]:
         """Next load number, next id, buckets and rule."""
+        buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (row,) = self.loads().agg(
             F.coalesce(F.max("load") + 1, F.lit(0)).alias("load"),
             F.coalesce(F.max(F.col("first_id") + F.col("new_posts")), F.lit(1)).alias("id"),
-            F.coalesce(F.max("buckets"), F.lit(self.buckets)).alias("buckets"),
+            F.coalesce(F.max("buckets"), F.lit(buckets)).alias("buckets"),
             F.max("latest_by").alias("latest_by"),
         ).collect()
         return row["load"], row["id"], row["buckets"], row["latest_by"]
