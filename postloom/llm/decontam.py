@@ -5,28 +5,32 @@ of fewer words is one shingle). A document is contaminated by an item if one of
 of the item's length reaches the similarity: the shared weight of their shingles over their
 joint weight, a shingle weighing as often as it occurs.
 
-1. Each item's rarest shingles, together more than 1 - similarity of its weight, go to an
-   index. A window without any of them cannot reach the similarity, so every window of the
-   item's length around a place where one stands is looked at, and no other. Those with too
-   few of the item's shingles to reach the similarity, however often each counts, go.
+1. One pass over the texts stores the places of all shingles of the benchmark. Each item's
+   rarest shingles, counted over benchmark and documents, together more than 1 - similarity of
+   its weight, go to an index. A window without any of them cannot reach the similarity, so
+   the windows of the item's length around the places of those are looked at, and no other.
+   Overlapping ones form a region of the text.
 2. Windows and items get a 128-bit SimHash of their shingles, where the second, third, ...
    occurrence of a shingle is a feature of its own, so that the weighted similarity is the
-   similarity of two sets. The radius follows from the item's number of shingles and the
-   similarity: of the pairs that just reach it, less than one in 10^9 is farther apart (at
-   0.8 from 47 to 53 bits, see ``radius_of``).
+   similarity of two sets. A region is swept once: a shingle enters the window and leaves it,
+   and running sums of these events are the fingerprints of all its windows. Work and storage
+   grow with the region's length and not with windows times words. The radius follows from
+   the item's number of shingles and the similarity: of the pairs that just reach it, less
+   than one in 10^9 is farther apart (at 0.8 from 47 to 53 bits, see ``radius_of``).
 3. Multi-index blocks: a fingerprint is cut into more blocks than the radius has bits. Two
    fingerprints within the radius agree on one block at least, so joining on (item, block
    number, block value) misses none of them. The distance itself is tested next.
-4. The exact weighted similarity decides.
+4. The exact weighted similarity decides, by a second sweep of the regions that are left.
 
-The benchmark's index is joined by its key. Spark broadcasts it where its stored size is
-below the session's threshold, and shuffles otherwise; nothing here forces a broadcast.
+The benchmark's tables are joined by their keys. Spark broadcasts them where their stored size
+is below the session's threshold, and shuffles otherwise; nothing here forces a broadcast.
 
 Cases: a NULL or empty text, of a document or an item, has no shingles and matches nothing;
-repeated rows of a document give one row per item; repeated items are compared once for
-each of their distinct texts; NULL ids are results like others in ``contaminated``, but
-``drop_contaminated`` keeps rows whose id is NULL, as it cannot tell them apart; empty
-tables give empty results; only id and text columns are read.
+equal texts are looked at once, under a digest of the text, and each of their rows gets the
+result, rows without an id too; rows that repeat an id give one row per item, with the best
+window of all their texts; repeated items are compared once for each of their distinct texts;
+a very long text is cut into its regions, and no row grows beyond the text; empty tables give
+empty results; only id and text columns are read.
 """
 
 from __future__ import annotations
@@ -78,56 +82,90 @@ def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
     return keep(sized.withColumn("item", F.monotonically_increasing_id()), "items")
 
 
-def index_of(shingles: DataFrame, percent: int) -> DataFrame:
+def text_key(text: Column) -> Column:
+    """The digest that stands for a text; NULL counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def places_of(docs: DataFrame, of_items: DataFrame, sizes: list[int], text_col: str) -> DataFrame:
+    """(doc, n, size, shingle, pos): where the benchmark's shingles stand in the distinct texts of n words."""
+    texts = docs.select(text_key(F.col(text_col)).alias("doc"), words_of(F.col(text_col)).alias("words"))
+    texts = texts.withColumn("n", F.size("words"))
+    found = []
+    for size in sizes:
+        own = of_items.filter(F.col("size") == size).select("shingle").distinct()
+        each = shingles_at(texts.filter(F.col("n") >= size), size).select("doc", "n", F.lit(size).alias("size"), "shingle", "pos")
+        found.append(each.join(own, "shingle", "left_semi").select(*each.columns))
+    return keep(reduce(DataFrame.unionByName, found).distinct(), "item-places")
+
+
+def index_of(shingles: DataFrame, places: DataFrame, percent: int) -> DataFrame:
     """(shingle, item, n_words, size): the rarest shingles of each item.
 
-    Rarity is the number of occurrences in the whole benchmark.
+    Rarity is the number of occurrences in the whole benchmark and in the distinct texts.
     """
     each = shingles.groupBy("item", "n_words", "size", "shingle").agg(F.count(F.lit(1)).alias("times"))
-    spread = each.groupBy("shingle").agg(F.sum("times").alias("occurrences"))
+    both = each.select("size", "shingle", "times").unionByName(
+        places.groupBy("size", "shingle").agg(F.count(F.lit(1)).alias("times"))
+    )
+    spread = both.groupBy("size", "shingle").agg(F.sum("times").alias("occurrences"))
     by_rarity = Window.partitionBy("item").orderBy("occurrences", "shingle")
     before = F.coalesce(F.sum("times").over(by_rarity.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     whole = F.col("n_words") - F.col("size") + 1
-    ranked = each.join(spread, "shingle").withColumn("before", before)
+    ranked = each.join(spread, ["size", "shingle"]).withColumn("before", before)
     chosen = ranked.filter(100 * F.col("before") <= (100 - percent) * whole)
     return keep(chosen.select("shingle", "item", "n_words", "size"), "item-index")
 
 
-def windows_of(docs: DataFrame, index: DataFrame, sizes: list[int], id_col: str, text_col: str) -> DataFrame:
-    """(window, id, doc, item, size, n_words, start, words): all item-sized windows with an indexed shingle.
+def regions_of(places: DataFrame, index: DataFrame) -> DataFrame:
+    """(region, doc, item, size, n_words, n, low, high): runs of begins of windows that hold an indexed shingle.
 
-    ``doc`` is a hash of the text. A window may be cut off by either end of its text.
+    A window may begin before its text and end after it; it is cut off there.
     """
-    words = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"))
-    keyed = words.withColumn("doc", F.xxhash64("words"))
-    found = []
-    for size in sizes:
-        own = index.filter(F.col("size") == size)
-        hits = shingles_at(keyed.filter(F.size("words") >= size), size).join(own, "shingle")
-        left = F.greatest(F.col("pos") + size - F.col("n_words"), F.lit(0))
-        right = F.least(F.col("pos") + F.col("n_words"), F.size("words"))
-        around = F.slice("words", left + 1, right - left)
-        found.append(hits.select("id", "doc", "item", "size", "n_words", "pos", left.alias("left"), around.alias("around")))
-    # Windows around a place begin from pos + size - n_words to pos; each is left to its first place.
-    previous = F.lag("pos").over(Window.partitionBy("id", "doc", "item").orderBy("pos"))
-    first = F.greatest(F.col("pos") + F.col("size") - F.col("n_words"), previous + 1)
-    runs = reduce(DataFrame.unionByName, found).withColumn("first", first).filter(F.col("first") <= F.col("pos"))
-    each = runs.withColumn("begin", F.explode(F.sequence("first", "pos")))
-    start = F.greatest(F.col("begin"), F.lit(0))
-    length = F.least(F.col("begin") + F.col("n_words"), F.col("left") + F.size("around")) - start
-    part = F.slice("around", start - F.col("left") + 1, length)
-    windows = each.select("id", "doc", "item", "size", "n_words", start.alias("start"), part.alias("words"))
-    return keep(windows.withColumn("window", F.monotonically_increasing_id()), "windows")
-
-
-def enough_shared(windows: DataFrame, of_items: DataFrame, sizes: list[int], percent: int) -> DataFrame:
-    """(window): those with so many places of the item's shingles that they may reach the similarity."""
-    places = _all_sizes(windows.select("window", "item", "size", "n_words", "words"), sizes)
-    total = F.size("words") - F.col("size") + 1 + F.col("n_words") - F.col("size") + 1
-    own = of_items.select("item", "shingle").distinct()
-    met = places.select("window", "item", "shingle", total.alias("both")).join(own, ["item", "shingle"])
-    counted = met.groupBy("window").agg(F.count(F.lit(1)).alias("places"), F.first("both").alias("both"))
-    return counted.filter((100 + percent) * F.col("places") >= percent * F.col("both")).select("window")
+    hits = places.join(index, ["size", "shingle"]).withColumn("span", F.col("n_words") - F.col("size"))
+    by_place = Window.partitionBy("doc", "item").orderBy("pos")
+    apart = F.coalesce(F.col("pos") - F.col("span") > F.lag("pos").over(by_place) + 1, F.lit(True))
+    run = F.sum("apart").over(by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = hits.withColumn("apart", apart.cast("int")).withColumn("run", run)
+    merged = runs.groupBy("doc", "item", "run", "size", "n_words", "span", "n").agg(F.min("pos").alias("low"), F.max("pos").alias("high"))
+    regions = merged.select(
+        F.monotonically_increasing_id().alias("region"), "doc", "item", "size", "n_words", "n", (F.col("low") - F.col("span")).alias("low"), "high"
+    )
+    return keep(regions, "regions")
+
+
+def events_of(docs: DataFrame, regions: DataFrame, sizes: list[int], text_col: str) -> DataFrame:
+    """(region, item, begin, sign, shingle, nth): what enters (1) and leaves (-1) a region's window when it comes to ``begin``.
+
+    ``nth`` tells how many of that shingle the window has with it.
+    """
+    own = F.struct("region", "item", "size", "n_words", "low", "high")
+    wanted = regions.groupBy(F.col("doc").alias("d")).agg(F.collect_list(own).alias("regions"))
+    texts = docs.select(text_key(F.col(text_col)).alias("doc"), F.col(text_col).alias("text"))
+    texts = texts.join(wanted, F.col("doc") == F.col("d"), "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
+    texts = texts.join(wanted, F.col("doc") == F.col("d")).select(words_of(F.col("text")).alias("words"), "regions")
+    first = F.greatest("low", F.lit(0))
+    part = F.slice("words", first + 1, F.col("high") + F.col("n_words") - first)
+    each = texts.select("words", F.explode("regions").alias("r")).select("r.*", "words")
+    each = each.select("region", "item", "size", "n_words", "low", "high", first.alias("first"), part.alias("words"))
+    placed = _all_sizes(each, sizes).withColumn("at", F.col("first") + F.col("pos"))
+    enters = F.struct(F.greatest(F.col("at") - F.col("n_words") + F.col("size"), "low").alias("begin"), F.lit(1).alias("sign"))
+    leaves = F.struct((F.col("at") + 1).alias("begin"), F.lit(-1).alias("sign"))
+    moves = placed.select("region", "item", "shingle", "at", "high", F.explode(F.array(enters, leaves)).alias("move"))
+    moves = moves.select("region", "item", "shingle", "at", "high", "move.*").filter(F.col("begin") <= F.col("high"))
+    so_far = Window.partitionBy("region", "shingle").orderBy("begin", "sign", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    nth = F.sum("sign").over(so_far) + F.when(F.col("sign") < 0, 1).otherwise(0)
+    counted = moves.repartition("region").select("region", "item", "begin", "sign", "shingle", nth.alias("nth"))
+    return keep(counted, "window-events")
+
+
+def _at_each_begin(events: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """Running sums over the events of each region, at the last event of each begin."""
+    by_begin = Window.partitionBy("region").orderBy("begin")
+    until = by_begin.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = F.lead("begin").over(by_begin)
+    summed = events.select("region", "item", "begin", after.alias("after"), *[F.sum(c).over(until).alias(k) for k, c in sums.items()])
+    return summed.filter(F.col("after").isNull() | (F.col("after") > F.col("begin"))).drop("after")
 
 
 def _counts(shingles: DataFrame, *key: str) -> DataFrame:
@@ -182,31 +220,41 @@ def radius_of(percent: int) -> list[int]:
     return [max(_radius(n, percent), large) if n else 0 for n in range(MANY)] + [large]
 
 
-def fingerprints(shingles: DataFrame, *key: str) -> DataFrame:
-    """SimHash of each key's shingles with their multiplicity: (key, total, f0, f1).
-
-    Each sum counts two bits of the hash at once, in the halves of a long.
-    """
-    lanes = []
+def _lanes(feature: Column, sign: Column | int = 1) -> dict[str, Column]:
+    """What a feature adds to the counts of the bits: a value counts two bits, in the halves of a long."""
+    lanes = {}
     for half in range(HALVES):
-        h = F.xxhash64("shingle", F.lit(half))
-        lanes += [
-            F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(0x0000000100000001))).alias(f"s{half}_{k}")
-            for k in range(32)
-        ]
+        h = F.xxhash64(feature, F.lit(half))
+        for k in range(32):
+            lanes[f"s{half}_{k}"] = sign * F.shiftrightunsigned(h, k).bitwiseAND(F.lit(0x0000000100000001))
+    return lanes
+
+
+def _bits(half: int) -> Column:
+    """A half of a fingerprint from the counts: the bits that more than half of ``total`` features have."""
+    out = F.lit(0).cast("bigint")
+    for k in range(32):
+        low = F.col(f"s{half}_{k}").bitwiseAND(F.lit(0xFFFFFFFF))
+        high = F.shiftrightunsigned(F.col(f"s{half}_{k}"), 32)
+        for count, bit in ((low, k), (high, k + 32)):
+            mask = 1 << bit if bit < 63 else -(1 << 63)
+            out = out.bitwiseOR(F.when(2 * count > F.col("total"), F.lit(mask).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    return out
+
+
+def fingerprints(shingles: DataFrame, *key: str) -> DataFrame:
+    """SimHash of each key's shingles with their multiplicity: (key, total, f0, f1)."""
+    lanes = [F.sum(c).alias(k) for k, c in _lanes(F.col("shingle")).items()]
     summed = shingles.groupBy(*key).agg(F.count(F.lit(1)).alias("total"), *lanes)
+    return summed.select(*key, "total", *[_bits(h).alias(f"f{h}") for h in range(HALVES)])
 
-    def bits(half: int) -> Column:
-        out = F.lit(0).cast("bigint")
-        for k in range(32):
-            low = F.col(f"s{half}_{k}").bitwiseAND(F.lit(0xFFFFFFFF))
-            high = F.shiftrightunsigned(F.col(f"s{half}_{k}"), 32)
-            for count, bit in ((low, k), (high, k + 32)):
-                mask = 1 << bit if bit < 63 else -(1 << 63)
-                out = out.bitwiseOR(F.when(2 * count > F.col("total"), F.lit(mask).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-        return out
 
-    return summed.select(*key, "total", *[bits(h).alias(f"f{h}") for h in range(HALVES)])
+def window_fingerprints(events: DataFrame) -> DataFrame:
+    """(window, region, item, begin, total, f0, f1): the SimHash of every window of the regions."""
+    sums = {"total": F.col("sign"), **_lanes(F.xxhash64("shingle", "nth"), F.col("sign"))}
+    summed = _at_each_begin(events, sums).filter("total > 0")
+    prints = summed.select("region", "item", "begin", "total", *[_bits(h).alias(f"f{h}") for h in range(HALVES)])
+    return keep(prints.withColumn("window", F.monotonically_increasing_id()), "window-prints")
 
 
 def blocks(prints: DataFrame, bits: int) -> DataFrame:
@@ -237,56 +285,65 @@ def within_radius(windows: DataFrame, items: DataFrame, radius: int | list[int]
     return met.filter(far <= F.col("allowed")).select("window", "item").distinct()
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(id, item_id, similarity, start, n_windows): documents that hold an item, best window first.
-
-    ``start`` is the first word of the best window, the smallest of equally good ones;
-    ``n_windows`` counts the places with windows that reach the similarity: windows that
-    begin at most half an item's length after one another are at one place.
-    """
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(doc, item_id, best, n_windows): distinct texts that hold an item; ``doc`` is the ``text_key``,
+    ``best`` the similarity and the negative start of the best window."""
     items = items_of(benchmark, item_id, item_text)
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # 1 to 5
     sizes = sizes or [SHINGLE]
     of_items = keep(_all_sizes(items.drop("item_id"), sizes).drop("words"), "item-shingles")
-    index = index_of(of_items, percent)
-    windows = windows_of(docs, index, sizes, id_col, text_col)
-    enough = keep(enough_shared(windows, of_items, sizes, percent), "enough-shared")
-    windows = keep(windows.join(enough, "window", "left_semi"), "shared-windows")
-    of_windows = _all_sizes(windows.select("window", "item", "size", "words"), sizes).select("window", "item", "shingle")
-    # Dealt by window, so that its sums over the shingles are not made in many tasks.
-    times = keep(_counts(of_windows.repartition("window", "item"), "window", "item"), "window-shingles")
-    prints = fingerprints(occurrences(times, "window", "item"), "window", "item")
-    item_prints = fingerprints(occurrences(_counts(of_items, "item"), "item"), "item")
-    near = keep(within_radius(prints, item_prints, radius_of(percent)), "near-windows")
-    times = times.withColumnRenamed("times", "window_times")
-    theirs = _counts(of_items, "item").withColumnsRenamed({"item": "i", "shingle": "s", "times": "item_times"})
-    totals = of_items.groupBy(F.col("item").alias("i")).agg(F.count(F.lit(1)).alias("item_total"))
+    places = places_of(docs, of_items, sizes, text_col)
+    regions = regions_of(places, index_of(of_items, places, percent))
+    events = events_of(docs, regions, sizes, text_col)
+    prints = window_fingerprints(events)
+    item_counts = keep(_counts(of_items, "item"), "item-counts")
+    item_prints = fingerprints(occurrences(item_counts, "item"), "item")
+    near = within_radius(prints.select("window", "item", "total", "f0", "f1"), item_prints, radius_of(percent))
+    near = keep(prints.join(near, ["window", "item"], "left_semi").select("region", "begin", "total"), "near-windows")
+    theirs = item_counts.withColumnsRenamed({"item": "i", "shingle": "s", "times": "item_times"})
+    left = events.join(near.select("region").distinct(), "region", "left_semi")
+    left = left.join(theirs, (F.col("item") == F.col("i")) & (F.col("shingle") == F.col("s")), "left")
+    common = F.when(F.col("nth") <= F.col("item_times"), F.col("sign")).otherwise(0)
+    shared = _at_each_begin(left, {"shared": common}).select("region", "begin", "shared")
+    item_total = F.col("n_words") - F.col("size") + 1
     compared = (
-        times.join(near, ["window", "item"], "left_semi")
-        .join(theirs, (F.col("item") == F.col("i")) & (F.col("shingle") == F.col("s")), "left")
-        .groupBy("window", "item")
-        .agg(F.sum("window_times").alias("total"), F.sum(F.least("window_times", F.coalesce("item_times", F.lit(0)))).alias("shared"))
-        .join(totals, F.col("item") == F.col("i"))
-        .withColumn("joint", F.col("total") + F.col("item_total") - F.col("shared"))
+        shared.join(near, ["region", "begin"])
+        .join(regions, "region")
+        .withColumn("joint", F.col("total") + item_total - F.col("shared"))
         .filter(100 * F.col("shared") >= percent * F.col("joint"))
-        .select("window", (F.col("shared") / F.col("joint")).alias("similarity"))
+        .withColumns({"similarity": F.col("shared") / F.col("joint"), "start": F.greatest("begin", F.lit(0))})
     )
-    named = items.select("item", "item_id")
-    best = F.struct(F.col("similarity"), -F.col("start"))
-    by_start = Window.partitionBy("id", "doc", "item_id").orderBy("start")
+    best = F.struct(F.col("similarity"), (-F.col("start")).alias("back"))
+    by_start = Window.partitionBy("doc", "item_id").orderBy("start")
     apart = 2 * (F.col("start") - F.lag("start").over(by_start)) > F.col("n_words")
-    return (
-        compared.join(windows.select("window", "id", "doc", "item", "n_words", "start"), "window")
-        .join(named, "item")
+    found = (
+        compared.join(items.select("item", "item_id"), "item")
         .withColumn("place", F.coalesce(apart, F.lit(True)).cast("int"))
-        .groupBy("id", "item_id")
+        .groupBy("doc", "item_id")
         .agg(F.max(best).alias("best"), F.sum("place").alias("n_windows"))
-        .select(F.col("id").alias(id_col), "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.col2")).alias("start"), "n_windows")
+    )
+    return keep(found, "contaminated")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(id, item_id, similarity, start, n_windows): documents that hold an item, best window first.
+
+    ``start`` is the first word of the best window, the smallest of equally good ones;
+    ``n_windows`` counts the places with windows that reach the similarity: windows that
+    begin at most half an item's length after one another are at one place.
+    """
+    found = contaminated_texts(docs, benchmark, percent, text_col, item_id, item_text)
+    rows = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("doc"))
+    return (
+        rows.join(found, "doc")
+        .distinct()
+        .groupBy("id", "item_id")
+        .agg(F.max("best").alias("best"), F.sum("n_windows").alias("n_windows"))
+        .select(F.col("id").alias(id_col), "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("start"), "n_windows")
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without a passage of the benchmark, with all their columns."""
-    found = contaminated(docs, benchmark, percent, id_col, text_col)
-    gone = keep(found.select(F.col(id_col).alias("__gone")).distinct(), "contaminated")
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """The rows whose text holds no passage of the benchmark, with all their columns; ids decide nothing."""
+    gone = contaminated_texts(docs, benchmark, percent, text_col).select(F.col("doc").alias("__gone")).distinct()
+    return docs.join(gone, text_key(F.col(text_col)) == F.col("__gone"), "left_anti")

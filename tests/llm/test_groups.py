@@ -181,11 +181,32 @@ def test_contamination_cases(spark):
     found = decontam.contaminated(docs, benchmark).collect()
     assert sorted((str(r.doc_id), r.start, r.n_windows) for r in found) == [("1", 0, 1), ("4", 0, 2), ("None", 0, 1)]
     left = decontam.drop_contaminated(docs, benchmark)
-    assert left.columns == docs.columns and sorted(str(r.doc_id) for r in left.collect()) == ["2", "3", "None"]
+    assert left.columns == docs.columns and sorted(str(r.doc_id) for r in left.collect()) == ["2", "3"]
+    other = spark.createDataFrame([(1, "a clean text that shares its id"), (1, passage)], "doc_id bigint, text string")
+    assert [r.text for r in decontam.drop_contaminated(other, benchmark).collect()] == ["a clean text that shares its id"]
     assert decontam.contaminated(docs, benchmark.limit(0)).count() == 0
     assert decontam.contaminated(docs.limit(0), benchmark).count() == 0
 
 
+def test_contamination_by_a_very_long_item(spark):
+    """An item of 20,000 words: the tables grow with it, not with its square."""
+    r = random.Random(30)
+    item = [f"w{r.randrange(5000)}" for _ in range(20_000)]
+    copy = [*["before"] * 30, *item[:9000], *["other"] * 50, *item[9050:], *["after"] * 40]
+    docs = spark.createDataFrame([(1, " ".join(copy)), (2, " ".join(item[:9000]))], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    found = decontam.contaminated(docs, benchmark).collect()
+    a, b = bag(copy[30:20_030]), bag(item)
+    same = sum((a & b).values())
+    assert [(x.doc_id, x.start, x.n_windows) for x in found] == [(1, 30, 1)]
+    assert found[0].similarity == pytest.approx(same / (sum(a.values()) + sum(b.values()) - same))
+    keys = decontam.items_of(benchmark)
+    shingles = decontam._all_sizes(keys.drop("item_id"), [5]).drop("words")
+    places = decontam.places_of(docs, shingles, [5], "text")
+    regions = decontam.regions_of(places, decontam.index_of(shingles, places, 80))
+    assert decontam.events_of(docs, regions, [5], "text").count() < 6 * len(item)
+
+
 def test_contamination_with_repeated_words_and_short_items(spark):
     """Runs of equal words that the copy lacks, and short items cut by the end of their text."""
     r = random.Random(21)
