@@ -26,9 +26,11 @@ one, with the smallest share of shingles that nobody else has. At the end, pairs
 Pairs inside a component need no test, as they cannot change the result.
 
 Cases: a NULL or empty text and one without words has no shingles and is a class of its own;
-fewer words than a shingle form one shingle; rows that repeat an id are one document, as
-their component is the same (if their texts differ, one of them is compared); a row with a NULL id takes no part, is its own group and is
-kept; an empty table gives no rows; only the id and text columns are read.
+fewer words than a shingle form one shingle; very long texts are hashed a piece at a time, and
+only their sets of 8 bytes a shingle are held; an empty table gives no rows; only the id and
+text columns are read. In ``near_duplicates`` rows that repeat an id are one document, as their
+component is the same (if their texts differ, one of them is compared), and a row with a NULL
+id takes no part, is its own group and is kept. ``drop_duplicates`` decides by row.
 """
 
 from __future__ import annotations
@@ -345,7 +347,18 @@ def _rarely_shared(sized: DataFrame, rare: DataFrame, settings: Settings) -> Dat
 
 
 def drop_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, with all its columns; rows with a NULL id stay."""
-    found = near_duplicates(docs, settings, id_col, text_col)
-    gone = keep(found.filter("NOT kept").select(F.col("id").alias("__gone")).distinct(), "duplicates")
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """One row of each group, with all its columns: that with the smallest id, a NULL id last.
+
+    Groups are of rows, under a number that is stored with them, so repeated rows, rows without
+    an id and rows that share an id but not the text are told apart. Rows without words all stay.
+    """
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    stored = keep(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(stored, settings, row, text_col).select("id", "component")
+    own = stored.select(F.col(row).alias("r"), F.col(id_col).alias("own"))
+    order = F.struct(F.col("own").isNull().alias("none"), "own", "r")
+    first = found.join(own, F.col("id") == F.col("r")).groupBy("component").agg(F.min(order).alias("first"))
+    kept = keep(first.select(F.col("first.r").alias("__kept")), "kept-rows")
+    return stored.join(kept, F.col(row) == F.col("__kept"), "left_semi").drop(row)

@@ -73,8 +73,23 @@ def test_near_duplicate_cases(spark):
     ]
     kept = minhash.drop_duplicates(docs)
     assert kept.columns == docs.columns
-    assert sorted(str(x.doc_id) for x in kept.collect()) == ["2", "7", "None"]
+    assert sorted(str(x.doc_id) for x in kept.collect()) == ["2", "7"]  # the row without an id is a copy too
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
+    assert minhash.drop_duplicates(docs.limit(0)).count() == 0
+
+
+def test_duplicates_are_dropped_by_row(spark):
+    text = "a rather short text of ten words that is repeated"
+    other = "some quite different words that nobody else in here has"
+    odd = spark.createDataFrame(
+        [(1, text, "x"), (1, text, "x"), (1, other, "x"), (3, other, "x"), (None, "nobody has these words either", "x"), (4, None, "x"), (4, None, "x")],
+        "doc_id bigint, text string, __row string",
+    )
+    kept = minhash.drop_duplicates(odd)
+    assert kept.columns == odd.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [
+        ("1", text), ("1", other), ("4", "None"), ("4", "None"), ("None", "nobody has these words either")
+    ]
 
 
 def test_bayesian_bounds():
