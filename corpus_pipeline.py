@@ -4,6 +4,10 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 columns of ``documents``. A stage works on all that its predecessor kept. Models are learned
 from the labelled rows of ``documents`` that are still there, by the same rule as in the
 single queries.
+
+Cases: near-duplicates and decontamination decide by row and by text, so rows without an id, repeated
+rows and rows that share an id are told apart; NULL and empty texts have no shingles and are dropped by
+neither. What the other stages do with such rows is stated in their modules.
 """
 
 from __future__ import annotations
