@@ -28,9 +28,9 @@ Pairs inside a component need no test, as they cannot change the result.
 Cases: a NULL or empty text and one without words has no shingles and is a class of its own;
 fewer words than a shingle form one shingle; very long texts are hashed a piece at a time, and
 only their sets of 8 bytes a shingle are held; an empty table gives no rows; only the id and
-text columns are read. In ``near_duplicates`` rows that repeat an id are one document, as their
-component is the same (if their texts differ, one of them is compared), and a row with a NULL
-id takes no part, is its own group and is kept. ``drop_duplicates`` decides by row.
+text columns are read. In ``near_duplicates`` rows that repeat an id and the text are one document;
+if their texts differ, the id stands for the first class that it is the smallest id of. A row with
+a NULL id takes no part, is its own group and is kept. ``drop_duplicates`` decides by row.
 """
 
 from __future__ import annotations
@@ -90,6 +90,11 @@ def fewest_matches(n: int, threshold: float, miss: float) -> int:
     return n
 
 
+def class_of(shingles: np.ndarray) -> bytes:
+    """128-bit hash of a sorted set."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def sketches(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, class, signature): the class is a 128-bit hash of the sorted set."""
     n = settings.bands * settings.rows
@@ -101,8 +106,7 @@ def sketches(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_c
                 for i in range(len(group)):
                     s = shingle_set(group.hashes[group.bounds[i] : group.bounds[i + 1]], settings.shingle)
                     if len(s):
-                        digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                        out.append((len(s), digest, signature(s, n).tobytes()))
+                        out.append((len(s), class_of(s), signature(s, n).tobytes()))
                     else:
                         out.append((0, None, None))
                 ids = batch.column(0).slice(group.first, len(group))
@@ -115,22 +119,28 @@ def sketches(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_c
     )
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
-    """(id, set) of the documents with the given ids: sorted distinct shingles as bytes, stored."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
+    """(id, set) of the given ids: sorted distinct shingles as bytes, stored.
+
+    Of rows that repeat an id, the set that the id stands for in ``classes``.
+    """
 
     def run(batches):
         for batch in batches:
             for group in words(batch.column(1), SPACED):
                 sets = [
-                    shingle_set(group.hashes[group.bounds[i] : group.bounds[i + 1]], settings.shingle).tobytes()
+                    shingle_set(group.hashes[group.bounds[i] : group.bounds[i + 1]], settings.shingle)
                     for i in range(len(group))
                 ]
                 part = batch.column(0).slice(group.first, len(group))
-                yield pa.RecordBatch.from_arrays([part, pa.array(sets, pa.binary())], ["id", "set"])
+                wanted = batch.column(2).slice(group.first, len(group)).to_pylist()
+                own = pa.array([class_of(s) == c for s, c in zip(sets, wanted)], pa.bool_())
+                columns = [part, pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "set"]).filter(own)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    wanted = keep(ids.distinct(), "wanted")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
+    wanted = keep(ids.distinct().join(classes.select("id", "class"), "id"), "wanted")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id")
     return keep(texts.mapInArrow(run, f"id {kind}, set binary").dropDuplicates(["id"]), "sets")
 
 
@@ -237,11 +247,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
     sketched = keep(sketches(docs, settings, id_col, text_col), "sketches")
     filled = sketched.filter("class IS NOT NULL AND id IS NOT NULL")
     by_class = keep(filled.groupBy("class").agg(F.min("id").alias("first")), "classes")
-    # One signature per class: of rows that repeat the smallest id, any one.
+    # One row per id: an id that is the smallest of several classes, as its texts differ, stands for the first of them.
     classes = keep(
         filled.join(by_class.withColumnRenamed("class", "c"), (F.col("class") == F.col("c")) & (F.col("id") == F.col("first")))
-        .select("id", "signature")
-        .dropDuplicates(["id"]),
+        .groupBy("id")
+        .agg(F.min("class").alias("class"), F.min_by("signature", "class").alias("signature")),
         "signatures",
     )
     rows = buckets(classes, settings)
@@ -253,14 +263,14 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: st
         maybe = keep(likely(ordered, classes, settings), "likely")
         if sets is None:
             both = maybe.select(F.col("a").alias("id")).unionByName(maybe.select(F.col("b").alias("id")))
-            sets = shingle_sets(docs, both, settings, id_col, text_col)
+            sets = shingle_sets(docs, both, classes, settings, id_col, text_col)
         return keep(verified(maybe, sets, settings).select("a", "b"), "links")
 
     links = confirm(_stars(members.withColumn("component", F.col("id")), F.col("id")))
     reached = components(links)
     open_members = keep(_mixed(_labelled(members, reached)), "open-buckets")
     if open_members.limit(1).count():
-        sets = shingle_sets(docs, open_members.select("id"), settings, id_col, text_col)
+        sets = shingle_sets(docs, open_members.select("id"), classes, settings, id_col, text_col)
         rare = rare_shingles(set_shingles(sets))
         sized = with_sizes(open_members, sets, rare)
         typical = F.struct((F.col("size") - F.col("shared")) / F.col("size"), F.col("id"))

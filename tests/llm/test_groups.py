@@ -78,6 +78,24 @@ def test_near_duplicate_cases(spark):
     assert minhash.drop_duplicates(docs.limit(0)).count() == 0
 
 
+def test_repeated_id_with_other_texts_is_compared_by_its_smallest_class(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"other{i}" for i in range(40))
+    sketched = minhash.sketches(documents(spark, [(0, text, "", ""), (1, other, "", "")]), minhash.Settings()).collect()
+    sets = {(text, other)[x.id]: bytes(x["class"]) for x in sketched}
+    compared = min(sets, key=sets.get)
+    near = [(3, text + " end", "", ""), (4, other + " end", "", "")]
+    expected = {3: 1, 4: 4} if compared == text else {3: 3, 4: 1}
+    for rows in ([text, other, None], [None, other, text], [other, "", text]):
+        docs = documents(spark, [(1, t, "", "") for t in rows] + near).repartition(4)
+        found = {x.id: x.component for x in minhash.near_duplicates(docs).collect()}
+        assert found == {1: 1, **expected}
+    # A copy with a smaller id takes one of the texts away: the id stands for the other.
+    docs = documents(spark, [(0, compared, "", ""), (1, text, "", ""), (1, other, "", "")] + near)
+    found = {(x.id, x.component) for x in minhash.near_duplicates(docs).collect()}
+    assert found == {(0, 0), (1, 0), (1, 1), (3, 0 if compared == text else 1), (4, 1 if compared == text else 0)}
+
+
 def test_duplicates_are_dropped_by_row(spark):
     text = "a rather short text of ten words that is repeated"
     other = "some quite different words that nobody else in here has"
