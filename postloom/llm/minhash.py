@@ -133,15 +133,14 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, settings:
                     for i in range(len(group))
                 ]
                 part = batch.column(0).slice(group.first, len(group))
-                wanted = batch.column(2).slice(group.first, len(group)).to_pylist()
-                own = pa.array([class_of(s) == c for s, c in zip(sets, wanted)], pa.bool_())
-                columns = [part, pa.array([s.tobytes() for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "set"]).filter(own)
+                columns = [pa.array(c, pa.binary()) for c in ([class_of(s) for s in sets], [s.tobytes() for s in sets])]
+                yield pa.RecordBatch.from_arrays([part, *columns], ["id", "class", "set"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    wanted = keep(ids.distinct().join(classes.select("id", "class"), "id"), "wanted")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id")
-    return keep(texts.mapInArrow(run, f"id {kind}, set binary").dropDuplicates(["id"]), "sets")
+    wanted = keep(ids.distinct(), "wanted")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
+    found = texts.mapInArrow(run, f"id {kind}, class binary, set binary").dropDuplicates(["id", "class"])
+    return keep(found.join(classes.select("id", "class"), ["id", "class"]).select("id", "set"), "sets")
 
 
 def set_shingles(sets: DataFrame) -> DataFrame:
