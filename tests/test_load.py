@@ -396,3 +396,42 @@ def test_clear_scratch(tmp_path):
     node.Path = Folder
     session.clear_scratch(Fake)
     assert removed == [str(tmp_path / "postloom")]
+
+
+def test_deferred_loads(spark, tmp_path):
+    """Small loads leave the buckets alone until they are as many rows; what is read is the same at any time."""
+    batches = [rows(*[(f"p{i}", "reddit", "x", "1", None) for i in range(30)]), *random_batches(6, count=3, size=8)]
+    table = PostsTable(spark, str(tmp_path / "posts"), buckets=4)
+    for number, data in enumerate(batches):
+        assert table.load(transform_posts(frame(spark, data)), as_of=as_of(), defer=True) == number
+        files = files if number else slot_files(tmp_path / "posts")
+        assert slot_files(tmp_path / "posts") == files
+    assert (tmp_path / "posts" / "recent").exists()
+    # Another session finds the rows beside the buckets, and a plain load merges them.
+    for name in (table.name, f"{table.name}_recent"):
+        spark.sql(f"DROP TABLE {name}")
+    again = PostsTable(spark, table.path)
+    expected = sequential(batches, ids=True)
+    assert content(again.posts(), ["id", *POST]) == expected
+    again.load(transform_posts(frame(spark, batches[0])), as_of=as_of())
+    assert not (tmp_path / "posts" / "recent").exists()
+    assert [r["id"] for r in again.posts().orderBy("id").collect()] == sorted(r[0] for r in expected)
+    assert all(len(names) == 1 for names in slot_files(tmp_path / "posts").values())
+
+
+def test_deferred_loads_in_any_order(spark, tmp_path):
+    """The row with the id is not the earliest capture; an interrupted removal changes nothing."""
+    table = PostsTable(spark, str(tmp_path / "posts"), buckets=2)
+    many = [("m%d" % i, "reddit", "x", "1", None) for i in range(9)]
+    table.load(transform_posts(frame(spark, rows(*many))), load_no=0, as_of=as_of(), defer=True)
+    one = lambda seq, text: transform_posts(frame(spark, rows(("p", "reddit", text, str(seq), None))).withColumn("seq", F.lit(seq)))
+    for seq, text in ((300, "late"), (100, "early"), (200, "middle")):
+        table.load(one(seq, text), load_no=0, as_of=as_of(), defer=True)
+    found = lambda: content(table.posts().filter("post_id = 'p'"), ["id", "post_text", "likes"])
+    assert found() == [(10, "early", 300)]
+    with pytest.MonkeyPatch.context() as broken:
+        broken.setattr(PostsTable, "_drop_recent", lambda self: None)
+        table.load(one(50, "first"), load_no=0, as_of=as_of())
+    assert found() == [(10, "first", 300)] and table.posts().count() == 10
+    table.load(one(400, "last"), load_no=0, as_of=as_of())
+    assert found() == [(10, "first", 400)] and table.posts().count() == 10
