@@ -1,6 +1,7 @@
 """The text index and the kept statistics of the stored table."""
 
 import random
+import time
 
 import pytest
 from conftest import rows_read
@@ -94,3 +95,20 @@ def test_statistics_that_do_not_add_up_are_not_used(spark, tmp_path, monkeypatch
     other = PostsTable(spark, str(tmp_path / "ordered"), buckets=2)
     other.load(raw_posts(spark, 0, 10), load_no=0, as_of=as_of())
     assert rows(other.statistics()) == rows(analytics.stats(other.posts()))
+
+
+def test_wildcards_do_not_search_again(spark):
+    """Texts that hold many places of all parts but the last, which LIKE tried in every combination."""
+    posts = spark.createDataFrame([(i, "a" * 2000 + ("b" if i == 7 else "")) for i in range(20)], "id long, post_text string")
+    started = time.monotonic()
+    for term in ("a%a%a%b", "%a_a%%b%", "_%_%A%B"):
+        assert [r["id"] for r in listing.matching(posts, term).collect()] == [7]
+    assert time.monotonic() - started < 30
+
+
+@pytest.mark.parametrize("term", ["a\\Eb%c", "\\q_\\e%", "%", "_%", "___", "%%x%%y%%", "y%x", "(%[", "ΟΔΟΣ%😊", "😊_😊", "é%_"])
+def test_wildcards_mean_what_like_means(spark, term):
+    texts = ["A\\eB then C", "\\Q-\\E", "", None, "xy", "y\nx", "a(b[c", "ΟΔΟΣ 😊", "😊日😊", "É\n", "é", "ab", "abc"]
+    posts = spark.createDataFrame(list(enumerate(texts)), "id long, post_text string")
+    like = posts.filter(F.col("post_text").ilike("%" + term.replace("\\", "\\\\") + "%"))
+    assert sorted(listing.matching(posts, term).collect()) == sorted(like.collect())
