@@ -272,3 +272,15 @@ def test_times_that_are_not_iso_give_null(values):
     assert values(parse.parse_timestamp, bad) == [None] * 5
     good = values(parse.parse_timestamp, ["2024-1-5 9:5:7", "2024-01-05", "2024-01-05T09:05", "2024-01-05T09:05:00-02:30"])
     assert [str(g) for g in good] == ["2024-01-05 09:05:07", "2024-01-05 00:00:00", "2024-01-05 09:05:00", "2024-01-05 11:35:00"]
+
+
+def test_texts_without_typography_are_not_replaced(spark):
+    """Texts are looked through for typography first, and whitespace classes are not tried on a single space."""
+    cleaned = text.clean_post("post_text")._jc.toString()
+    assert "contains(coalesce(post_text, ''), '\u2019')" in cleaned and "(?! ?[!-~])" in cleaned
+
+
+def test_cleaning_of_mixed_whitespace_and_typography(values):
+    given = ["a  b", " a \t b\n", "a\u3000\u00a0b", "日本 x", "é \u2014 é", "a \u2028 \u0085b", "\u200b", "a \u200b b", "&amp;#x200B; ", " ", "!\x1c!", "a &lt;\u2019 b"]
+    expected = ["a b", "a b", "a b", "日本 x", "é -- é", "a b", "", "a b", "", "", "! !", "a <' b"]
+    assert values(text.clean_post, given) == expected
