@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions import parse, text
-from postloom.operators.collapse import keep_first
+from postloom.operators.collapse import first_rows
 from postloom.operators.indexing import with_row_index
 from postloom.operators.skew import join_spread
 from postloom.schema import (
@@ -214,7 +214,7 @@ def instagram_posts(captures: DataFrame, as_of: Column | None = None) -> DataFra
         comments=parse.first_comments("comments_texts"),
         author=text.clean_plain("author_text"),
     )
-    return keep_first(posts, ["post_id"])
+    return first_rows(posts, ["post_id"])
 
 
 def tweet_posts(captures: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -235,7 +235,7 @@ def tweet_posts(captures: DataFrame, as_of: Column | None = None) -> DataFrame:
         author=parse.author_from_href("author_href"),
         url=parse.tweet_url("status_hrefs"),
     )
-    return keep_first(posts, ["post_id"])
+    return first_rows(posts, ["post_id"])
 
 
 def read_reddit(spark: SparkSession, path: str, as_of: Column | None = None, bad_lines: str = "raise") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -293,6 +294,28 @@ def test_keep_first_keeps_null_values(spark):
     assert content(keep_first(df, ["k"]), ["seq", "k", "v"]) == [(1, "a", None), (3, "b", "y")]
 
 
+def test_keep_first_sorts_no_rows_before_the_shuffle(spark):
+    """Only keys and places are aggregated on the map side; whole rows are matched with them by hash."""
+    df = spark.range(1000).select(F.col("id").alias("seq"), (F.col("id") % 100).cast("string").alias("k"), F.lit("x").alias("v"))
+    plan = keep_first(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    above, below = re.split(r"\n\s*:- ", plan)[1].split("ShuffledHashJoin")
+    assert "min_by" in above and "Exchange" not in above
+    assert "Exchange" in below and "min_by" not in below and "SortMergeJoin" not in plan
+
+
+def test_keep_first_with_repeated_and_missing_keys_and_places(spark):
+    rows = [
+        (2, "a", "later"), (1, "a", "x"), (1, "a", "x"), (None, "a", "no place"), (None, "b", "y"), (None, "b", "z"),
+        (4, None, "later"), (3, None, "w"), (5, "c", None), (6, "c", "v"),
+    ]
+    df = spark.createDataFrame(rows, "seq long, k string, v string")
+    wanted = [(1, "a", "x"), (None, "b", None), (3, None, "w"), (5, "c", None)]
+    got = [tuple(r) for r in keep_first(df, ["k"]).select("seq", "k", "v").collect()]
+    assert sorted(got, key=str) == sorted(wanted, key=str)
+    nested = df.withColumn("seq", F.struct("seq"))
+    assert keep_first(nested, ["k"]).columns == nested.columns
+
+
 def test_row_without_order_is_an_error(spark):
     raw = spark.createDataFrame([(None, "p", "reddit", "x", "1", None)], SCHEMA)
     with pytest.raises(Exception, match="no seq"):
