@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from postloom.operators import load
 from postloom.operators.table import PostsTable, load_with_validation
-from postloom.operators.collapse import keep_first
+from postloom.operators.collapse import first_rows, keep_first
 from postloom.operators.indexing import assign_ids, with_row_index
 from postloom.operators.transform import (
     label_posts,
@@ -458,3 +458,27 @@ def test_deferred_loads_in_any_order(spark, tmp_path):
     assert found() == [(10, "first", 300)] and table.posts().count() == 10
     table.load(one(400, "last"), load_no=0, as_of=as_of())
     assert found() == [(10, "first", 400)] and table.posts().count() == 10
+
+
+def test_whole_rows_are_merged_as_single_columns_are(spark):
+    """A collapse whose columns are all read carries a row's order twice, not once a column."""
+    data = random_batches(7, count=1)[0]
+    for rule in ("arrival", "scraped_at"):
+        whole = batch(spark, data, latest_by=rule, whole=True)
+        text = plan(whole)
+        assert text.count("partial_min_by(") == 1 and text.count("partial_max_by(") == 1
+        assert sorted(map(repr, whole.collect())) == sorted(map(repr, batch(spark, data, latest_by=rule).collect()))
+    placeless = spark.createDataFrame([(None, "a", "x"), (None, "a", "y"), (2, None, "z"), (1, None, None)], "seq long, k string, v string")
+    assert sorted(first_rows(placeless, ["k"], whole=True).collect(), key=repr) == sorted(first_rows(placeless, ["k"]).collect(), key=repr)
+
+
+def test_a_load_shuffles_whole_rows_once(spark, tmp_path, monkeypatch):
+    """With as many buckets as shuffle partitions the collapse deals the rows to the buckets; no batch is stored in between."""
+    table, plans, write = PostsTable(spark, str(tmp_path / "posts")), [], PostsTable._replace
+    monkeypatch.setattr(PostsTable, "_replace", lambda self, merged: (plans.append(plan(merged)), write(self, merged)))
+    batches = random_batches(8, count=2)
+    for data in batches:
+        table.load(transform_posts(frame(spark, data)), as_of=as_of())
+    assert content(table.posts(), ["id", *POST]) == sequential(batches, ids=True)
+    for text in plans:
+        assert "/batch-" not in text and text.count("Exchange hashpartitioning(post_id") - text.count("REPARTITION_BY_NUM") == 1
